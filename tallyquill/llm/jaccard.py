@@ -14,7 +14,7 @@ from tallyquill.llm.common import arrow_batches, components, cut
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 3, 90
 #: Coordinates of a point: each counts the shingles of one group of hashes.
-GROUPS = 32
+GROUPS = 128
 #: Points of an R-tree's leaf, and most points of one block; larger groups are joined block by block.
 LEAF, BLOCK = 16, 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
@@ -137,7 +137,7 @@ def _keys(n: int, percent: int):
 
 def point(values: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """The counts of a sorted set's shingles in each group of leading hash bits."""
-    return np.bincount((values >> np.uint64(59)).astype(np.int64), minlength=groups)
+    return np.bincount(((values >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64), minlength=groups)
 
 
 def _sets(n: int):
@@ -209,35 +209,39 @@ class RTree:
         return own[fits & (np.minimum(self.points[own], p).sum(axis=1) >= least_overlap(n, size, percent))]
 
 
-def _tree_join(percent: int):
-    """Sorted rows (cell, side, id, comp, point) to pairs of ids of one cell that may link and aren't connected yet.
+def _cell_pairs(ids: list, comps: list, sides: np.ndarray, points: np.ndarray, percent: int, nearest: bool) -> set[tuple]:
+    """Pairs of a cell that may link and aren't connected yet; with `nearest`, for each point only the likeliest."""
+    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    tree = RTree(points[left])
+    out = set()
+    for i in right if len(right) else left:
+        own = [j for j in left[tree.search(points[i], percent)] if comps[i] != comps[j]]
+        if nearest and len(own) > 1:
+            overlap = np.minimum(points[own], points[i]).sum(axis=1)
+            own = [own[int(np.argmax(overlap / (points[own].sum(axis=1) + points[i].sum())))]]
+        out.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in own)
+    return out
 
-    A cell holds at most two blocks of points; side 0 is searched with both sides' points of the cell.
-    """
+
+def _tree_join(percent: int, nearest: bool):
+    """Sorted rows (cell, side, id, comp, point) to pairs; a cell is a block of points, or two blocks of two sides."""
 
     def flush(rows: list[tuple]):
-        ids = np.array([r[0] for r in rows], dtype=object)
-        comps, sides = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        sides = np.array([r[2] for r in rows])
+        if len({r[1] for r in rows}) < 2 or not rows[0][4] and len(set(sides.tolist())) < 2:
+            return set()
         points = np.stack([np.frombuffer(r[3], dtype=np.int32) for r in rows]).astype(np.int64)
-        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-        alone = not len(right)
-        tree = RTree(points[left])
-        out = set()
-        for i in left if alone else right:
-            for j in left[tree.search(points[i], percent)]:
-                if comps[i] != comps[j]:
-                    out.add((min(ids[i], ids[j]), max(ids[i], ids[j])))
-        return out
+        return _cell_pairs([r[0] for r in rows], [r[1] for r in rows], sides, points, percent, nearest)
 
     def run(batches):
         cell, rows = None, []
         for batch in batches:
-            for c, side, i, comp, p in zip(*(batch.column(x).to_pylist() for x in ("cell", "side", "id", "comp", "point"))):
+            for c, alone, side, i, comp, p in zip(*(batch.column(x).to_pylist() for x in ("cell", "alone", "side", "id", "comp", "point"))):
                 if c != cell:
                     if len(rows) > 1 and (got := flush(rows)):
                         yield _pairs(got)
                     cell, rows = c, []
-                rows.append((i, comp, side, p))
+                rows.append((i, comp, side, p, alone))
         if len(rows) > 1 and (got := flush(rows)):
             yield _pairs(got)
 
@@ -284,6 +288,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_verify(percent), f"a {kind}, b {kind}")
 
 
+def _apart(shared: DataFrame, ids: DataFrame, of: DataFrame, points: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of sets that have a key in common, are in different components, and may link by their points."""
+    kind = ids.schema["rep"].dataType.simpleString()
+    placed = ids.join(of, ids["rep"] == of["id"], "left").select("fp", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("comp"))
+    keyed = shared.select("key", "fp").unionByName(shared.select("key", F.col("head").alias("fp"))).distinct()
+    members = keyed.join(placed, "fp")
+    split = members.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("m")).where("least <> most")
+    rest = members.join(split.select("key", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks")), "key").join(points, "id")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    cells = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.select(
+        F.concat_ws(",", "key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), (F.col("own") == F.col("other")).alias("alone"),
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "comp", "point",
+    ).repartition("cell").sortWithinPartitions("cell", "side", "id")
+    return cells.mapInArrow(_tree_join(percent, nearest), f"a {kind}, b {kind}").distinct()
+
+
 def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(one row per document with doc_id, n and its set's digests; links (a, b) that connect what is similar).
 
@@ -314,23 +335,13 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     sets = cut(_shingles_of(docs, named, n_words))
     star = cut(_linked(pairs, sets, percent))
 
-    # What a key's first set isn't connected with may still link with the key's other sets.
+    # What a key's first set isn't connected with may still link with the key's other sets.  First each set is tried with
+    # the likeliest other one of its key, which connects most of what is alike; then all pairs still apart whose bound allows it.
     links = copies.unionByName(star)
-    of = components(star)
-    placed = ids.join(of, ids["rep"] == of["id"], "left").select("fp", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("comp"))
-    members = shared.select("key", "fp").join(placed, "fp")
-    split = members.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("m")).where("least <> most")
-    rest = members.join(split.select("key", "m"), "key").join(sets.select("id", "point"), "id")
-    blocks = F.ceil(F.col("m") / BLOCK)
-    own = F.pmod(F.xxhash64("id"), blocks)
-    cells = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    cells = cells.select(
-        F.concat_ws(",", "key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "comp", "point",
-    ).repartition("cell").sortWithinPartitions("cell", "side", "id")
-    more = cut(cells.mapInArrow(_tree_join(percent), f"a {kind}, b {kind}").distinct())
-    if not more.isEmpty():
-        links = links.unionByName(cut(_linked(more, sets, percent)))
+    points = sets.select("id", "point")
+    for nearest in (True, False):
+        pairs = cut(_apart(shared, ids, components(links), points, percent, nearest))
+        links = links.unionByName(cut(_linked(pairs, sets, percent)))
     return base, links
 
 
