@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyquill.llm import decontaminate, jaccard, mixing, quality, toxicity
+from tallyquill.llm import chat, decontaminate, html, jaccard, language, lm, mixing, neighbours, quality, toxicity
 from tallyquill.llm.common import table
 
 
+def op1_html_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mix_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -22,6 +30,18 @@ def op5_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+def op7_language_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op8_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -32,7 +52,56 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_compression, op4_mix_pareto, op5_toxicity_ftrl, op9_jaccard_rtree, op10_decontaminate)
+    f.__name__: f
+    for f in (
+        op1_html_lstm, op2_quality_compression, op3_embedding_graph, op4_mix_pareto, op5_toxicity_ftrl, op6_chat_rotation, op7_language_ranks,
+        op8_hidden_markov, op9_jaccard_rtree, op10_decontaminate,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The learning operators (1, 2, 5, 7, 8) and the groups of 3 and 9 have no SQL; they are tested against brute force and
+#: held-out rows instead.
+ORACLE_SQL: dict[str, str] = {
+    "op4_mix_pareto": r"""
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROUP BY source),
+        w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, source_size * 3.0::DOUBLE AS most FROM s),
+        o AS (SELECT *, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS rank,
+                ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+        c AS (SELECT min_by(level, rank) AS common FROM o WHERE level * weight <= most),
+        t AS (SELECT o.source, source_size, CASE WHEN common IS NULL THEN most ELSE least(most, common * weight) END AS target FROM o, c),
+        e AS (SELECT d.doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN least(3.0, target / source_size) ELSE 0.0 END AS due,
+                ((('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        k AS (SELECT *, floor(due) AS certain, (u / (1 - u)) / (least(greatest(due - floor(due), 1e-9::DOUBLE), 1 - 1e-9::DOUBLE) / (1 - least(greatest(due - floor(due), 1e-9::DOUBLE), 1 - 1e-9::DOUBLE))) AS key FROM e),
+        r AS (SELECT *, target - sum(certain * size) OVER (PARTITION BY source) AS open, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM k),
+        f AS (SELECT *, open - max(CASE WHEN upto <= open THEN upto ELSE 0 END) OVER (PARTITION BY source) AS gap FROM r),
+        x AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN upto > open AND abs(gap - size) < gap THEN abs(gap - size) END NULLS LAST, key, doc_id, size) = 1
+                AND upto > open AND abs(gap - size) < gap AS one_more FROM f)
+        SELECT doc_id, size, source_size, target, ((certain + (upto <= open OR one_more)::INT) * size)::BIGINT AS taken FROM x""",
+    "op6_chat_rotation": """
+        WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+        s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+        e AS (SELECT t.*, speaker, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END AS head
+              FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+        g AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM e),
+        o AS (SELECT *, sum(length(segment)) OVER w AS upto, row_number() OVER w - 1 AS position FROM g
+              WINDOW w AS (PARTITION BY conv_id, speaker ORDER BY turn NULLS LAST, role, text ROWS UNBOUNDED PRECEDING))
+        SELECT conv_id, speaker, position::BIGINT AS position, turn, role, segment, (upto - length(segment))::BIGINT AS start, upto::BIGINT AS "end", role = speaker AS train,
+               CASE WHEN role = speaker THEN (upto - length(segment) + length(head))::BIGINT END AS mask_start, CASE WHEN role = speaker THEN upto::BIGINT END AS mask_end FROM o""",
+    "op10_decontaminate": rf"""
+        WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        b AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        i AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+        g AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM i)),
+        x AS (SELECT id, n, p, array_to_string(w[p:p + n - 1], ' ') AS gram FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+        h AS (SELECT id, x.n, p, item_id FROM x JOIN g ON x.n = g.n AND x.gram = g.gram),
+        c AS (SELECT id, count(DISTINCT q) AS n_hit FROM (SELECT id, unnest(range(p, p + n)) AS q FROM h) GROUP BY id),
+        m AS (SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT id, item_id FROM h) GROUP BY id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN c USING (id) LEFT JOIN m USING (id)""",
+}
