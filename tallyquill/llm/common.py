@@ -73,22 +73,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, r: i
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
 
 
+#: Rows of a partition that `packed` and `components` aim at.
+PART_ROWS = 100_000
+
+
+def _parts(rows: int) -> int:
+    return max(1, -(-rows // PART_ROWS))
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """`cut`, in no more partitions than the measured number of rows needs: each costs the next shuffle a file."""
+    own = cut(df)
+    return own.coalesce(_parts(own.count()))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the smallest id reachable, for every id that some link has.
 
     Alternating minimum and pointer steps: each node takes the smallest label of itself and its neighbours, and then
     its label's label.  A round shuffles links and labels only; rounds grow with the logarithm of a chain's length.
     """
-    edges = cut(
+    edges = packed(
         links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
         .unionByName(links.select(F.col(b).alias("u"), F.col(a).alias("v")).where("u <> v")).distinct()
     )
-    label = cut(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component")))
+    label = packed(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component")))
     while True:
         near = edges.join(label.select(F.col("id").alias("v"), "component"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("m"))
         step = label.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "m").alias("c"))
         jump = step.select(F.col("id").alias("c"), F.col("c").alias("j"))
         after = cut(step.join(jump, "c", "left").select("id", "was", F.least("c", "j").alias("component")))
-        if after.where("component <> was").isEmpty():
-            return after.select("id", "component")
-        label = after.select("id", "component")
+        rows, changed = after.agg(F.count("*"), F.count(F.when(F.col("component") != F.col("was"), 1))).first()
+        label = after.select("id", "component").coalesce(_parts(rows))
+        if not changed:
+            return label

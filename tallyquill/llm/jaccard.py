@@ -6,10 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyquill.llm import tokens
-from tallyquill.llm.common import arrow_batches, components, cut
+from tallyquill.llm.common import arrow_batches, components, cut, packed
 
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 3, 90
@@ -321,27 +320,28 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     copies = known.join(reps, ["fp", "fp2", "n"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
     # Sets with a key in common: within a key, the first one and each other.
+    # Heads are minima, which tasks sum up before they shuffle; rows of a hot key are then split by the join.
     keyed = docs.where("doc_id is not null").mapInArrow(_keys(n_words, percent), "key long, fp long")
-    inside = Window.partitionBy("key").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
-    shared = cut(keyed.withColumn("head", F.first("fp").over(inside)).where("fp <> head").distinct())
+    heads = keyed.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head <> last").drop("last")
+    shared = cut(keyed.join(heads, "key").where("fp <> head").distinct())
     ids = reps.select("fp", "rep")
     pairs = (
         shared.select("head", "fp").distinct()
         .join(ids.select(F.col("fp").alias("head"), F.col("rep").alias("x")), "head").join(ids.select("fp", F.col("rep").alias("y")), "fp")
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     )
-    pairs = cut(pairs)
+    pairs = packed(pairs)
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = cut(_shingles_of(docs, named, n_words))
-    star = cut(_linked(pairs, sets, percent))
+    star = packed(_linked(pairs, sets, percent))
 
     # What a key's first set isn't connected with may still link with the key's other sets.  First each set is tried with
     # the likeliest other one of its key, which connects most of what is alike; then all pairs still apart whose bound allows it.
     links = copies.unionByName(star)
     points = sets.select("id", "point")
     for nearest in (True, False):
-        pairs = cut(_apart(shared, ids, components(links), points, percent, nearest))
-        links = links.unionByName(cut(_linked(pairs, sets, percent)))
+        pairs = packed(_apart(shared, ids, components(links), points, percent, nearest))
+        links = links.unionByName(packed(_linked(pairs, sets, percent)))
     return base, links
 
 
