@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -42,7 +43,11 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    own = df.checkpoint(eager=True)
+    # Shuffle files of what was cut off go when the driver's JVM collects its garbage, which it seldom does by itself.
+    gc.collect()
+    sc._jvm.System.gc()
+    return own
 
 
 def bucket(doc_id: str, n: int) -> Column:
