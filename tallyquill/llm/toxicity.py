@@ -83,10 +83,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     try:
         for _ in range(ROUNDS):
-            got = own.mapInArrow(_learn(sc.broadcast((z, n))), "k long, z double, n double")
-            rows = got.groupBy("k").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("m")).toPandas()
-            k, m = rows.k.to_numpy(), rows.m.to_numpy()
-            z[k], n[k] = rows.z.to_numpy() / m, rows.n.to_numpy() / m
+            state = sc.broadcast((z, n))
+            got = own.mapInArrow(_learn(state), "k long, z double, n double")
+            rows = got.groupBy("k").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("m")).toArrow()
+            k, m = rows["k"].to_numpy(), rows["m"].to_numpy()
+            z[k], n[k] = rows["z"].to_numpy() / m, rows["n"].to_numpy() / m
+            state.destroy()
     finally:
         own.unpersist()
     return weights(z, n)
