@@ -139,16 +139,18 @@ def point(values: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.bincount(((values >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64), minlength=groups)
 
 
-def _sets(n: int):
+def _sets(n: int, whole: bool):
+    """Batches of (doc_id, text) to (id, shingles), or, if not `whole`, to (id, point)."""
+
     def run(batches):
         for batch in batches:
             for w in tokens.words(batch.column("text")):
                 rows, values = shingle_sets(w, n)
                 bounds = np.searchsorted(rows, np.arange(w.n_rows + 1))
-                own = [values[bounds[i] : bounds[i + 1]] for i in range(w.n_rows)]
-                points = [point(v).astype(np.int32).tobytes() for v in own]
+                own = (values[bounds[i] : bounds[i + 1]] for i in range(w.n_rows))
                 ids = batch.column("doc_id").slice(w.first, w.n_rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array([v.tobytes() for v in own], pa.binary()), pa.array(points, pa.binary())], names=["id", "shingles", "point"])
+                given = [v.tobytes() if whole else point(v).astype(np.int32).tobytes() for v in own]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(given, pa.binary())], names=["id", "shingles" if whole else "point"])
 
     return run
 
@@ -270,21 +272,40 @@ def _verify(percent: int):
     return run
 
 
-def _shingles_of(docs: DataFrame, ids: DataFrame, n_words: int) -> DataFrame:
-    """(id, shingles, point) of the documents that `ids` names."""
+def _bounded(percent: int):
+    def run(batches):
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int32).reshape(-1, GROUPS) for c in ("left", "right"))
+            size, other = left.sum(axis=1), right.sum(axis=1)
+            keep = (np.minimum(left, right).sum(axis=1) >= least_overlap(size, other, percent)) & (np.minimum(size, other) * 100 >= percent * np.maximum(size, other))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def _described(docs: DataFrame, ids: DataFrame, n_words: int, whole: bool) -> DataFrame:
+    """(id, shingles) or (id, point) of the documents that `ids` names."""
     n = ids.count()
     wanted = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     own = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    return own.mapInArrow(_sets(n_words), f"id {docs.schema['doc_id'].dataType.simpleString()}, shingles binary, point binary")
+    return own.mapInArrow(_sets(n_words, whole), f"id {docs.schema['doc_id'].dataType.simpleString()}, {'shingles' if whole else 'point'} binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _both(pairs: DataFrame, of: DataFrame, what: str) -> DataFrame:
+    """Pairs with what is known of either side."""
+    one = pairs.join(of.select(F.col("id").alias("b"), F.col(what).alias("right")), "b")
+    return one.join(of.select(F.col("id").alias("a"), F.col(what).alias("left")), "a").select("a", "b", "left", "right")
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The pairs that link; only their own documents' shingles are made and moved."""
     kind = pairs.schema["a"].dataType.simpleString()
-    both = (
-        pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-    )
-    return both.select("a", "b", "left", "right").mapInArrow(_verify(percent), f"a {kind}, b {kind}")
+    sets = cut(_described(docs, _named(pairs), n_words, whole=True))
+    return packed(_both(pairs, sets, "shingles").mapInArrow(_verify(percent), f"a {kind}, b {kind}"))
 
 
 def _apart(shared: DataFrame, ids: DataFrame, of: DataFrame, points: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -331,17 +352,15 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     )
     pairs = packed(pairs)
-    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = cut(_shingles_of(docs, named, n_words))
-    star = packed(_linked(pairs, sets, percent))
+    points = cut(_described(docs, _named(pairs), n_words, whole=False))
+    pairs = packed(_both(pairs, points, "point").mapInArrow(_bounded(percent), f"a {kind}, b {kind}"))
+    links = copies.unionByName(_linked(docs, pairs, n_words, percent))
 
     # What a key's first set isn't connected with may still link with the key's other sets.  First each set is tried with
     # the likeliest other one of its key, which connects most of what is alike; then all pairs still apart whose bound allows it.
-    links = copies.unionByName(star)
-    points = sets.select("id", "point")
     for nearest in (True, False):
         pairs = packed(_apart(shared, ids, components(links), points, percent, nearest))
-        links = links.unionByName(packed(_linked(pairs, sets, percent)))
+        links = links.unionByName(_linked(docs, pairs, n_words, percent))
     return base, links
 
 
