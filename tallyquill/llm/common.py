@@ -15,13 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most bytes of an Arrow batch; a longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
+
+
 def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a Python worker.
+    """Bounds the rows and bytes of an Arrow batch, so that a batch of long texts fits a Python worker.
 
     Python workers also get this library's folder as a place to import from; where executors don't see that folder, the
     library is shipped with --py-files.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     home = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in known:

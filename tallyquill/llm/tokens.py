@@ -145,10 +145,10 @@ def words(column: pa.Array, table: np.ndarray = SPACED, limit: int = CHUNK_BYTES
         yield Words(first, len(row_bytes) - 1, data, row_bytes, starts, ends, bounds, hashes)
 
 
-def prefixes(w: Words, n: int) -> np.ndarray:
-    """Hashes of the words' first n bytes (shorter words: of the whole word and its length)."""
-    ends = np.minimum(w.starts + n, w.ends)
-    return mix(_window_sums(_BYTE_VALUE[w.data], _CHAR_POWERS, w.starts, ends) + np.uint64(n << 32))
+def prefixes(w: Words, n: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the first n bytes of the words, or those at `at` (shorter words: of the whole word and its length)."""
+    starts, ends = (w.starts, w.ends) if at is None else (w.starts[at], w.ends[at])
+    return mix(_window_sums(_BYTE_VALUE[w.data], _CHAR_POWERS, starts, np.minimum(starts + n, ends)) + np.uint64(n << 32))
 
 
 def by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

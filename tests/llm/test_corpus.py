@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,7 +199,8 @@ def test_forward_recursion_against_all_paths():
     draw = np.random.default_rng(3)
     model = lm.Model(draw.dirichlet(np.ones(2)), draw.dirichlet(np.ones(2), 2), draw.dirichlet(np.ones(4), 2))
     seen = np.array([[0, 3, 3, 3], [2, 1, 0, 3]])
-    got = lm.forward(model, seen, np.array([2, 4]))
+    packed = lm.Packed(np.array([1, 0]), np.array([0, 2, 4, 5, 6]), np.array([2, 0, 1, 3, 0, 3]))
+    got = lm.forward(model, packed)
     for row, n, value in zip(seen, (2, 4), got):
         total = 0.0
         for path in np.ndindex(*(2,) * n):
@@ -208,10 +210,32 @@ def test_forward_recursion_against_all_paths():
             total += p
         assert value == pytest.approx(math.log(total))
     sums = lm._zero(model)
-    lm.expectations(model, seen, np.array([2, 4]), sums)
+    assert lm.expectations(model, packed, sums) == pytest.approx(got.sum())
     assert sums.start.sum() == pytest.approx(2) and sums.move.sum() == pytest.approx(4) and sums.emit.sum() == pytest.approx(6)
 
 
+def test_expected_counts_against_all_paths():
+    draw = np.random.default_rng(5)
+    model = lm.Model(draw.dirichlet(np.ones(2)), draw.dirichlet(np.ones(2), 2), draw.dirichlet(np.ones(4), 2))
+    row = (2, 1, 0, 3)
+    want, total = lm._zero(model), 0.0
+    for path in np.ndindex(2, 2, 2, 2):
+        p = model.start[path[0]] * np.prod([model.emit[k, x] for k, x in zip(path, row)]) * np.prod([model.move[a, b] for a, b in zip(path, path[1:])])
+        total += p
+        want.start[path[0]] += p
+        for a, b in zip(path, path[1:]):
+            want.move[a, b] += p
+        for k, x in zip(path, row):
+            want.emit[k, x] += p
+    (w,) = lm.tokens.words(pa.array(["x", None, "one two three"]))
+    packed = lm._by_position(w, np.array([3, *row[:3]]), 3)
+    assert packed.order.tolist() == [2, 0, 1] and packed.seen.tolist() == [2, 3, 3, 1, 3, 0, 3]
+    got = lm._zero(model)
+    lm.expectations(model, lm.Packed(np.array([0]), np.arange(5), np.array(row)), got)
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(got, name), getattr(want, name) / total)
+
+
 def test_language_model_on_awkward_rows(spark):
     got = lm.language_model(docs_of(spark)).collect()
     assert len(got) == len(AWKWARD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1} and all(math.isfinite(r.score) for r in got)
