@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyquill import tables
 from tallyquill.functions.money import basis_points, minor_amount
-from tallyquill.functions.text import has_any
+from tallyquill.functions.text import first_match, has_any, market_share
 
 
 def violations(rows: DataFrame, key: list[str], rules: Mapping[str, Column]) -> DataFrame:
@@ -35,6 +36,78 @@ def calculable(channel: str, unit: str, behavior: str, confidence: str, componen
     return F.col(channel).isNull() | F.col(unit).isNull() | F.col(behavior).isNull() | (F.col(confidence) < 0.7) | (F.coalesce(F.size(components), F.lit(0)) == 0)
 
 
+def _of(conditions: str, dimension: str) -> Column:
+    """The value of the last condition of a dimension; null without one."""
+    own = F.filter(conditions, lambda c: c["dimension"] == dimension)
+    return F.try_element_at(own, F.lit(-1))["value"]
+
+
+def _lacks(conditions: str, dimension: str, value: str) -> Column:
+    return ~_of(conditions, dimension).eqNullSafe(F.lit(value))
+
+
+def said(label: str, phrases: str) -> Column:
+    """Label and evidence phrases as one lower-cased text, which the checks below read."""
+    return F.lower(F.concat_ws(" ", F.coalesce(F.col(label), F.lit("")), F.array_join(F.coalesce(phrases, F.array().cast("array<string>")), " ")))
+
+
+def untrusted_share(told: str, sources: str) -> Column:
+    """Market-share wording although no fee component comes from a text that states a fee."""
+    states_fee = lambda s: (F.lower(s).rlike(tables.FEE_WORDING) | s.contains("+ ") | s.contains("%")) & ~market_share(s)
+    return market_share(told) & ~F.exists(F.coalesce(sources, F.array().cast("array<string>")), lambda s: F.coalesce(states_fee(s), F.lit(False)))
+
+
+def plan_missing(told: str, conditions: str) -> Column:
+    """Custom or standard pricing is written, and the condition that says so is missing."""
+    broken = F.lit(False)
+    for plan, words in tables.PLAN_WORDING.items():
+        broken = broken | (has_any(told, words) & _lacks(conditions, "pricing_plan", plan))
+    return broken
+
+
+def addon_as_payment(product: str, variant: str) -> Column:
+    return F.col(product).isin(*tables.ADDONS) & F.col(variant).isin(*tables.PAYMENT_VARIANTS)
+
+
+def other_addon(told: str, product: str) -> Column:
+    """The text names an add-on, and the product is another."""
+    named = first_match(told, tables.ADDON_WORDING)
+    return named.isNotNull() & ~named.eqNullSafe(F.col(product))
+
+
+def smart_dispute_conditions(product: str, conditions: str) -> Column:
+    return (F.col(product) == "smart_disputes") & (_lacks(conditions, "feature_enabled", "smart_disputes") | _lacks(conditions, "dispute_state", "won"))
+
+
+def not_from(told: str, exactness: str) -> Column:
+    return has_any(told, ("starting at", "starting from")) & ~F.col(exactness).eqNullSafe(F.lit("from"))
+
+
+def payer_missing(told: str, conditions: str) -> Column:
+    return F.col(told).contains("conversion fee") & F.col(told).contains("customer") & _lacks(conditions, "payer", "customer")
+
+
+def method_mismatch(product: str, method: str) -> Column:
+    """The payment method isn't one that the product goes with; rules without a method are fine."""
+    p, m = F.col(product), F.col(method)
+    return m.isNotNull() & F.when(p == "payments", m != "card").when(p == "terminal", ~m.isin("card", "terminal", "tap_to_pay")).otherwise(~p.eqNullSafe(m))
+
+
+def dispute_unit(product: str, unit: str, conditions: str) -> Column:
+    """A fee per dispute on a product that has nothing to do with disputes."""
+    states = F.exists(conditions, lambda c: c["dimension"].isin("transaction_type", "dispute_state") & c["value"].isin(*tables.DISPUTE_STATES))
+    return (F.col(unit) == "per_dispute") & ~F.coalesce(F.col(product), F.lit("")).isin("disputes", "smart_disputes") & ~F.coalesce(states, F.lit(False))
+
+
+def card_conditions(product: str, conditions: str) -> Column:
+    """A product without cards has a condition that only cards have."""
+    return ~F.coalesce(F.col(product), F.lit("")).isin("payments", "terminal") & F.exists(conditions, lambda c: c["dimension"].isin("card_region", "card_origin", "card_tier"))
+
+
+def repeated_phrases(phrases: str) -> Column:
+    return F.size(phrases) > F.size(F.array_distinct(phrases))
+
+
 def missing_references(rows: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
     """Rows whose reference is not null and not known."""
     return rows.where(F.col(column).isNotNull()).join(known.select(F.col(known_column).alias("_known")).distinct(), F.col(column) == F.col("_known"), "left_anti")

@@ -140,5 +140,19 @@ SQL: dict[str, str] = {
         UNION ALL SELECT {_KEY}, 'basis_points' FROM f WHERE round(l_tax * 10000)::INT <> round(l_discount * 100)::INT * 100
         UNION ALL SELECT {_KEY}, 'contradictory' FROM f WHERE l_discount > 0 AND l_linenumber = 3
         UNION ALL SELECT {_KEY}, 'calculable' FROM f WHERE l_returnflag = 'A' OR 1 - l_discount * 4 < 0.7""",
+    "v06_v15_semantic_checks": f"""WITH f AS (SELECT {_KEY}, l_quantity::INT AS q, l_partkey AS p, l_linenumber AS n FROM lineitem),
+        t AS (SELECT *, CASE WHEN n < 7 THEN p % 9 END AS label, ['pricing_plan', 'card_region', 'dispute_state', 'payer', 'feature_enabled', 'transaction_type'][q % 6 + 1] AS d, ['custom', 'standard', 'won', 'customer', 'smart_disputes'][p % 5 + 1] AS v,
+          ['payments', 'terminal', 'radar', 'smart_disputes', 'disputes'][(n + q) % 5 + 1] AS product, CASE WHEN n % 3 > 0 THEN ['card', 'terminal', 'radar'][q % 3 + 1] END AS method FROM f)
+        SELECT {_KEY}, 'market_share' AS rule FROM t WHERE label = 7 AND q % 3 <> 0
+        UNION ALL SELECT {_KEY}, 'pricing_plan' FROM t WHERE (label = 0 AND NOT (d = 'pricing_plan' AND v = 'custom')) OR (label = 1 AND NOT (d = 'pricing_plan' AND v = 'standard'))
+        UNION ALL SELECT {_KEY}, 'addon_variant' FROM t WHERE product IN ('radar', 'smart_disputes') AND q % 2 = 0
+        UNION ALL SELECT {_KEY}, 'addon_product' FROM t WHERE (label = 2 AND product <> 'radar') OR label IN (3, 8) OR (label = 6 AND product <> 'smart_disputes')
+        UNION ALL SELECT {_KEY}, 'smart_disputes' FROM t WHERE product = 'smart_disputes'
+        UNION ALL SELECT {_KEY}, 'exactness' FROM t WHERE label = 4 AND n % 2 = 1
+        UNION ALL SELECT {_KEY}, 'payer' FROM t WHERE label = 5 AND NOT (d = 'payer' AND v = 'customer')
+        UNION ALL SELECT {_KEY}, 'method' FROM t WHERE method IS NOT NULL AND CASE product WHEN 'payments' THEN method <> 'card' WHEN 'terminal' THEN method = 'radar' ELSE method <> product END
+        UNION ALL SELECT {_KEY}, 'dispute_unit' FROM t WHERE p % 2 = 0 AND product NOT IN ('disputes', 'smart_disputes') AND NOT (d IN ('dispute_state', 'transaction_type') AND v = 'won')
+        UNION ALL SELECT {_KEY}, 'card_condition' FROM t WHERE product NOT IN ('payments', 'terminal') AND d = 'card_region'
+        UNION ALL SELECT {_KEY}, 'repeated_phrases' FROM t WHERE n % 2 = 0""",
     "x01_windowed_counts": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

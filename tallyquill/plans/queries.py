@@ -354,6 +354,28 @@ def v01_v05_rule_checks(spark, sf):
     return checks.violations(own, list(_LINE), rules)
 
 
+_LABELS = ("Custom pricing", "Standard payments pricing", "Radar", "Authorisation boost", "Starting at 5%", "Conversion fee paid by customers", "Smart dispute", "Market share of 5%", "3D Secure")
+_DIMENSIONS = ("pricing_plan", "card_region", "dispute_state", "payer", "feature_enabled", "transaction_type")
+
+
+@query
+def v06_v15_semantic_checks(spark, sf):
+    pick = lambda words, n: F.element_at(F.array(*map(F.lit, words)), (n % len(words) + 1).cast("int"))
+    q, p, n = F.col("l_quantity").cast("int"), F.col("l_partkey"), F.col("l_linenumber")
+    condition = F.struct(pick(_DIMENSIONS, q).alias("dimension"), pick(("custom", "standard", "won", "customer", "smart_disputes"), p).alias("value"))
+    own = table(spark, sf, "lineitem").select(
+        *_LINE, F.when(n < 7, pick(_LABELS, p)).alias("label"), F.array(F.lit("a fee"), F.when(n % 2 == 0, "a fee").otherwise("more")).alias("phrases"), F.array(condition).alias("conditions"),
+        pick(("payments", "terminal", "radar", "smart_disputes", "disputes"), n + q).alias("product"), pick(("tap_to_pay", "standard"), q).alias("variant"), F.when(n % 3 > 0, pick(("card", "terminal", "radar"), q)).alias("method"),
+        pick(("per_dispute", "per_transaction"), p).alias("unit"), pick(("from", "exact"), n).alias("exactness"), F.array(pick(("5% fee", "1 in 5", "share of 5% fee"), q)).alias("sources"),
+    ).withColumn("told", checks.said("label", "phrases"))
+    rules = {
+        "market_share": checks.untrusted_share("told", "sources"), "pricing_plan": checks.plan_missing("told", "conditions"), "addon_variant": checks.addon_as_payment("product", "variant"), "addon_product": checks.other_addon("told", "product"),
+        "smart_disputes": checks.smart_dispute_conditions("product", "conditions"), "exactness": checks.not_from("told", "exactness"), "payer": checks.payer_missing("told", "conditions"), "method": checks.method_mismatch("product", "method"),
+        "dispute_unit": checks.dispute_unit("product", "unit", "conditions"), "card_condition": checks.card_conditions("product", "conditions"), "repeated_phrases": checks.repeated_phrases("phrases"),
+    }
+    return checks.violations(own, list(_LINE), rules)
+
+
 @query
 def x01_windowed_counts(spark, sf):
     return windowed_counts(table(spark, sf, "events"), "ts", ["event_type"])

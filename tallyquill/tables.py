@@ -55,5 +55,18 @@ TIME_UNITS = ("month", "year", "day", "transaction", "charge", "dispute", "refun
 QUALIFIER_STARTS = ("of", "for", "if", "per", "starting at", "up to", "minimum", "maximum", "cap", "capped", "custom", "contact sales")
 PREFIX_ENDS = ("starting at", "starting from", "up to", "minimum", "maximum", "from")
 
+# Fixed values.  What the rule checks look for: wording of fees and plans, add-ons, variants of payments, states of disputes.
+FEE_WORDING = r"\b(fee|charge|transaction|per\s+(charge|transaction|successful charge))\b"
+PLAN_WORDING = {"custom": ("custom payments pricing", "custom pricing"), "standard": ("standard payments pricing", "standard pricing")}
+ADDONS = ("authorization_boost", "radar", "smart_disputes", "three_d_secure")
+ADDON_WORDING = [
+    (("authorization boost", "authorisation boost"), "authorization_boost"), ("smart dispute", "smart_disputes"), (("3d secure", "3-d secure"), "three_d_secure"), ("radar", "radar"),
+]
+PAYMENT_VARIANTS = (
+    "online_domestic_cards", "online_international_cards", "online_premium_cards", "in_person_domestic_cards", "in_person_international_cards", "in_person_premium_cards",
+    "domestic_cards", "international_cards", "tap_to_pay",
+)
+DISPUTE_STATES = ("dispute", "lost", "won", "received", "countered")
+
 # Fixed values.  Component types that make a rule without calculation a fee candidate.
 FEE_TYPES = ("percentage", "fixed_amount", "percentage_surcharge", "fixed_surcharge", "minimum_fee", "maximum_fee")
