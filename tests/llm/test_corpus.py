@@ -162,6 +162,15 @@ def test_classifiers_tell_made_labels_apart(spark, of, n, r, fit, score):
     assert np.mean([(s >= 0.5) == y for s, y in told]) > 0.95
 
 
+def test_toxicity_is_learnt_from_few_rows(spark):
+    df = lambda name: spark.read.parquet(f"{SF.parent}/sf0.01/{name}.parquet")
+    toxic = {r.doc_id: r.toxic for r in df("labels").where("toxic is not null").collect()}
+    told = [(r.predicted, toxic[r.doc_id]) for r in toxicity.toxicity(df("documents"), df("labels")).collect() if r.held_out and r.doc_id in toxic]
+    caught = sum(p for p, y in told if y)
+    assert caught >= 0.3 * sum(y for _, y in told)
+    assert sum(p for p, y in told if not y) <= 0.02 * sum(not y for _, y in told)
+
+
 def test_classifiers_on_awkward_rows(spark, labels):
     for f in (quality.quality, toxicity.toxicity):
         got = f(docs_of(spark), labels).collect()
