@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,8 +22,10 @@ APART = 0.7
 OVERLAP, BLOCK = 2, 2048
 #: Out-degree of the graph, its pruning factor, width of the search, and medoids that it starts from.
 DEGREE, ALPHA, BEAM, MEDOIDS = 24, 1.2, 24, 8
-#: Queries of the recall audit, least recall, and how often the search is widened if it isn't reached.
-AUDIT, RECALL, RETRIES = 200, 0.95, 2
+#: Queries of the recall audit, least recall (in sum and as a mean over queries), and how often the search is widened if
+#: it isn't reached: first WIDER times as many shards, compared exactly, then all pairs of blocks.
+AUDIT, RECALL, RETRIES, WIDER = 200, 0.95, 2, 4
+_LOG = logging.getLogger(__name__)
 
 
 def _units(batches):
@@ -67,7 +71,7 @@ def _centroids(sample: np.ndarray, k: int) -> np.ndarray:
     return own[kept]
 
 
-def _assigned(centroids):
+def _assigned(centroids, overlap: int):
     """Batches of vectors to one row per vector and shard: its nearest centroids, the first of which is its own."""
 
     def run(batches):
@@ -76,11 +80,11 @@ def _assigned(centroids):
             x = _matrix(batch.column("unit"))
             if not len(x):
                 continue
-            n = min(OVERLAP, len(c))
+            n = min(overlap, len(c))
             near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :n]
             rows = np.repeat(np.arange(len(x)), n)
             own = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(near.ravel()), pa.array(np.tile(np.arange(n) == 0, len(x)))], names=[*own.schema.names, "shard", "primary"])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(near.ravel()), pa.array(np.tile(np.arange(n) == 0, len(x))), pa.array([x.tobytes() for x in near.astype(np.int32)], pa.binary()).take(pa.array(rows))], names=[*own.schema.names, "shard", "primary", "shards"])
 
     return run
 
@@ -119,6 +123,20 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"a": ids[a], "b": ids[b]})
 
 
+def _parts(edges: list[np.ndarray]) -> np.ndarray:
+    """Of each point the smallest point that edges, followed both ways, connect it with."""
+    label = np.arange(len(edges))
+    a, b = np.repeat(label, [len(x) for x in edges]), np.concatenate([*edges, np.zeros(0, dtype=np.int64)]).astype(np.int64)
+    while True:
+        after = label.copy()
+        np.minimum.at(after, a, label[b])
+        np.minimum.at(after, b, label[a])
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
 class Searcher:
     """Range-expanding greedy search over a graph of points."""
 
@@ -129,7 +147,9 @@ class Searcher:
         while len(starts) < min(MEDOIDS, len(x)):
             starts.append(int(np.argmin(far)))
             far = np.maximum(far, x @ x[starts[-1]])
-        self.starts = np.array(starts)
+        parts = _parts(edges)
+        first, place = np.unique(parts, return_index=True)
+        self.starts = np.append(starts, place[~np.isin(first, parts[starts])]).astype(np.int64)  # one of each part that they don't reach
 
     def near(self, q: np.ndarray, least: float) -> np.ndarray:
         """Points found whose cosine to q is at least `least`."""
@@ -153,11 +173,23 @@ class Searcher:
         return pool[alike >= least]
 
 
-def _search(least: float, beam: int):
+def _lists(own: np.ndarray, lists: list) -> list[np.ndarray]:
+    """Adjacency lists of ids as lists of places in `own`, without what isn't there."""
+    order = np.argsort(own)
+    edges = []
+    for near in lists:
+        at = np.array(near or [], dtype=np.int64)
+        place = np.minimum(np.searchsorted(own[order], at), len(own) - 1)
+        edges.append(order[place[own[order][place] == at]])
+    return edges
+
+
+def _search(least: float, exact: bool):
     """A cell: the queries of one block against the graph of one block; side 0 has the points, side 1 other queries.
 
     Gives (id, other, n): for each query the weighted number of links, with `other` null, and links that connect what
-    the cell has not connected yet, with n 0.
+    the cell has not connected yet, with n 0.  Exactly, it compares all of them, and reports a link in the first only of
+    the shards that its ends share.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -167,15 +199,26 @@ def _search(least: float, beam: int):
         if not len(points) or not len(queries):
             return empty
         x, ids, weight = _matrix(table.column("unit")), table.column("vec_id").to_numpy(), table.column("copies").to_numpy()
-        own = ids[points]
-        order = np.argsort(own)
-        lists = table.column("near").to_pylist()
-        edges = []
-        for p in points:
-            at = np.array(lists[p] or [], dtype=np.int64)
-            place = np.minimum(np.searchsorted(own[order], at), len(own) - 1)
-            edges.append(order[place[own[order][place] == at]])
-        search = Searcher(x[points], edges, beam)
+        if exact:
+            shards, here = np.stack([np.frombuffer(t, dtype=np.int32) for t in table.column("shards").to_pylist()]), table.column("shard")[0].as_py()
+
+            def hits():
+                for k in range(0, len(queries), 64):
+                    few = queries[k : k + 64]
+                    row, col = np.nonzero(x[few] @ x[points].T >= least)
+                    ours, theirs = shards[few[row]], shards[points[col]]
+                    both = (ours[:, :, None] == theirs[:, None, :]).any(axis=2)
+                    mine = np.where(both, ours, np.iinfo(np.int32).max).min(axis=1) == here if len(row) else np.zeros(0, dtype=bool)
+                    for r, q in enumerate(few):
+                        yield q, points[col[mine & (row == r)]]
+
+        else:
+            search = Searcher(x[points], _lists(ids[points], [table.column("near")[int(p)].as_py() for p in points]), BEAM)
+
+            def hits():
+                for q in queries:
+                    yield q, points[search.near(x[q], least)]
+
         parent = {int(i): int(i) for i in ids}
 
         def root(i: int) -> int:
@@ -185,8 +228,7 @@ def _search(least: float, beam: int):
             return i
 
         a, b, n = [], [], []
-        for q in queries:
-            found = points[search.near(x[q], least)]
+        for q, found in hits():
             found = found[ids[found] != ids[q]]
             if len(found):
                 a.append(int(ids[q]))
@@ -219,6 +261,24 @@ def _brute(queries, least: float):
     return run
 
 
+def _links(nodes: DataFrame, centroids, least: float, overlap: int, exact: bool) -> DataFrame:
+    """(id, other, n) of `_search` over all cells: by graph in each vector's own shard, or exactly in all its shards."""
+    placed = nodes.mapInArrow(_assigned(centroids, overlap), "vec_id long, unit binary, copies long, shard long, primary boolean, shards binary")
+    sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    placed = cut(placed.join(F.broadcast(sizes), "shard").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))))  # at most CENTROIDS rows
+    asks = F.lit(True) if exact else F.col("primary")
+    if exact:
+        lists = placed.withColumn("near", F.lit(None).cast("array<bigint>"))
+    else:
+        edges = placed.groupBy("shard", "own").applyInArrow(_build, "a long, b long")
+        both = edges.union(edges.select("b", "a")).distinct()
+        lists = placed.join(cut(both.groupBy(F.col("a").alias("vec_id")).agg(F.collect_list("b").alias("near"))), "vec_id", "left")
+    cells = lists.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    points = cells.select("shard", F.col("own").alias("p"), F.col("other").alias("q"), "vec_id", "unit", "copies", "shards", "near", F.lit(0).alias("side"), ((F.col("own") == F.col("other")) & asks).alias("asks"))
+    asking = cells.where((F.col("own") != F.col("other")) & asks).select("shard", F.col("other").alias("p"), F.col("own").alias("q"), "vec_id", "unit", "copies", "shards", F.lit(None).cast("array<bigint>").alias("near"), F.lit(1).alias("side"), F.lit(True).alias("asks"))
+    return cut(points.unionByName(asking).groupBy("shard", "p", "q").applyInArrow(_search(least, exact), "id long, other long, n long"))
+
+
 def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding).
 
@@ -226,8 +286,9 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     nearest centroids, fitted on a bounded sample; each shard's graph is built and pruned in a task, the adjacency
     lists of all shards are united, and every node is searched for in its nearest shard from medoids, keeping on for as
     long as points in range turn up.  Every link reported is checked in double precision.  A sample of queries is
-    compared with brute force over all nodes; short of RECALL the search is widened and run again.  Shards of more
-    than BLOCK nodes are searched block against block.
+    compared with brute force over all nodes; short of RECALL, in sum or as a mean over queries, more shards of each
+    vector are compared exactly, and then all nodes, and it is an error if that falls short.  The recall is logged.
+    Shards of more than BLOCK nodes are searched block against block.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no links and are their own
     component; so are rows whose vec_id is null, with a null component.  Rows that repeat a vec_id are one node for
@@ -246,25 +307,21 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     if n > 1:
         sample = _matrix(nodes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("unit").toPandas()["unit"].pipe(pa.array))
         centroids = sc.broadcast(_centroids(sample, max(1, min(CENTROIDS, n // SHARD, len(sample)))))
-        placed = nodes.mapInArrow(_assigned(centroids), "vec_id long, unit binary, copies long, shard long, primary boolean")
-        sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-        placed = cut(placed.join(F.broadcast(sizes), "shard").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))))  # at most CENTROIDS rows
-        edges = placed.groupBy("shard", "own").applyInArrow(_build, "a long, b long")
-        both = edges.union(edges.select("b", "a")).distinct()
-        near = cut(both.groupBy(F.col("a").alias("vec_id")).agg(F.collect_list("b").alias("near")))
-        lists = placed.join(near, "vec_id", "left")
-        cells = lists.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        points = cells.select("shard", F.col("own").alias("p"), F.col("other").alias("q"), "vec_id", "unit", "copies", "near", F.lit(0).alias("side"), ((F.col("own") == F.col("other")) & F.col("primary")).alias("asks"))
-        asking = cells.where("primary and own <> other").select("shard", F.col("other").alias("p"), F.col("own").alias("q"), "vec_id", "unit", "copies", F.lit(None).cast("array<bigint>").alias("near"), F.lit(1).alias("side"), F.lit(True).alias("asks"))
-        cells = points.unionByName(asking)
         asked = nodes.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(max(1, n // AUDIT))) == 0).select("vec_id", "unit").limit(2 * AUDIT).toPandas()
         queries = (asked.vec_id.to_numpy(), _matrix(asked.unit.pipe(pa.array)))
         true = nodes.mapInArrow(_brute(sc.broadcast(queries), least), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
         for widen in range(RETRIES + 1):
-            found = cut(cells.groupBy("shard", "p", "q").applyInArrow(_search(least, BEAM << (2 * widen)), "id long, other long, n long"))
-            got = found.where(F.col("other").isNull() & F.col("id").isin(true.id.tolist())).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-            if got >= RECALL * true.n.sum():
+            if widen == RETRIES:
+                centroids = sc.broadcast(centroids.value[:1])  # one shard: all pairs of blocks
+            found = _links(nodes, centroids, least, OVERLAP if not widen else OVERLAP * WIDER, widen > 0)
+            got = found.where(F.col("other").isNull() & F.col("id").isin(true.id.tolist())).groupBy("id").agg(F.sum("n").alias("got")).toPandas()
+            share = true.merge(got, on="id", how="left").fillna({"got": 0})
+            recall = min(share.got.sum() / share.n.sum(), (share.got / share.n).clip(upper=1).mean()) if len(share) else 1.0
+            _LOG.info("search %d: recall %.4f over %d queries", widen, recall, len(share))
+            if recall >= RECALL:
                 break
+        else:
+            raise RuntimeError(f"recall is {recall:.4f}, below {RECALL}")
     counts = found.groupBy("id").agg(F.sum("n").alias("linked"))
     groups = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     known = copy_of.join(counts, copy_of["rep"] == counts["id"], "left").drop("id").join(groups, F.col("rep") == F.col("id"), "left")

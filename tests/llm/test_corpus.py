@@ -270,6 +270,35 @@ def test_embeddings_against_all_pairs(spark):
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_apart_from_the_starts_and_across_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 100)
+    draw = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    groups_, pairs = unit(draw.normal(size=(16, 64))), unit(draw.normal(size=(500, 64)))
+    near = unit(np.repeat(groups_, 60, axis=0) + 0.02 * draw.normal(size=(960, 64)))  # more than a point's candidates
+    other = unit(draw.normal(size=(500, 64)))
+    other = unit(other - (other * pairs).sum(axis=1, keepdims=True) * pairs)
+    x = np.concatenate([near, pairs, 0.956 * pairs + np.sqrt(1 - 0.956**2) * other])
+    alike = (x @ x.T >= neighbours.COSINE) & ~np.eye(len(x), dtype=bool)
+    rows = neighbours.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    got = np.zeros(len(x))
+    for r in rows:
+        got[r.vec_id] = r.n_links
+    linked = alike.sum(axis=1)
+    assert (got <= linked).all() and (got[linked > 0] / linked[linked > 0]).mean() >= 0.9
+    assert all(r.component_id == 60 * (r.vec_id // 60) for r in rows if r.vec_id < 960)
+
+
+def test_search_reaches_parts_of_a_graph_without_a_start():
+    draw = np.random.default_rng(4)
+    x = np.repeat(draw.normal(size=(30, 64)), 60, axis=0) + 0.02 * draw.normal(size=(1800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = neighbours.pruned(x)
+    a, b = np.append(a, b), np.append(b, a)
+    search = neighbours.Searcher(x, [np.unique(b[a == i]) for i in range(len(x))], neighbours.BEAM)
+    assert all(len(search.near(x[60 * k], neighbours.COSINE)) == 60 for k in range(30))
+
+
 def test_perspectives_give_the_dialogue(spark):
     turns = [(1, 1, "system", "Be kind"), (1, 2, "ann", "Hi"), (1, 3, "bob", None), (1, 3, "bob", None), (1, None, None, "late"), (None, 1, "ann", "x"), (2, 1, "system", "only")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("speaker", F.lit("clash"))
