@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm import tokens
@@ -18,6 +18,9 @@ GROUPS = 128
 LEAF, BLOCK = 16, 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: One document of SAMPLE tells which slabs are hot: those of HOT sampled sets or more, the HOT_SLABS most frequent ones at
+#: most.  They are dealt without a shuffle; results don't depend on it.
+SAMPLE, HOT, HOT_SLABS = 1024, 64, 100_000
 #: Sizes of one class lie within this ratio of each other.
 RATIO = 1.5
 _MOST = 1 << 40
@@ -64,21 +67,40 @@ def _fingerprints(rows: np.ndarray, values: np.ndarray, n_rows: int) -> tuple[np
     return size, *out
 
 
+def _coded(points: np.ndarray) -> list[bytes]:
+    """Each row's coordinates in as few bytes as the largest needs: one, two or four each."""
+    most = points.max(axis=1, initial=0)
+    return [p.astype(np.uint8 if m < 1 << 8 else np.uint16 if m < 1 << 16 else np.uint32).tobytes() for p, m in zip(points, most)]
+
+
+def _decoded(coded: list[bytes]) -> np.ndarray:
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
+    return np.stack([np.frombuffer(x, dtype=kinds[len(x)]).astype(np.int64) for x in coded])
+
+
+def points_of(rows: np.ndarray, values: np.ndarray, n_rows: int) -> np.ndarray:
+    """The points of sets: how many of a set's shingles fall into each group of leading hash bits."""
+    group = ((values >> np.uint64(32)) * np.uint64(GROUPS) >> np.uint64(32)).astype(np.int64)
+    return np.bincount(rows * GROUPS + group, minlength=n_rows * GROUPS).reshape(n_rows, GROUPS)
+
+
 def _base(n: int):
     def run(batches):
         for batch in batches:
             for w in tokens.words(batch.column("text")):
-                size, one, two = _fingerprints(*shingle_sets(w, n), w.n_rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(w.first, w.n_rows), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=["doc_id", "n", "fp", "fp2"])
+                rows, values = shingle_sets(w, n)
+                size, one, two = _fingerprints(rows, values, w.n_rows)
+                coded = pa.array(_coded(points_of(rows, values, w.n_rows)), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(w.first, w.n_rows), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), coded], names=["doc_id", "n", "fp", "fp2", "point"])
 
     return run
 
 
-def signatures(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): keys such that two rows that link have one in common.
+def slabs(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """(row, slab): the slabs of space that a set lies in, such that two sets that link have one in common.
 
-    A set is cut into its class's groups by the leading bits of the hashes; a key is the digest of one group's shingles.
-    A set that could link with one of the next class has that class's keys too.  Empty groups count only in the rare
+    A set is cut into its class's groups by the leading bits of the hashes; a slab is where one group is the same.
+    A set that could link with one of the next class lies in that class's slabs too.  Empty groups count only in the rare
     sets that have more of them than the class allows for.
     """
     starts, groups = _classes(percent)
@@ -119,38 +141,17 @@ def signatures(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int =
     return np.concatenate(out_rows), np.concatenate(out_keys)
 
 
-def _keys(n: int, percent: int):
+def _slab_rows(n: int, percent: int):
     def run(batches):
         for batch in batches:
             for w in tokens.words(batch.column("text")):
                 rows, values = shingle_sets(w, n)
                 _, fp, _ = _fingerprints(rows, values, w.n_rows)
                 first = np.zeros(w.n_rows, dtype=bool)
-                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch have the same keys
+                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch lie in the same slabs
                 keep = first[rows]
-                r, keys = signatures(rows[keep], values[keep], w.n_rows, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["key", "fp"])
-
-    return run
-
-
-def point(values: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """The counts of a sorted set's shingles in each group of leading hash bits."""
-    return np.bincount(((values >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64), minlength=groups)
-
-
-def _sets(n: int, whole: bool):
-    """Batches of (doc_id, text) to (id, shingles), or, if not `whole`, to (id, point)."""
-
-    def run(batches):
-        for batch in batches:
-            for w in tokens.words(batch.column("text")):
-                rows, values = shingle_sets(w, n)
-                bounds = np.searchsorted(rows, np.arange(w.n_rows + 1))
-                own = (values[bounds[i] : bounds[i + 1]] for i in range(w.n_rows))
-                ids = batch.column("doc_id").slice(w.first, w.n_rows)
-                given = [v.tobytes() if whole else point(v).astype(np.int32).tobytes() for v in own]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(given, pa.binary())], names=["id", "shingles" if whole else "point"])
+                r, own = slabs(rows[keep], values[keep], w.n_rows, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["slab", "fp"])
 
     return run
 
@@ -210,119 +211,140 @@ class RTree:
         return own[fits & (np.minimum(self.points[own], p).sum(axis=1) >= least_overlap(n, size, percent))]
 
 
-def _cell_pairs(ids: list, comps: list, sides: np.ndarray, points: np.ndarray, percent: int, nearest: bool) -> set[tuple]:
-    """Pairs of a cell that may link and aren't connected yet; with `nearest`, for each point only the likeliest."""
-    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-    tree = RTree(points[left])
-    out = set()
-    for i in right if len(right) else left:
-        own = [j for j in left[tree.search(points[i], percent)] if comps[i] != comps[j]]
+def _block_pairs(probes: list[tuple], members: list[tuple], percent: int, nearest: bool) -> list[tuple]:
+    """(probe, member) that may link and aren't connected yet; with `nearest`, for each probe only the likeliest.
+
+    Rows are (id, component, point, is a probe).  Two probes are tried once, by the one of the smaller id.
+    """
+    tree = RTree(_decoded([m[2] for m in members]))
+    out = []
+    for (i, comp, _, _), p in zip(probes, _decoded([x[2] for x in probes])):
+        own = [j for j in tree.search(p, percent) if members[j][1] != comp and (not members[j][3] or i < members[j][0])]
         if nearest and len(own) > 1:
-            overlap = np.minimum(points[own], points[i]).sum(axis=1)
-            own = [own[int(np.argmax(overlap / (points[own].sum(axis=1) + points[i].sum())))]]
-        out.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in own)
+            overlap = np.minimum(tree.points[own], p).sum(axis=1)
+            own = [own[int(np.argmax(overlap / (tree.size[own] + p.sum())))]]
+        out.extend((i, members[j][0]) for j in own)
     return out
 
 
 def _tree_join(percent: int, nearest: bool):
-    """Sorted rows (cell, side, id, comp, point) to pairs; a cell is a block of points, or two blocks of two sides."""
-
-    def flush(rows: list[tuple]):
-        sides = np.array([r[2] for r in rows])
-        if len({r[1] for r in rows}) < 2 or not rows[0][4] and len(set(sides.tolist())) < 2:
-            return set()
-        points = np.stack([np.frombuffer(r[3], dtype=np.int32) for r in rows]).astype(np.int64)
-        return _cell_pairs([r[0] for r in rows], [r[1] for r in rows], sides, points, percent, nearest)
+    """Blocks of rows, probes first, to pairs: each block's members are put into an R-tree, and its probes searched there."""
 
     def run(batches):
-        cell, rows = None, []
+        block, probes, members = None, [], []
         for batch in batches:
-            for c, alone, side, i, comp, p in zip(*(batch.column(x).to_pylist() for x in ("cell", "alone", "side", "id", "comp", "point"))):
-                if c != cell:
-                    if len(rows) > 1 and (got := flush(rows)):
-                        yield _pairs(got)
-                    cell, rows = c, []
-                rows.append((i, comp, side, p, alone))
-        if len(rows) > 1 and (got := flush(rows)):
-            yield _pairs(got)
+            found = []
+            for at, side, *row in zip(*(batch.column(x).to_pylist() for x in ("block", "side", "id", "comp", "point", "probe"))):
+                if at != block:
+                    if probes and members:
+                        found.extend(_block_pairs(probes, members, percent, nearest))
+                    block, probes, members = at, [], []
+                (members if side else probes).append(row)
+            if found:
+                yield _pairs(found)
+        if probes and members and (found := _block_pairs(probes, members, percent, nearest)):
+            yield _pairs(found)
 
     return run
 
 
-def _pairs(found) -> pa.RecordBatch:
-    a, b = zip(*sorted(found))
+def _pairs(found: list[tuple]) -> pa.RecordBatch:
+    a, b = zip(*found)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _verify(percent: int):
-    def run(batches):
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            left, right = batch.column("left"), batch.column("right")
-            for i in range(batch.num_rows):
-                a, b = (np.frombuffer(x[i].as_buffer(), dtype=np.uint64) for x in (left, right))
-                need = least_overlap(len(a), len(b), percent)
-                if np.minimum(point(a), point(b)).sum() >= need:
-                    small, large = (a, b) if len(a) <= len(b) else (b, a)
-                    at = np.minimum(np.searchsorted(large, small), max(len(large) - 1, 0))
-                    both = int((large[at] == small).sum()) if len(large) else 0
-                    keep[i] = both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+def _row_sets(batch: pa.RecordBatch, n: int):
+    """Each row's sorted shingle hashes, in order."""
+    for w in tokens.words(batch.column("text")):
+        rows, values = shingle_sets(w, n)
+        bounds = np.searchsorted(rows, np.arange(w.n_rows + 1))
+        yield from (values[bounds[i] : bounds[i + 1]] for i in range(w.n_rows))
 
-    return run
+
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(small) or len(small) * 100 < percent * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _bounded(percent: int):
+def _verify(n: int, percent: int):
+    """Rows (a, part, side, id, text), of each a and part the text of a first, to the pairs (a, id) that link."""
+
     def run(batches):
+        of, sets = None, []
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int32).reshape(-1, GROUPS) for c in ("left", "right"))
-            size, other = left.sum(axis=1), right.sum(axis=1)
-            keep = (np.minimum(left, right).sum(axis=1) >= least_overlap(size, other, percent)) & (np.minimum(size, other) * 100 >= percent * np.maximum(size, other))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+            found = []
+            for a, part, side, i, own in zip(*(batch.column(x).to_pylist() for x in ("a", "part", "side", "id")), _row_sets(batch, n)):
+                if (a, part) != of:
+                    of, sets = (a, part), []
+                if not side:
+                    sets.append(own)
+                elif any(_alike(x, own, percent) for x in sets):
+                    found.append((a, i))
+            if found:
+                yield _pairs(found)
 
     return run
 
 
-def _named(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-
-
-def _described(docs: DataFrame, ids: DataFrame, n_words: int, whole: bool) -> DataFrame:
-    """(id, shingles) or (id, point) of the documents that `ids` names."""
-    n = ids.count()
-    wanted = F.broadcast(ids) if n <= BROADCAST_IDS else ids
-    own = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    return own.mapInArrow(_sets(n_words, whole), f"id {docs.schema['doc_id'].dataType.simpleString()}, {'shingles' if whole else 'point'} binary")
-
+def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link.  Of each a, blocks of its partners; a text is moved once for each of its blocks."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    own = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(1).alias("side"), F.col("b").alias("id"))
+    named = packed(own.unionByName(own.select("a", "part", F.lit(0).alias("side"), F.col("a").alias("id"))).distinct())
+    wanted = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    texts = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("a", "part", "side", "id", "text")
+    texts = texts.repartition("a", "part").sortWithinPartitions("a", "part", "side")
+    return packed(texts.mapInArrow(_verify(n_words, percent), f"a {kind}, b {kind}").distinct())
 
-def _both(pairs: DataFrame, of: DataFrame, what: str) -> DataFrame:
-    """Pairs with what is known of either side."""
-    one = pairs.join(of.select(F.col("id").alias("b"), F.col(what).alias("right")), "b")
-    return one.join(of.select(F.col("id").alias("a"), F.col(what).alias("left")), "a").select("a", "b", "left", "right")
 
+def _cells(docs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """(head, id, point, top): the cells that sets are dealt to; every two sets that link are in a cell together.
 
-def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """The pairs that link; only their own documents' shingles are made and moved."""
-    kind = pairs.schema["a"].dataType.simpleString()
-    sets = cut(_described(docs, _named(pairs), n_words, whole=True))
-    return packed(_both(pairs, sets, "shingles").mapInArrow(_verify(percent), f"a {kind}, b {kind}"))
-
-
-def _apart(shared: DataFrame, ids: DataFrame, of: DataFrame, points: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of sets that have a key in common, are in different components, and may link by their points."""
-    kind = ids.schema["rep"].dataType.simpleString()
-    placed = ids.join(of, ids["rep"] == of["id"], "left").select("fp", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("comp"))
-    keyed = shared.select("key", "fp").unionByName(shared.select("key", F.col("head").alias("fp"))).distinct()
-    members = keyed.join(placed, "fp")
-    split = members.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("m")).where("least <> most")
-    rest = members.join(split.select("key", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks")), "key").join(points, "id")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    cells = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = cells.select(
-        F.concat_ws(",", "key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), (F.col("own") == F.col("other")).alias("alone"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "comp", "point",
-    ).repartition("cell").sortWithinPartitions("cell", "side", "id")
-    return cells.mapInArrow(_tree_join(percent, nearest), f"a {kind}, b {kind}").distinct()
+    A cell holds all sets that share a slab whose first set is the cell's head, once each, however many slabs they
+    share.  A slab that many sets share, as a sample of the documents tells, gets a head from the sample and so needs no
+    shuffle; the sample settles only who is head.
+    """
+    docs = docs.where("doc_id is not null")
+    make, kind = _slab_rows(n_words, percent), "slab long, fp long"
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(make, kind)
+    hot = sample.groupBy("slab").agg(F.min("fp").alias("hot_head"), F.count("*").alias("m")).where(F.col("m") >= HOT)
+    hot = cut(hot.orderBy(F.desc("m"), "slab").limit(HOT_SLABS).select("slab", "hot_head"))
+    placed = docs.mapInArrow(make, kind).join(F.broadcast(hot), "slab", "left")
+    rest = placed.where("hot_head is null").select(F.min("fp").over(Window.partitionBy("slab")).alias("head"), "fp")
+    shared = rest if hot.isEmpty() else rest.unionByName(placed.where("hot_head is not null").select(F.col("hot_head").alias("head"), "fp"))
+    shared = cut(shared.where("head <> fp").distinct())
+    cells = shared.unionByName(shared.select("head", F.col("head").alias("fp"))).distinct()
+    return cut(cells.join(sets, "fp").select("head", F.col("rep").alias("id"), "point", (F.col("fp") == F.col("head")).alias("top")))
+
+
+def _candidates(cells: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) of sets of a cell, of which one is a probe, in different components, that may link by their points.
+
+    A large cell's members go into several trees, and its probes are searched in each of them, block by block.
+    """
+    kind = cells.schema["id"].dataType.simpleString()
+    sizes = cells.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).alias("trees"), F.ceil(F.count(F.when(F.col("probe"), 1)) / BLOCK).alias("probings")).where("probings > 0")
+    known = cells.join(sizes, "head")
+    member = known.withColumn("x", F.pmod(F.xxhash64("id"), "trees")).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("probings") - 1)))
+    probe = known.where("probe").withColumn("y", F.pmod(F.xxhash64("id"), "probings")).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)))
+    own = [F.concat_ws(",", "head", "x", "y").alias("block"), "id", "comp", "point", "probe"]
+    blocks = probe.select(F.lit(0).alias("side"), *own).unionByName(member.select(F.lit(1).alias("side"), *own))
+    return packed(blocks.repartition("block").sortWithinPartitions("block", "side").mapInArrow(_tree_join(percent, nearest), f"a {kind}, b {kind}").distinct())
+
+
+def _sets(docs: DataFrame, n_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a row per document; a row per set, with the smallest id that has it; links between copies)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    base = cut(docs.mapInArrow(_base(n_words), f"doc_id {kind}, n long, fp long, fp2 long, point binary"))
+    known = base.where("n > 0 and doc_id is not null")
+    sets = cut(known.groupBy("fp", "fp2", "n").agg(F.min(F.struct("doc_id", "point")).alias("s")).select("fp", "fp2", "n", F.col("s.doc_id").alias("rep"), F.col("s.point").alias("point")))
+    copies = known.drop("point").join(sets.drop("point"), ["fp", "fp2", "n"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    return base, sets, copies
 
 
 def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -331,46 +353,43 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     Links are between document ids: every pair of different sets of which one is linked, directly, or through links
     that are given.  That is enough to find every group, and a large group needs few of its pairs.
     """
-    spark = docs.sparkSession
-    arrow_batches(spark, 500)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    arrow_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", "text")
-    base = cut(docs.mapInArrow(_base(n_words), f"doc_id {kind}, n long, fp long, fp2 long"))
-    known = base.where("n > 0 and doc_id is not null")
-    reps = cut(known.groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("rep")))
-    copies = known.join(reps, ["fp", "fp2", "n"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-
-    # Sets with a key in common: within a key, the first one and each other.
-    # Heads are minima, which tasks sum up before they shuffle; rows of a hot key are then split by the join.
-    keyed = docs.where("doc_id is not null").mapInArrow(_keys(n_words, percent), "key long, fp long")
-    heads = keyed.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head <> last").drop("last")
-    shared = cut(keyed.join(heads, "key").where("fp <> head").distinct())
-    ids = reps.select("fp", "rep")
-    pairs = (
-        shared.select("head", "fp").distinct()
-        .join(ids.select(F.col("fp").alias("head"), F.col("rep").alias("x")), "head").join(ids.select("fp", F.col("rep").alias("y")), "fp")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
-    )
-    pairs = packed(pairs)
-    points = cut(_described(docs, _named(pairs), n_words, whole=False))
-    pairs = packed(_both(pairs, points, "point").mapInArrow(_bounded(percent), f"a {kind}, b {kind}"))
+    base, sets, copies = _sets(docs, n_words)
+    cells = _cells(docs, sets, n_words, percent)
+    # First a cell's head is searched among its members, which connects most of what is alike.  What stays apart from the
+    # head is searched next: the likeliest partner of each, then all partners whose bound allows a link.
+    pairs = _candidates(cells.withColumns({"comp": F.col("id"), "probe": F.col("top")}), percent)
     links = copies.unionByName(_linked(docs, pairs, n_words, percent))
-
-    # What a key's first set isn't connected with may still link with the key's other sets.  First each set is tried with
-    # the likeliest other one of its key, which connects most of what is alike; then all pairs still apart whose bound allows it.
     for nearest in (True, False):
-        pairs = packed(_apart(shared, ids, components(links), points, percent, nearest))
-        links = links.unionByName(_linked(docs, pairs, n_words, percent))
+        of = components(links).withColumnRenamed("component", "c")
+        placed = cells.join(of, "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
+        tops = placed.where("top").groupBy("head").agg(F.min("comp").alias("main"))
+        placed = placed.join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
+        links = links.unionByName(_linked(docs, _candidates(placed, percent, nearest), n_words, percent))
     return base, links
 
 
+def all_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Every link (a, b) between different sets, a < b, each set named by the smallest doc_id that has it.
+
+    The rows grow with the square of a group of near copies; `jaccard_join` needs no such list.
+    """
+    arrow_batches(docs.sparkSession, 500)
+    docs = docs.select("doc_id", "text")
+    _, sets, _ = _sets(docs, n_words)
+    cells = _cells(docs, sets, n_words, percent).withColumns({"comp": F.col("id"), "probe": F.lit(True)})
+    found = _linked(docs, _candidates(cells, percent), n_words, percent)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def jaccard_join(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs`.
 
     Two documents link when their sets of `n_words`-word shingles overlap by at least `percent` of their union; the
     component is the smallest doc_id that links reach.  Sets of one digest are collapsed first, so a group of copies
-    costs one row each; candidates share the digest of a whole group of shingles; points of group counts in R-trees
-    bound the overlap, and every surviving pair is verified on the shingles' 64-bit hashes.
+    costs one row each.  Sets are dealt to cells in which every linked pair meets; candidates come from the cells'
+    R-trees of count points, which bound the overlap; every surviving pair is verified on the shingles' 64-bit hashes.
 
     Null texts and texts without words have no shingles and are their own component.  Rows of one doc_id are one node.
     A null doc_id has no component.  Other columns are ignored.
