@@ -12,36 +12,16 @@ from tallyquill.llm.common import arrow_batches, components, cut, packed
 
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 3, 90
-#: Coordinates of a point: each counts the shingles of one group of hashes.
-GROUPS = 128
+#: Shingles of a set for each coordinate of its point, about; a point has LEAST_GROUPS coordinates at least.
+PER_GROUP, LEAST_GROUPS = 8, 64
 #: Points of an R-tree's leaf, and most points of one block; larger groups are joined block by block.
 LEAF, BLOCK = 16, 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-#: One document of SAMPLE tells which slabs are hot: those of HOT sampled sets or more, the HOT_SLABS most frequent ones at
-#: most.  They are dealt without a shuffle; results don't depend on it.
-SAMPLE, HOT, HOT_SLABS = 1024, 64, 100_000
-#: Sizes of one class lie within this ratio of each other.
-RATIO = 1.5
-_MOST = 1 << 40
-
-
-def _classes(percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least size of each class, and its number of groups.
-
-    Two sets of a and b shingles that link differ in at most (a + b) * (100 - p) / (100 + p) of them.  With one group
-    more than two sets of one class can differ in, some group is the same in both; a few groups more allow for empty ones.
-    """
-    starts = [1]
-    ratio = max(RATIO, 100 / percent)
-    while starts[-1] < _MOST:
-        starts.append(int(np.ceil(starts[-1] * ratio)) + (starts[-1] < 4))
-    most = [(2 * (e - 1) * (100 - percent)) // (100 + percent) for e in starts[1:]]
-    return np.array(starts[:-1]), np.array([m + 1 + _slack(m) for m in most])
-
-
-def _slack(differ: int) -> int:
-    return 1 + differ // 40 if differ else 0
+#: A sample of documents, one of SHARE and SAMPLE at least, tells which shingles are common: COMMON at most.
+SHARE, SAMPLE, COMMON = 64, 4000, 1 << 19
+#: One document of HOT_SHARE tells which cells are hot: those of HOT sampled sets or more, the HOT_CELLS largest at most.
+HOT_SHARE, HOT, HOT_CELLS = 1024, 64, 100_000
 
 
 def shingle_sets(w: tokens.Words, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,21 +47,32 @@ def _fingerprints(rows: np.ndarray, values: np.ndarray, n_rows: int) -> tuple[np
     return size, *out
 
 
-def _coded(points: np.ndarray) -> list[bytes]:
-    """Each row's coordinates in as few bytes as the largest needs: one, two or four each."""
-    most = points.max(axis=1, initial=0)
-    return [p.astype(np.uint8 if m < 1 << 8 else np.uint16 if m < 1 << 16 else np.uint32).tobytes() for p, m in zip(points, most)]
+def _coded(point: np.ndarray) -> bytes:
+    """A point's coordinates in one, two or four bytes each, as the largest needs, after a byte that tells it."""
+    size = 1 if (most := point.max(initial=0)) < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([size]) + point.astype(f"<u{size}").tobytes()
+
 
+def _decoded(coded: bytes) -> np.ndarray:
+    return np.frombuffer(coded, dtype=f"<u{coded[0]}", offset=1).astype(np.int32)
 
-def _decoded(coded: list[bytes]) -> np.ndarray:
-    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
-    return np.stack([np.frombuffer(x, dtype=kinds[len(x)]).astype(np.int64) for x in coded])
 
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point in fewer groups: those of the same leading bits are added up."""
+    return point.reshape(*point.shape[:-1], groups, -1).sum(axis=-1, dtype=np.int32)
 
-def points_of(rows: np.ndarray, values: np.ndarray, n_rows: int) -> np.ndarray:
-    """The points of sets: how many of a set's shingles fall into each group of leading hash bits."""
-    group = ((values >> np.uint64(32)) * np.uint64(GROUPS) >> np.uint64(32)).astype(np.int64)
-    return np.bincount(rows * GROUPS + group, minlength=n_rows * GROUPS).reshape(n_rows, GROUPS)
+
+def points_of(rows: np.ndarray, values: np.ndarray, n_rows: int) -> list[np.ndarray]:
+    """The points of sets: how many of a set's shingles fall into each group of leading hash bits.
+
+    Larger sets have more groups, a power of two, so that a point tells as much of every set.
+    """
+    size = np.bincount(rows, minlength=n_rows)
+    groups = np.maximum(LEAST_GROUPS, 1 << np.ceil(np.log2(np.maximum(size, 1) / PER_GROUP)).clip(0, 30).astype(np.int64))
+    ends = np.cumsum(groups)
+    at = (ends - groups)[rows] + (((values >> np.uint64(32)) * groups[rows].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    every = np.bincount(at, minlength=int(ends[-1]) if n_rows else 0)
+    return np.split(every, ends[:-1])
 
 
 def _base(n: int):
@@ -90,68 +81,69 @@ def _base(n: int):
             for w in tokens.words(batch.column("text")):
                 rows, values = shingle_sets(w, n)
                 size, one, two = _fingerprints(rows, values, w.n_rows)
-                coded = pa.array(_coded(points_of(rows, values, w.n_rows)), pa.binary())
+                coded = pa.array([_coded(p) for p in points_of(rows, values, w.n_rows)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(w.first, w.n_rows), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), coded], names=["doc_id", "n", "fp", "fp2", "point"])
 
     return run
 
 
-def slabs(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(row, slab): the slabs of space that a set lies in, such that two sets that link have one in common.
+def _counted(n: int):
+    """Shingles of texts with the number of texts of a batch that hold them."""
+
+    def run(batches):
+        for batch in batches:
+            found = [shingle_sets(w, n)[1] for w in tokens.words(batch.column("text"))]
+            own, m = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(m)], names=["shingle", "m"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, n_rows: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, level) of shingles that a sample of the documents holds often; COMMON at most.
 
-    A set is cut into its class's groups by the leading bits of the hashes; a slab is where one group is the same.
-    A set that could link with one of the next class lies in that class's slabs too.  Empty groups count only in the rare
-    sets that have more of them than the class allows for.
+    They settle the order in which a set's shingles are looked at, and so only how many sets a cell has.
     """
-    starts, groups = _classes(percent)
-    bounds = np.searchsorted(rows, np.arange(n_rows + 1))
-    size = np.diff(bounds)
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(tokens.mix(values ^ np.uint64(0xD1B54A32D192ED03)), out=total[1:])
-    own_class = np.searchsorted(starts, size, side="right") - 1
-    out_rows, out_keys = [], []
-    for shift in (0, 1):
-        of = own_class + shift
-        use = size > 0
-        if shift:
-            use &= size * 100 >= starts[np.minimum(of, len(starts) - 1)] * percent
-        n_groups = np.where(use, groups[np.clip(of, 0, len(groups) - 1)], 0)
-        mine = np.repeat(n_groups, size)
-        at = np.flatnonzero(mine)
-        if not len(at):
-            continue
-        g = ((values[at] >> np.uint64(32)) * mine[at].astype(np.uint64)) >> np.uint64(32)
-        r = rows[at]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (r[1:] != r[:-1]) | (g[1:] != g[:-1]) | (np.diff(at) != 1)
-        first = np.flatnonzero(new)
-        ends = np.append(at[first[1:] - 1], at[-1]) + 1
-        content = total[ends] - total[at[first]]
-        place = (of[r[first]].astype(np.uint64) << np.uint64(40)) + g[first]
-        out_rows.append(r[first])
-        out_keys.append(tokens.mix(content + tokens.mix(place)))
-        filled = np.bincount(r[first], minlength=n_rows)
-        slack = np.array([_slack(2 * (int(starts[min(c + 1, len(starts) - 1)]) - 1) * (100 - percent) // (100 + percent)) for c in range(len(starts))])
-        for row in np.flatnonzero((n_groups > 0) & (n_groups - filled > slack[np.clip(of, 0, len(slack) - 1)])):
-            empty = np.setdiff1d(np.arange(n_groups[row]), g[r == row].astype(np.int64))
-            out_rows.append(np.full(len(empty), row))
-            out_keys.append(tokens.mix(tokens.mix((np.uint64(of[row]) << np.uint64(40)) + empty.astype(np.uint64))))
-    if not out_rows:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    return np.concatenate(out_rows), np.concatenate(out_keys)
-
-
-def _slab_rows(n: int, percent: int):
+    share = max(1 / SHARE, min(1.0, SAMPLE / max(n_rows, 1)))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counts = cut(sample.mapInArrow(_counted(n_words), "shingle long, m long").groupBy("shingle").agg(F.sum("m").alias("m")).where("m > 2"))
+    least, total = 3, 0
+    for r in sorted(counts.groupBy("m").count().collect(), key=lambda r: -r["m"]):  # one row for each number of times
+        if (total := total + r["count"]) > COMMON:
+            least = r["m"] + 1
+            break
+    rows = counts.where(F.col("m") >= least).toPandas()
+    order = np.argsort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
+    return rows["shingle"].to_numpy(np.int64).view(np.uint64)[order], 1 + np.log2(rows["m"].to_numpy(np.float64)[order]).astype(np.int64)
+
+
+def leading(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shingle): each set's first shingles in an order that is the same for all sets, rare ones first.
+
+    Sets that link have so many shingles in common that the first common one is among the first of either: of a set of b
+    shingles, any that it links with has at least b * percent / 100 of them, so b less that, and one more, are enough.
+    """
+    hashes, levels = common
+    at = np.minimum(np.searchsorted(hashes, values), max(len(hashes) - 1, 0))
+    level = np.where(hashes[at] == values, levels[at], 0) if len(hashes) else np.zeros(len(values), dtype=np.int64)
+    order = np.lexsort((values, level, rows))
+    size = np.bincount(rows, minlength=n_rows)
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size)
+    keep = place < (size + (-size * percent) // 100 + 1)[rows]
+    return rows[keep], values[order][keep]
+
+
+def _led(n: int, percent: int, common):
     def run(batches):
         for batch in batches:
             for w in tokens.words(batch.column("text")):
                 rows, values = shingle_sets(w, n)
                 _, fp, _ = _fingerprints(rows, values, w.n_rows)
                 first = np.zeros(w.n_rows, dtype=bool)
-                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch lie in the same slabs
+                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch have the same shingles
                 keep = first[rows]
-                r, own = slabs(rows[keep], values[keep], w.n_rows, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["slab", "fp"])
+                r, own = leading(rows[keep], values[keep], w.n_rows, percent, common.value)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["shingle", "fp"])
 
     return run
 
@@ -211,19 +203,44 @@ class RTree:
         return own[fits & (np.minimum(self.points[own], p).sum(axis=1) >= least_overlap(n, size, percent))]
 
 
+class _Block:
+    """A block's members in R-trees, one for each number of groups that their points have."""
+
+    def __init__(self, members: list[tuple]):
+        self.members, self.points = members, [_decoded(m[2]) for m in members]
+        self.groups = np.array([len(p) for p in self.points])
+        self.trees: dict[tuple[int, bool], tuple[np.ndarray, RTree]] = {}
+
+    def _tree(self, groups: int, wider: bool) -> tuple[np.ndarray, RTree | None]:
+        """(members, tree) of the points of so many groups, and, if `wider`, of twice as many."""
+        if (groups, wider) not in self.trees:
+            own = np.flatnonzero((self.groups == groups) | (wider & (self.groups == 2 * groups)))
+            self.trees[groups, wider] = own, RTree(np.stack([folded(self.points[i], groups) for i in own])) if len(own) else None
+        return self.trees[groups, wider]
+
+    def search(self, point: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(members, bound of their overlap) that may link; sets that link differ by one doubling of groups at most."""
+        found, bounds = [], []
+        for groups, wider in ((len(point), True), (len(point) // 2, False)):
+            own, tree = self._tree(groups, wider)
+            if tree is not None:
+                p = folded(point, groups)
+                at = tree.search(p, percent)
+                found.append(own[at])
+                bounds.append(np.minimum(tree.points[at], p).sum(axis=1) / (tree.size[at] + p.sum()))
+        return (np.concatenate(found), np.concatenate(bounds)) if found else (np.zeros(0, dtype=np.int64), np.zeros(0))
+
+
 def _block_pairs(probes: list[tuple], members: list[tuple], percent: int, nearest: bool) -> list[tuple]:
     """(probe, member) that may link and aren't connected yet; with `nearest`, for each probe only the likeliest.
 
     Rows are (id, component, point, is a probe).  Two probes are tried once, by the one of the smaller id.
     """
-    tree = RTree(_decoded([m[2] for m in members]))
-    out = []
-    for (i, comp, _, _), p in zip(probes, _decoded([x[2] for x in probes])):
-        own = [j for j in tree.search(p, percent) if members[j][1] != comp and (not members[j][3] or i < members[j][0])]
-        if nearest and len(own) > 1:
-            overlap = np.minimum(tree.points[own], p).sum(axis=1)
-            own = [own[int(np.argmax(overlap / (tree.size[own] + p.sum())))]]
-        out.extend((i, members[j][0]) for j in own)
+    block, out = _Block(members), []
+    for i, comp, coded, _ in probes:
+        found, bounds = block.search(_decoded(coded), percent)
+        own = [(b, members[j][0]) for j, b in zip(found, bounds) if members[j][1] != comp and (not members[j][3] or i < members[j][0])]
+        out.extend((i, j) for _, j in (sorted(own, key=lambda x: (-x[0], x[1]))[:1] if nearest else own))
     return out
 
 
@@ -302,21 +319,27 @@ def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> Da
     return packed(texts.mapInArrow(_verify(n_words, percent), f"a {kind}, b {kind}").distinct())
 
 
-def _cells(docs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:
+def _cells(docs: DataFrame, sets: DataFrame, n_rows: int, n_words: int, percent: int) -> DataFrame:
     """(head, id, point, top): the cells that sets are dealt to; every two sets that link are in a cell together.
 
-    A cell holds all sets that share a slab whose first set is the cell's head, once each, however many slabs they
-    share.  A slab that many sets share, as a sample of the documents tells, gets a head from the sample and so needs no
-    shuffle; the sample settles only who is head.
+    A cell holds all sets that share a leading shingle whose first set is the cell's head, once each, however many
+    shingles they share.  A shingle that leads many sets, as a sample of the documents tells, gets a head from the sample
+    and so needs no shuffle; the sample settles only who is head.
     """
     docs = docs.where("doc_id is not null")
-    make, kind = _slab_rows(n_words, percent), "slab long, fp long"
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(make, kind)
-    hot = sample.groupBy("slab").agg(F.min("fp").alias("hot_head"), F.count("*").alias("m")).where(F.col("m") >= HOT)
-    hot = cut(hot.orderBy(F.desc("m"), "slab").limit(HOT_SLABS).select("slab", "hot_head"))
-    placed = docs.mapInArrow(make, kind).join(F.broadcast(hot), "slab", "left")
-    rest = placed.where("hot_head is null").select(F.min("fp").over(Window.partitionBy("slab")).alias("head"), "fp")
-    shared = rest if hot.isEmpty() else rest.unionByName(placed.where("hot_head is not null").select(F.col("hot_head").alias("head"), "fp"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, n_rows, n_words))  # COMMON hashes at most
+    make, kind = _led(n_words, percent, common), "shingle long, fp long"
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SHARE)) == 0).mapInArrow(make, kind)
+    hot = sample.groupBy("shingle").agg(F.min("fp").alias("hot_head"), F.count("*").alias("m")).where(F.col("m") >= HOT)
+    hot = cut(hot.orderBy(F.desc("m"), "shingle").limit(HOT_CELLS).select("shingle", "hot_head"))
+    led = docs.mapInArrow(make, kind)
+    by_shingle = Window.partitionBy("shingle")
+    if hot.isEmpty():
+        shared = led.select(F.min("fp").over(by_shingle).alias("head"), "fp")
+    else:
+        led = led.join(F.broadcast(hot), "shingle", "left")
+        rest = led.where("hot_head is null").select(F.min("fp").over(by_shingle).alias("head"), "fp")
+        shared = rest.unionByName(led.where("hot_head is not null").select(F.col("hot_head").alias("head"), "fp"))
     shared = cut(shared.where("head <> fp").distinct())
     cells = shared.unionByName(shared.select("head", F.col("head").alias("fp"))).distinct()
     return cut(cells.join(sets, "fp").select("head", F.col("rep").alias("id"), "point", (F.col("fp") == F.col("head")).alias("top")))
@@ -356,7 +379,7 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     arrow_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", "text")
     base, sets, copies = _sets(docs, n_words)
-    cells = _cells(docs, sets, n_words, percent)
+    cells = _cells(docs, sets, base.count(), n_words, percent)
     # First a cell's head is searched among its members, which connects most of what is alike.  What stays apart from the
     # head is searched next: the likeliest partner of each, then all partners whose bound allows a link.
     pairs = _candidates(cells.withColumns({"comp": F.col("id"), "probe": F.col("top")}), percent)
@@ -377,8 +400,8 @@ def all_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) ->
     """
     arrow_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", "text")
-    _, sets, _ = _sets(docs, n_words)
-    cells = _cells(docs, sets, n_words, percent).withColumns({"comp": F.col("id"), "probe": F.lit(True)})
+    base, sets, _ = _sets(docs, n_words)
+    cells = _cells(docs, sets, base.count(), n_words, percent).withColumns({"comp": F.col("id"), "probe": F.lit(True)})
     found = _linked(docs, _candidates(cells, percent), n_words, percent)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
