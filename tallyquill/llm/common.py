@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import os
+import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +40,22 @@ def plus(df: DataFrame, column: str, kind: str) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(column, T._parse_datatype_string(kind))])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or the first of it with underscores that no column of `df` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it; where it names none, one for tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", "/tmp/checkpoints")
+    """The folder that all executors share, as the session names it; without one, only a local session has a folder of its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.gettempdir() + "/checkpoints"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -51,6 +66,7 @@ def cut(df: DataFrame) -> DataFrame:
     own = df.checkpoint(eager=True)
     # Shuffle files of what was cut off go when the driver's JVM collects its garbage, which it seldom does by itself.
     gc.collect()
+    pa.default_memory_pool().release_unused()
     sc._jvm.System.gc()
     return own
 
@@ -85,6 +101,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, r: i
 
 #: Rows of a partition that `packed` and `components` aim at.
 PART_ROWS = 100_000
+#: Parts that the members of one component are dealt to.
+SALTS = 4
 
 
 def _parts(rows: int) -> int:
@@ -111,8 +129,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         near = edges.join(label.select(F.col("id").alias("v"), "component"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("m"))
         step = label.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "m").alias("c"))
-        jump = step.select(F.col("id").alias("c"), F.col("c").alias("j"))
-        after = cut(step.join(jump, "c", "left").select("id", "was", F.least("c", "j").alias("component")))
+        # A component's root is looked up once for each of SALTS parts of its members, however many they are.
+        salted = step.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+        jump = step.join(step.select(F.col("c").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("c"), F.col("c").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+        after = cut(salted.join(jump, ["c", "salt"], "left").select("id", "was", F.least("c", "j").alias("component")))
         rows, changed = after.agg(F.count("*"), F.count(F.when(F.col("component") != F.col("was"), 1))).first()
         label = after.select("id", "component").coalesce(_parts(rows))
         if not changed:

@@ -13,13 +13,13 @@ from tallyquill.llm.common import arrow_batches, components, cut, packed
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 3, 90
 #: Shingles of a set for each coordinate of its point, about; a point has LEAST_GROUPS coordinates at least.
-PER_GROUP, LEAST_GROUPS = 8, 64
+PER_GROUP, LEAST_GROUPS = 4, 64
 #: Points of an R-tree's leaf, and most points of one block; larger groups are joined block by block.
 LEAF, BLOCK = 16, 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: A sample of documents, one of SHARE and SAMPLE at least, tells which shingles are common: COMMON at most.
-SHARE, SAMPLE, COMMON = 64, 4000, 1 << 19
+SHARE, SAMPLE, COMMON = 64, 4000, 1 << 18
 #: One document of HOT_SHARE tells which cells are hot: those of HOT sampled sets or more, the HOT_CELLS largest at most.
 HOT_SHARE, HOT, HOT_CELLS = 1024, 64, 100_000
 
