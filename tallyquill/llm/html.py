@@ -33,7 +33,9 @@ _BLOCKS = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 _RAW = r"script|style|template|noscript|textarea|title|svg|iframe|object"
-_TOKEN = re.compile(rf"(?is)<!--.*?(?:-->|$)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)")
+#: Attributes; where a quote stays open, all up to the next end of a tag.  A drawing that closes itself has no content.
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+_TOKEN = re.compile(rf"(?is)<!--.*?(?:-->|$)|<svg\b{_ATTRIBUTES}/>|<({_RAW})\b{_ATTRIBUTES}>.*?(?:</\1\s*>|$)|<(/?)([a-z][a-z0-9:-]*)({_ATTRIBUTES}|[^>]*)>|<[!?][^>]*>|([^<]+|<)")
 _NAMES = re.compile(r"""(?is)\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACE = re.compile(r"\s+")
 #: An element of the key closes open ones of its values.
@@ -375,8 +377,10 @@ def main_text(net: Network, pages: list[str | None]) -> list[str]:
 def extract(pages: DataFrame, net: Network) -> DataFrame:
     """`pages` with the main text of each whole html in `text`, and its length in code points in `n_chars`.
 
-    Null and empty pages, and pages without text, give an empty text.  Pages are labelled one by one, so repeated rows
-    and other columns don't matter; columns of those names are replaced.
+    Null and empty pages, and pages without text, give an empty text, and no pages no rows.  Pages are labelled one by
+    one, so repeated rows and other columns don't matter; columns of those names are replaced.  A page is read whole
+    whatever its length; its blocks' features, some 1300 bytes a block, are held at once.  Broken markup is put up with:
+    an open quote ends with the tag, missing end tags are supplied, and an open script goes to the page's end.
     """
     arrow_batches(pages.sparkSession, 500)
     shared = pages.sparkSession.sparkContext.broadcast(net)
