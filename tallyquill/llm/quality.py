@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill.llm import tokens
-from tallyquill.llm.common import arrow_batches, held_out, labelled_sample, plus
+from tallyquill.llm.common import arrow_batches, held_out, labelled_sample, plus, unused
 
 #: Most labelled documents that dictionaries and calibration are made from, half of each label where there are so many.
 SAMPLE = 8000
@@ -34,6 +34,11 @@ class Model:
     short: float
     offset: float
 
+    @property
+    def fitted(self) -> bool:
+        """Whether there were labels of both kinds; otherwise every score is 0.5."""
+        return bool(self.slope or self.short or self.offset)
+
     def compressors(self) -> list[zstandard.ZstdCompressor]:
         return [_compressor(x) for x in (self.good, self.bad)]
 
@@ -107,7 +112,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (b / np.append(scale, 1)).tolist()
 
 
-def _differences(docs: DataFrame, model: Model) -> DataFrame:
+def _differences(docs: DataFrame, model: Model, column: str = "difference") -> DataFrame:
     arrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -117,19 +122,20 @@ def _differences(docs: DataFrame, model: Model) -> DataFrame:
             data, at = tokens.buffers(batch.column("text"))
             raw = memoryview(data)
             found = [difference(raw[at[i] : at[i + 1]], good, bad) for i in range(len(at) - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "difference"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, plus(docs, "difference", "double"))
+    return docs.mapInArrow(run, plus(docs, column, "double"))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """`docs` with each whole text's quality between 0 and 1 in `column`.
 
     Null and empty texts compress alike with both dictionaries and get the calibration's value of 0.  Rows are scored
-    one by one; a column named like `column`, or `difference`, is replaced or dropped.
+    one by one; a column named like `column` is replaced, all others stay.
     """
-    own = _differences(docs.drop(column, "difference"), model)
-    return own.withColumn(column, 1 / (1 + F.exp(-(F.col("difference") * model.slope + _shortness() * model.short + model.offset)))).drop("difference")
+    told = unused(docs, "_difference")
+    own = _differences(docs.drop(column), model, told)
+    return own.withColumn(column, 1 / (1 + F.exp(-(F.col(told) * model.slope + _shortness() * model.short + model.offset)))).drop(told)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
