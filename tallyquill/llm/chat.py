@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +15,20 @@ BLOCK = 256
 END = "<|end|>\n"
 
 
+def unmarked(text: Column) -> Column:
+    """The text with what could open a mark taken apart."""
+    return F.replace(text, F.lit("<|"), F.lit("< |"))
+
+
+def dialogues(segments: DataFrame) -> DataFrame:
+    """(conv_id, speaker, dialogue, masks) of the segments of `perspectives`: each participant's text as a whole, and the
+    [start, end] stretches that are trained on, in order.  One row gathers one dialogue, which must fit a row."""
+    own = F.array_sort(F.collect_list(F.struct("position", "segment", "mask_start", "mask_end")))
+    rows = segments.groupBy("conv_id", "speaker").agg(own.alias("_own"))
+    masks = F.transform(F.filter("_own", lambda x: x["mask_start"].isNotNull()), lambda x: F.array(x["mask_start"], x["mask_end"]))
+    return rows.select("conv_id", "speaker", F.array_join(F.transform("_own", lambda x: x["segment"]), "").alias("dialogue"), masks.alias("masks"))
+
+
 def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per turn and participant: the turn as it reads in the dialogue that has this participant as assistant.
 
@@ -23,21 +37,22 @@ def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     turns `<|system|>`.  Returns conv_id, speaker, position (from 0), turn, role, segment (header, text and end mark),
     start and end (offsets of the segment in the dialogue, in characters), train (the speaker's own turns), mask_start
     and mask_end (offsets of what is trained on: the text and its end mark; null elsewhere).  Joining a speaker's
-    segments in order of position gives the dialogue.
+    segments in order of position gives the dialogue, as `dialogues` does.  A mark's opening `<|` in a text or role is
+    written `< |`, so that no turn can forge another.
 
     Turns are in order of number, nulls last, then role and text; repeated rows repeat.  Null texts are empty, a null
     role speaks as `unknown`, null conv_ids are one conversation, and a conversation of system turns only gives no
     rows.  Other columns are ignored.  A long conversation is spread over blocks of turn numbers (nulls: of hashes):
     offsets are summed within a block and over blocks, so no task gathers a whole conversation.
     """
-    own = turns.select("conv_id", "turn", F.coalesce("role", F.lit(NOBODY)).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    own = turns.select("conv_id", "turn", F.coalesce("role", F.lit(NOBODY)).alias("role"), unmarked(F.coalesce("text", F.lit(""))).alias("text"))
     late = F.lit(1 << 50) + F.shiftrightunsigned(F.xxhash64("role", "text"), 48)
     own = own.withColumn("_block", F.coalesce(F.floor(F.col("turn") / block), late))
     speakers = own.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker")).distinct()
     each = own.join(speakers, own["conv_id"].eqNullSafe(speakers["_conv"])).drop("_conv")
     head = (
         F.when(F.col("role") == SYSTEM, F.lit("<|system|>")).when(F.col("role") == F.col("speaker"), F.lit("<|assistant|>"))
-        .otherwise(F.concat(F.lit("<|user name="), "role", F.lit("|>")))
+        .otherwise(F.concat(F.lit("<|user name="), unmarked(F.col("role")), F.lit("|>")))
     )
     each = each.withColumn("_head", head).withColumn("segment", F.concat("_head", "text", F.lit(END))).withColumn("_long", F.length("segment").cast("long"))
 

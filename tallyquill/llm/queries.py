@@ -83,9 +83,9 @@ ORACLE_SQL: dict[str, str] = {
                 AND upto > open AND abs(gap - size) < gap AS one_more FROM f)
         SELECT doc_id, size, source_size, target, ((certain + (upto <= open OR one_more)::INT) * size)::BIGINT AS taken FROM x""",
     "op6_chat_rotation": """
-        WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+        WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
         s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
-        e AS (SELECT t.*, speaker, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END AS head
+        e AS (SELECT t.*, speaker, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>' ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' END AS head
               FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
         g AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM e),
         o AS (SELECT *, sum(length(segment)) OVER w AS upto, row_number() OVER w - 1 AS position FROM g
