@@ -12,33 +12,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyquill.llm import decontaminate, jaccard, mixing, quality, toxicity
-from tallyquill.llm.common import shared_folder, table
+from tallyquill.llm.common import shared_folder, table, unused
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier takes for good; it learns from those left that have labels."""
+    """Documents that the compression classifier takes for good; it learns from those left that have labels.
+
+    Without labels of both kinds nothing can be learnt, and all documents stay.  Null and empty texts are scored like
+    others, repeated rows and ties alike; no documents give none.  Columns stay, whatever their names.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, "_score").where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    score = unused(docs, "_score")
+    return quality.score(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns) if model.fitted else docs
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier doesn't reject."""
+    """Documents that the toxicity classifier doesn't reject; where it learnt nothing, all stay.
+
+    Null and empty texts are scored like others, repeated rows and ties alike; no documents give none.
+    """
     learnt = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, learnt, "_score").where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    score = unused(docs, "_score")
+    return toxicity.score(docs, learnt, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that shingle similarity links, the one of the smallest id."""
+    """Of each group of documents that shingle similarity links, the rows of the smallest id.
+
+    Null and empty texts and null ids are in no group and stay; rows that repeat an id stay or go together.
+    """
     return jaccard.keep_one(docs, WORDS, PERCENT)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that benchmark passages contaminate."""
+    """Documents without those that benchmark passages contaminate; null and empty texts are clean, rows judged one by one."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: the documents taken, with the number of copies, size, target and words taken."""
+    """The mixture: the documents taken, with the number of copies, size, target and words taken; texts without words have size 0."""
     return mixing.mix(docs)
 
 
@@ -53,7 +65,7 @@ STAGES = [
     ("mixture", mixed),
 ]
 
-#: SQL can express neither classifier; the stages are tested one by one and the whole against a brute-force version.
+#: SQL can express neither classifier; tests compare a whole run with its stages' rules worked out by brute force.
 ORACLE_SQL = None
 
 
