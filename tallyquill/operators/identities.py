@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyquill import tables
+from tallyquill.functions.text import condition_key
+
+
+#: What makes two fee components equal.
+_PARTS = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount")
 
 
 def fee_signature(components: str = "components", *rest: str) -> Column:
     """Text that is equal for equal sets of fee components and equal `rest` (unit, exactness, behavior, plan)."""
-    names = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount")
-    own = F.array_sort(F.transform(components, lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in names))))
+    own = F.array_sort(F.transform(components, lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in _PARTS))))
     return F.concat_ws("\u0003", F.array_join(own, "\u0002"), *(F.coalesce(r, F.lit("")) for r in rest))
 
 
@@ -22,17 +26,38 @@ def fee_candidate(status: str = "status", components: str = "components") -> Col
     return F.col(status).isin("calculable_rule", "classified") | ((F.col(status) == "non_calculable") & number)
 
 
-def merged(rules: DataFrame, selector: list[str], signature: str, order: str, status: str, ids: str) -> DataFrame:
-    """One row per selector and signature: first_at, the first row's status, best confidence, and the distinct ids in order."""
-    first = F.min_by(status, order)
-    return rules.groupBy(*selector, signature).agg(
-        F.min(order).alias("first_at"), first.alias(status), F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"),
-        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(ids).alias("id")))), lambda x: x["id"])).alias("entry_ids"),
+#: Statuses of equal fees: the most concrete one is kept.
+_CONCRETE = ("calculable_rule", "classified", "non_calculable")
+
+
+def _concrete(status: Column) -> Column:
+    """Rank of a status, 0 the most concrete."""
+    return F.coalesce(*(F.when(status == s, F.lit(k)) for k, s in enumerate(_CONCRETE)), F.lit(len(_CONCRETE)))
+
+
+def _in_order(items: Column, order: list[Column]) -> Column:
+    """The distinct items of a group's rows, by the rows' order."""
+    return F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(*order, items.alias("_items")))), lambda x: x["_items"])))
+
+
+def merged(rules: DataFrame, selector: list[str], signature: str, order: str, status: str, ids: str, lists: tuple[str, ...] = (), first: tuple[str, ...] = ()) -> DataFrame:
+    """One row per selector and signature.
+
+    first_at, n_rules, the most concrete status (of equals the first row's), the best confidence, the distinct `ids` (one
+    a row, as entry_ids) and those of the array columns `lists` in order, and the `first` columns of the first row.
+    Rows of one place are put in order by their id, so results don't depend on how rows arrive.
+    """
+    place = [F.col(order).alias("_at"), F.col(ids).alias("_id")]
+    found = rules.groupBy(*selector, signature).agg(
+        F.min(order).alias("first_at"), F.min_by(status, F.struct(_concrete(F.col(status)), *place)).alias("_status"), F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"),
+        _in_order(F.array(ids), place).alias("_ids"), *(_in_order(F.coalesce(F.col(c), F.array().cast("array<string>")), place).alias(f"_{c}") for c in lists), F.min_by(F.struct(*first, F.lit(0).alias("_")), F.struct(*place)).alias("_first"),
     )
+    names = {"_status": status, "_ids": "entry_ids"} | {f"_{c}": c for c in lists}
+    return found.select("*", *(F.col(f"_first.{c}").alias(c) for c in first)).drop("_first").withColumnsRenamed(names)
 
 
-def resolved(groups: DataFrame, selector: list[str], status: str = "status", candidate: str = "is_candidate", unspecified: Column | None = None) -> DataFrame:
-    """Groups of `merged` with their outcome.
+def resolved(groups: DataFrame, selector: list[str], status: str = "status", candidate: str = "is_candidate", unspecified: Column | None = None, lists: tuple[str, ...] = ()) -> DataFrame:
+    """Groups of `merged` with their outcome; what stays takes entry_ids and `lists` of what goes, in order.
 
     An unspecified product with several groups is one informational row.  A single fee candidate absorbs the rest;
     of several candidates every group is a conflict without confidence; without any, the first absorbs the others.
@@ -43,25 +68,95 @@ def resolved(groups: DataFrame, selector: list[str], status: str = "status", can
     loose = F.lit(False) if unspecified is None else unspecified
     outcome = F.when(loose & (F.col("_n") > 1), "informational").when(F.col("_fees") > 1, "conflict").otherwise(F.col(status))
     stays = F.when(F.col("_fees") > 1, ~loose | (F.col("_first") == 1)).when((F.col("_fees") == 1) & ~(loose & (F.col("_n") > 1)), F.col(candidate)).otherwise(F.col("_first") == 1)
-    every = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first_at", "entry_ids")).over(own)), lambda x: x["entry_ids"])))
     takes = (F.col("_fees") <= 1) | (loose & (F.col("_n") > 1))
-    rows = rows.withColumns({"_outcome": outcome, "_stays": stays, "_ids": F.when(takes, every).otherwise(F.col("entry_ids"))}).where("_stays")
+    names = ("entry_ids", *lists)
+    every = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first_at", c)).over(own)), lambda x: x[c]))
+    rows = rows.withColumns({"_outcome": outcome, "_stays": stays} | {f"_{c}": F.when(takes, F.array_distinct(every(c))).otherwise(F.col(c)) for c in names}).where("_stays")
     fails = (F.col("_fees") > 1) | (loose & (F.col("_n") > 1))
-    return rows.withColumns({status: F.col("_outcome"), "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence")), "entry_ids": F.col("_ids")}).drop(
-        "_n", "_fees", "_first", "_outcome", "_stays", "_ids"
-    )
+    rows = rows.withColumns({status: F.col("_outcome"), "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence"))} | {c: F.col(f"_{c}") for c in names})
+    return rows.drop("_n", "_fees", "_first", "_outcome", "_stays", *(f"_{c}" for c in names))
 
 
 def absorbed_subsets(groups: DataFrame, selector: list[str], key: str, parts: str) -> DataFrame:
     """Groups without those whose set of `parts` lies within a larger set of the same selector; equal sets keep the last key.
 
-    Sets are compared by their parts' postings, so a pair is made only where two groups of a selector share a part.
+    Equal sets of a selector are put together first, whatever their number; only the distinct sets are compared, by
+    their parts' postings.
     """
-    each = groups.select(*selector, key, F.size(parts).alias("_size"), F.explode(parts).alias("_part"))
-    other = each.select(*selector, F.col(key).alias("_key"), F.col("_size").alias("_large"), "_part")
-    both = each.join(other, [*selector, "_part"]).where((F.col("_size") < F.col("_large")) | ((F.col("_size") == F.col("_large")) & (F.col(key) < F.col("_key"))))
-    inside = both.groupBy(*selector, key, "_key", "_size").count().where("count = _size").select(*selector, key).distinct()
-    return groups.join(inside, [*selector, key], "left_anti")
+    own = groups.withColumn("_set", F.array_join(F.array_sort(F.transform(F.array_distinct(parts), lambda p: p.cast("string"))), "\u0001"))
+    sets = own.groupBy(*selector, "_set").agg(F.max(key).alias("_last"), F.first(F.array_distinct(parts)).alias("_parts"))
+    each = sets.select(*selector, "_set", F.size("_parts").alias("_size"), F.explode("_parts").alias("_part"))
+    other = each.select(*selector, F.col("_set").alias("_other"), F.col("_size").alias("_large"), "_part")
+    both = each.join(other, [*selector, "_part"]).where(F.col("_size") < F.col("_large"))
+    inside = both.groupBy(*selector, "_set", "_other", "_size").count().where("count = _size").select(*selector, "_set").distinct()
+    kept = sets.join(inside, [*selector, "_set"], "left_anti").select(*selector, "_set", F.col("_last").alias(key))
+    return own.join(kept, [*selector, "_set", key], "left_semi").drop("_set")
+
+
+def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
+    """`classified` rules of one identity (product, variant, conditions; within `by`) as one, or as conflicts.
+
+    Equal fees are merged; a group whose components lie within another's is absorbed by it; of what then differs, all are
+    conflicts.  entry_ids, texts and rule_ids tell where a rule comes from.
+    """
+    selector = [*by, "product_id", "variant_id", "condition_key"]
+    plan = F.try_element_at(F.filter("conditions", lambda c: c["dimension"] == "pricing_plan"), F.lit(1))["value"]
+    keyed = rules.withColumns({
+        "condition_key": condition_key("conditions"), "is_candidate": fee_candidate("status", "fee_components"), "plan": plan,
+        "component_keys": F.transform("fee_components", lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in _PARTS))),
+    })
+    keyed = keyed.withColumn("signature", fee_signature("fee_components", "unit", "exactness", "behavior", "plan"))
+    flat = ("rule_id", "label", "unit", "exactness", "behavior", "percentage", "fixed_amount", "fixed_currency", "payment_method", "channel", "component_keys", "fee_components", "conditions", "fee_evidence", "is_candidate")
+    found = merged(keyed.withColumnRenamed("entry_ids", "contributing"), selector, "signature", "entry_id", "status", "rule_id", ("contributing", "source_texts"), flat)
+    found = found.withColumnRenamed("entry_ids", "rule_ids").withColumnRenamed("contributing", "entry_ids")
+    whole = absorbed_subsets(found, selector, "first_at", "component_keys").select(*selector, "first_at")
+    gone = found.join(whole, [*selector, "first_at"], "left_anti")
+    kept = found.join(whole, [*selector, "first_at"], "left_semi")
+    lost = gone.groupBy(*selector).agg(F.flatten(F.array_sort(F.collect_list("entry_ids"))).alias("_more"))
+    kept = kept.join(lost, selector, "left").withColumn("entry_ids", F.array_distinct(F.concat("entry_ids", F.coalesce("_more", F.array().cast("array<string>"))))).drop("_more")
+    return resolved(kept, selector, unspecified=F.col("product_id") == "unspecified", lists=("source_texts", "rule_ids"))
+
+
+#: Counters by the status of rules, and of entries that are left over; what both have is added up.
+_RULE_COUNTERS = {
+    "calculable_rule": "calculable_rules", "non_calculable": "non_calculable_rules", "conflict": "conflicting_rule_identities", "included": "included", "free": "free", "informational": "informational",
+    "custom_pricing": "custom_pricing", "unsupported_fee_shape": "unsupported_fee_shapes",
+}
+_ENTRY_COUNTERS = {
+    "unclassified_fee_candidate": "unclassified_fee_candidates", "ambiguous": "ambiguous_entries", "unsupported_fee_shape": "unsupported_fee_shapes", "ignored_non_fee": "ignored_non_fee",
+    "reference_only": "reference_only", "included": "included", "free": "free", "informational": "informational", "custom_pricing": "custom_pricing",
+}
+
+
+def counters(entries: DataFrame, rules: DataFrame, leftovers: DataFrame, by: list[str]) -> DataFrame:
+    """All counters of coverage per group: of entries (entry_id, has_fee), rules (entry_ids, status, is_candidate) and
+    leftovers (entry_id, status, has_fee).
+
+    An entry with a fee is dropped if neither a rule nor a leftover refers to it.  Groups without rules or leftovers
+    have zeros.
+    """
+    used = rules.select(*by, F.explode("entry_ids").alias("entry_id")).unionByName(leftovers.select(*by, "entry_id")).distinct().withColumn("_used", F.lit(True))
+    of_entries = entries.join(used, [*by, "entry_id"], "left").groupBy(*by).agg(
+        F.count("*").alias("source_entries"), F.count_if("has_fee").alias("numeric_source_entries"), F.count_if(F.col("has_fee") & F.col("_used").isNotNull()).alias("referenced_numeric_entries"),
+        F.count_if(F.col("has_fee") & F.col("_used").isNull()).alias("dropped_numeric_entries"),
+    )
+    clash = F.col("status") == "conflict"
+    of_rules = rules.groupBy(*by).agg(
+        *(F.count_if(F.col("status") == s).alias(f"r_{c}") for s, c in _RULE_COUNTERS.items()), F.count_if(clash & F.col("is_candidate")).alias("blocking_fee_conflicts"), F.count_if(clash & ~F.col("is_candidate")).alias("informational_conflicts")
+    )
+    of_left = leftovers.groupBy(*by).agg(
+        *(F.count_if(F.col("status") == s).alias(f"e_{c}") for s, c in _ENTRY_COUNTERS.items()), F.count_if(F.col("has_fee") & ~F.col("status").isin(*tables.CLOSED)).alias("numeric_fee_candidates")
+    )
+    every = of_entries.join(of_rules, by, "left").join(of_left, by, "left").na.fill(0)
+    names = list(dict.fromkeys([*_RULE_COUNTERS.values(), *_ENTRY_COUNTERS.values()]))
+    sums = [sum((F.col(p + n) for p, own in (("r_", _RULE_COUNTERS), ("e_", _ENTRY_COUNTERS)) if n in own.values()), F.lit(0)).cast("long").alias(n) for n in names]
+    plain = ("source_entries", "numeric_source_entries", "referenced_numeric_entries", "dropped_numeric_entries", "blocking_fee_conflicts", "informational_conflicts", "numeric_fee_candidates")
+    return every.select(*by, *plain, *sums)
+
+
+def summed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """One row with the sum of every counter over all groups."""
+    return rows.agg(*(F.sum(c).alias(c) for c in rows.columns if c not in by))
 
 
 def coverage(rules: DataFrame, leftovers: DataFrame, by: list[str]) -> DataFrame:

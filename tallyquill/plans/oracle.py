@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyquill import tables
+from tallyquill.plans import entries_oracle
 
 _PHRASE = "(round(l_discount * 100)::INT || ',' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') || '% + ' || l_quantity::INT || '.25 €')"
 _FEES = f"(SELECT *, {_PHRASE} AS phrase, round(l_discount * 100)::INT || '.' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') AS share FROM lineitem)"
@@ -42,6 +43,7 @@ _NATION_RULES = """r AS (SELECT n_name AS country, CASE WHEN l_linenumber < 6 TH
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"""
 
 SQL: dict[str, str] = {
+    **entries_oracle.SQL,
     "t02_t04_percentage": f"SELECT {_KEY}, phrase, share AS percentage, (share::DECIMAL(10,2) * 100)::DECIMAL(14,2)::VARCHAR AS basis_points FROM {_FEES}",
     "t03_parse_decimal": f"""SELECT {_KEY}, q || [',5', '.000,50', ',000.50', '.000', ',1234', ' 000', '.25.'][k + 1] AS written, q || ['.5', '000.50', '000.50', '000', '1234', '000', NULL][k + 1] AS number
         FROM (SELECT *, (l_quantity::INT)::VARCHAR AS q, l_linenumber % 7 AS k FROM lineitem)""",
@@ -88,15 +90,15 @@ SQL: dict[str, str] = {
         SELECT 'removed_market' AS kind, country, NULL::VARCHAR AS key, NULL::VARCHAR AS before, NULL::VARCHAR AS after FROM w WHERE country NOT IN (SELECT country FROM n)
         UNION ALL SELECT 'new_market', country, NULL, NULL, NULL FROM n WHERE country NOT IN (SELECT country FROM w)
         UNION ALL SELECT 'sharp_market_drop', NULL, NULL, n::VARCHAR, (n - lost)::VARCHAR FROM s WHERE n > 0 AND lost > 0.2 * n""",
-    "r04_r08_market_counts": f"""WITH {_RULES}, m AS (SELECT old, country, count(DISTINCT o_orderkey) AS n_sections, count(*) AS n_entries, count(*) FILTER (fixed_currency = 'R') AS n_rules,
-          CASE WHEN count(*) > 100 THEN 'complete' ELSE 'unclassified' END AS status FROM halves GROUP BY ALL),
+    "r04_r08_market_counts": f"""WITH m AS (SELECT o_orderdate < {_HALF} AS old, o_custkey::VARCHAR AS country, count(DISTINCT o_orderkey) AS n_sections, count(*) AS n_entries, count(*) FILTER (l_quantity > 40) AS n_rules,
+          CASE WHEN count(*) > 6 THEN 'complete' WHEN count(*) > 3 THEN 'partial' ELSE 'unclassified' END AS status FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL),
         b AS (SELECT o.country, o.n_sections AS s1, n.n_sections AS s2, o.n_entries AS e1, n.n_entries AS e2, o.n_rules AS r1, n.n_rules AS r2, o.status AS t1, n.status AS t2 FROM m o JOIN m n USING (country) WHERE o.old AND NOT n.old)
-        SELECT 'sharp_section_drop' AS kind, country, NULL::VARCHAR AS key, s1::VARCHAR AS before, s2::VARCHAR AS after FROM b WHERE s1 > 0 AND s2 < 0.95 * s1
-        UNION ALL SELECT 'sharp_entry_drop', country, NULL, e1::VARCHAR, e2::VARCHAR FROM b WHERE e1 > 0 AND e2 < 0.95 * e1
+        SELECT 'sharp_section_drop' AS kind, country, NULL::VARCHAR AS key, s1::VARCHAR AS before, s2::VARCHAR AS after FROM b WHERE s1 > 0 AND s2 < 0.5 * s1
+        UNION ALL SELECT 'sharp_entry_drop', country, NULL, e1::VARCHAR, e2::VARCHAR FROM b WHERE e1 > 0 AND e2 < 0.5 * e1
         UNION ALL SELECT 'lost_core_category', country, NULL, r1::VARCHAR, r2::VARCHAR FROM b WHERE r1 > 0 AND r2 = 0
-        UNION ALL SELECT 'sharp_rule_drop', country, NULL, r1::VARCHAR, r2::VARCHAR FROM b WHERE r1 > 0 AND r2 > 0 AND r2 < 0.95 * r1
+        UNION ALL SELECT 'sharp_rule_drop', country, NULL, r1::VARCHAR, r2::VARCHAR FROM b WHERE r1 > 0 AND r2 > 0 AND r2 < 0.5 * r1
         UNION ALL SELECT 'classified_to_unclassified', country, NULL, t1, t2 FROM b WHERE t1 IN ('complete', 'partial') AND t2 = 'unclassified'""",
-    "r09_r11_rule_values": f"""WITH {_RULES}, l AS (SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY old, country, rule_id ORDER BY pos DESC) = 1),
+    "r09_r11_rule_values": f"""WITH {_RULES}, l AS (SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY old, country, rule_id ORDER BY pos DESC, percentage, fixed_amount, fixed_currency) = 1),
         b AS (SELECT o.country, o.rule_id::VARCHAR AS key, o.percentage AS p1, n.percentage AS p2, o.fixed_amount AS a1, n.fixed_amount AS a2, o.fixed_currency AS c1, n.fixed_currency AS c2 FROM l o JOIN l n USING (country, rule_id) WHERE o.old AND NOT n.old)
         SELECT 'large_percentage_change' AS kind, country, key, p1 AS before, p2 AS after FROM b WHERE CASE WHEN p1::DOUBLE = 0 THEN p2::DOUBLE <> 0 ELSE abs((p2::DOUBLE - p1::DOUBLE) / p1::DOUBLE) > 0.5 END
         UNION ALL SELECT 'large_fixed_change', country, key, a1, a2 FROM b WHERE a1::DOUBLE <> 0 AND abs((a2::DOUBLE - a1::DOUBLE) / a1::DOUBLE) > 0.5
@@ -108,7 +110,7 @@ SQL: dict[str, str] = {
         SELECT CASE WHEN b THEN 'supported_to_unsupported' WHEN c THEN 'supported_to_transient' ELSE 'discovered_to_missing' END AS kind, country FROM w LEFT JOIN n USING (country) WHERE NOT coalesce(a, false)""",
     "u05_changed_files": f"""WITH f AS (SELECT o_custkey AS path, o_orderdate < {_HALF} AS old, max(o_orderstatus || o_orderpriority) AS sha FROM orders GROUP BY ALL)
         SELECT path, CASE WHEN o.sha IS NULL THEN 'added' WHEN n.sha IS NULL THEN 'removed' ELSE 'changed' END AS change FROM (FROM f WHERE old) o FULL JOIN (FROM f WHERE NOT old) n USING (path) WHERE o.sha IS DISTINCT FROM n.sha""",
-    "a01_a05_identities": f"""WITH {_IDENTITY}, g AS (SELECT l_partkey, l_returnflag, value, is_candidate, min(entry_id) AS first_at, arg_min(status, entry_id) AS status, max(confidence) AS confidence, list(entry_id ORDER BY entry_id) AS ids FROM told GROUP BY ALL),
+    "a01_a05_identities": f"""WITH {_IDENTITY}, g AS (SELECT l_partkey, l_returnflag, value, is_candidate, min(entry_id) AS first_at, arg_min(status, (CASE status WHEN 'calculable_rule' THEN 0 WHEN 'non_calculable' THEN 2 ELSE 3 END, entry_id, status)) AS status, max(confidence) AS confidence, list(entry_id ORDER BY entry_id) AS ids FROM told GROUP BY ALL),
         k AS (SELECT *, count(*) OVER s AS n, count(*) FILTER (is_candidate) OVER s AS fees, row_number() OVER (PARTITION BY l_partkey, l_returnflag ORDER BY first_at) AS place, list(ids) OVER (PARTITION BY l_partkey, l_returnflag ORDER BY first_at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS every
               FROM g WINDOW s AS (PARTITION BY l_partkey, l_returnflag))
         SELECT l_partkey, l_returnflag, first_at, CASE WHEN fees > 1 THEN 'conflict' ELSE status END AS status, (CASE WHEN fees > 1 THEN 0 ELSE confidence END)::DECIMAL(6,2) AS confidence,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +10,11 @@ from pyspark.sql import functions as F
 from tallyquill import tables
 from tallyquill.functions import money, text, web
 from tallyquill.operators import catalog, checks, identities, lines, order, pages, snapshots
+from tallyquill.plans import entries  # noqa: F401  (registers its queries)
+from tallyquill.plans.registry import QUERIES, query  # noqa: F401
 from tallyquill.sources.files import table
 from tallyquill.streaming.windows import windowed_counts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
-
-
 def _fees(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem with a fee phrase made of discount, tax and quantity."""
     whole = lambda c: F.round(F.col(c) * 100).cast("int")
@@ -48,8 +41,8 @@ def t03_parse_decimal(spark, sf):
 
 @query
 def t05_t09_tokens(spark, sf):
-    own = _fees(spark, sf).select(*_LINE, money.parsed("phrase").alias("p"), money.tokens("phrase").alias("t"))
-    return own.select(*_LINE, F.col("p.percentage").alias("percentage"), F.col("p.amount").alias("amount"), F.col("p.currency").alias("currency"), F.col("p.exactness").alias("exactness"), F.size("t").alias("n_tokens"), F.col("t")[0]["token_id"].alias("token_id"))
+    own = _fees(spark, sf).select(*_LINE, money.fee("phrase").alias("f"))
+    return own.select(*_LINE, "f.percentage", "f.amount", "f.currency", "f.exactness", F.size("f.tokens").alias("n_tokens"), F.col("f.tokens")[0]["token_id"].alias("token_id"))
 
 
 @query
@@ -172,7 +165,8 @@ def w01_w04_carried_forward(spark, sf):
 
 @query
 def w02_renumbered(spark, sf):
-    return order.renumbered(table(spark, sf, "events"), ["event_type"], [F.col("ts"), F.col("event_id")]).select("event_id", "event_type", "source_order")
+    own = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return order.renumbered(own, ["event_type"], [F.col("ts"), F.col("event_id")], parts=64).select("event_id", "event_type", "source_order")
 
 
 @query
@@ -206,10 +200,11 @@ def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return rules.where(F.col("o_orderdate") < _SPLIT), rules.where(F.col("o_orderdate") >= _SPLIT)
 
 
-def _market_rows(rules: DataFrame) -> DataFrame:
-    return rules.groupBy("country").agg(
-        F.count_distinct("o_orderkey").alias("n_sections"), F.count("*").alias("n_entries"), F.count_if(F.col("fixed_currency") == "R").alias("n_rules"),
-        F.when(F.count("*") > 100, "complete").otherwise("unclassified").alias("status"),
+def _market_rows(lined: DataFrame) -> DataFrame:
+    """Customers as markets: orders as sections, lines as entries, large lines as rules."""
+    return lined.groupBy(F.col("o_custkey").cast("string").alias("country")).agg(
+        F.count_distinct("o_orderkey").alias("n_sections"), F.count("*").alias("n_entries"), F.count_if(F.col("l_quantity") > 40).alias("n_rules"),
+        F.when(F.count("*") > 6, "complete").when(F.count("*") > 3, "partial").otherwise("unclassified").alias("status"),
     )
 
 
@@ -221,8 +216,8 @@ def r01_r03_market_sets(spark, sf):
 
 @query
 def r04_r08_market_counts(spark, sf):
-    old, new = _halves(spark, sf)
-    return snapshots.market_counts(_market_rows(old), _market_rows(new), snapshots.Thresholds(section_drop=0.05, entry_drop=0.05, rule_drop=0.05))
+    lined = table(spark, sf, "orders").join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return snapshots.market_counts(_market_rows(lined.where(F.col("o_orderdate") < _SPLIT)), _market_rows(lined.where(F.col("o_orderdate") >= _SPLIT)))
 
 
 @query
