@@ -7,6 +7,7 @@ import os
 import tempfile
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,8 +102,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, n: int, r: i
 
 #: Rows of a partition that `packed` and `components` aim at.
 PART_ROWS = 100_000
-#: Parts that the members of one component are dealt to.
-SALTS = 4
+#: Edges that a task of `components` holds at a time.
+EDGES = 2_000_000
 
 
 def _parts(rows: int) -> int:
@@ -115,25 +116,59 @@ def packed(df: DataFrame) -> DataFrame:
     return own.coalesce(_parts(own.count()))
 
 
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, other) for every node but the least one of each connected part of the edges (u, v)."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label[a], label[b])
+        after = label.copy()
+        for end in (a, b, label[a], label[b]):
+            np.minimum.at(after, end, least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    other = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[other]], ids[other]
+
+
+def _contracted(batches):
+    """Edges (u, v), of each u together, as stars; a u whose edges go on beyond what is held takes its least node along."""
+    held: list[pa.Table] = []
+
+    def flush(last: bool):
+        u, v = (pa.concat_arrays([x.column(c).combine_chunks() if isinstance(x.column(c), pa.ChunkedArray) else x.column(c) for x in held]).to_numpy(zero_copy_only=False) for c in ("u", "v"))
+        root, node = _stars(u, v)
+        held.clear()
+        if not last:
+            least = min([u[-1], *root[node == u[-1]]])
+            if least != u[-1]:
+                held.append(pa.RecordBatch.from_arrays([pa.array([u[-1]]), pa.array([least])], names=["u", "v"]))
+        return pa.RecordBatch.from_arrays([pa.array(root), pa.array(node)], names=["u", "v"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= EDGES:
+            yield flush(False)
+    if held:
+        yield flush(True)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the smallest id reachable, for every id that some link has.
 
-    Alternating minimum and pointer steps: each node takes the smallest label of itself and its neighbours, and then
-    its label's label.  A round shuffles links and labels only; rounds grow with the logarithm of a chain's length.
+    Each round deals the edges, both ways round, by one end, and every task turns the parts that its edges connect into
+    stars around their least node; it ends when no node has two such centres or is one itself.  A round shuffles edges
+    only; rounds grow with the logarithm of a chain's length.  Tasks hold EDGES edges at a time, however many a node has.
     """
-    edges = packed(
-        links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-        .unionByName(links.select(F.col(b).alias("u"), F.col(a).alias("v")).where("u <> v")).distinct()
-    )
-    label = packed(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component")))
+    kind = links.schema[a].dataType.simpleString()
+    edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     while True:
-        near = edges.join(label.select(F.col("id").alias("v"), "component"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("m"))
-        step = label.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "m").alias("c"))
-        # A component's root is looked up once for each of SALTS parts of its members, however many they are.
-        salted = step.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-        jump = step.join(step.select(F.col("c").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("c"), F.col("c").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-        after = cut(salted.join(jump, ["c", "salt"], "left").select("id", "was", F.least("c", "j").alias("component")))
-        rows, changed = after.agg(F.count("*"), F.count(F.when(F.col("component") != F.col("was"), 1))).first()
-        label = after.select("id", "component").coalesce(_parts(rows))
-        if not changed:
-            return label
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = packed(both.repartition("u").sortWithinPartitions("u").mapInArrow(_contracted, f"u {kind}, v {kind}"))
+        ends = edges.select(F.col("v").alias("id"), "u").unionByName(edges.select(F.col("u").alias("id"), F.lit(None).cast(kind).alias("u")))
+        labels = cut(ends.groupBy("id").agg(F.min("u").alias("component"), F.max("u").alias("most"), F.bool_or(F.col("u").isNull()).alias("centre")))
+        if labels.where("component <> most or (component is not null and centre)").isEmpty():
+            return labels.select("id", F.coalesce("component", "id").alias("component"))
