@@ -62,14 +62,44 @@ def cache_directives(header: Column | str) -> Column:
     )
 
 
-def fresh(age_s: Column | str, ttl_s: float, header: Column | str | None = None) -> Column:
-    """Whether a kept page may be used: by its age alone, or, with a Cache-Control header, as that says too."""
+def http_time(text: Column | str) -> Column:
+    """Seconds since 1970 of an HTTP date such as `Wed, 31 Jan 2024 12:00:00 GMT`; null for anything else."""
+    bare = F.regexp_replace(F.trim(col(text)), r"^[A-Za-z]+,\s*|\s*GMT$", "")
+    return F.unix_seconds(F.try_to_timestamp(F.concat(bare, F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z")))
+
+
+def fresh(age_s: Column | str, ttl_s: float, header: Column | str | None = None, expires: Column | str | None = None, now: float | None = None) -> Column:
+    """Whether a kept page may be used: by its age alone, or, with a Cache-Control header, as that says too.
+
+    An Expires date counts, against `now`, where the header sets no age.
+    """
     young = col(age_s) < ttl_s
     if header is None:
         return young
     d = cache_directives(header)
     most = F.coalesce(F.try_element_at(d, F.lit("s-maxage")), F.try_element_at(d, F.lit("max-age"))).try_cast("long")
-    return young & ~F.map_contains_key(d, "no-cache") & F.coalesce((most > 0) & (col(age_s) < most), F.lit(True))
+    until = F.lit(True) if expires is None else F.coalesce(F.lit(now) < http_time(expires), F.lit(True))
+    return young & ~F.map_contains_key(d, "no-cache") & F.coalesce((most > 0) & (col(age_s) < most), until)
+
+
+def cacheable(status: Column | str, told: Column, length: Column) -> Column:
+    """Whether a response may be kept: it is whole as far as its content-length tells, and no error."""
+    number = told.try_cast("long")
+    return F.coalesce((col(status) == 200) & F.when(told.isNull(), True).otherwise(number == length), F.lit(False))
+
+
+def market_matches(cached_market: Column | str, market: Column | str, cached_locale: Column | str, locale: Column | str) -> Column:
+    """Whether a kept page was served for the market asked for; what isn't known doesn't speak against it."""
+    country = lambda x: F.when(col(x).contains("-"), F.element_at(F.split(F.lower(col(x)), "-"), -1))
+    unknown = F.coalesce(col(cached_market) == "", F.lit(True)) | F.coalesce(col(market) == "", F.lit(True))
+    same = (F.upper(col(cached_market)) == F.upper(col(market))) & F.coalesce(country(cached_locale) == country(locale), F.lit(True))
+    return unknown | F.coalesce(same, F.lit(False))
+
+
+def locale_of_url(url: Column | str) -> Column:
+    """The locale or country that a price page's address names; `us` for the root's."""
+    path = F.regexp_replace(F.lower(F.try_parse_url(col(url), F.lit("PATH"))), "^/+|/+$", "")
+    return F.when(path.rlike("^pricing(/|$)"), "us").otherwise(F.nullif(F.regexp_extract(path, "^([a-z]{2}(?:-[a-z]{2})?)/pricing", 1), F.lit("")))
 
 
 def country_of_locale(locale: Column | str) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill import tables
-from tallyquill.functions.money import basis_points, minor_amount
-from tallyquill.functions.text import first_match, has_any, market_share
+from tallyquill.functions.money import basis_points, decimal_text, minor_amount
+from tallyquill.functions.text import condition_key, earliest_method, first_match, has_any, looked_up, market_share
+from tallyquill.functions.web import country_of_path
 
 
 def violations(rows: DataFrame, key: list[str], rules: Mapping[str, Column]) -> DataFrame:
@@ -36,6 +37,70 @@ def calculable(channel: str, unit: str, behavior: str, confidence: str, componen
     return F.col(channel).isNull() | F.col(unit).isNull() | F.col(behavior).isNull() | (F.col(confidence) < 0.7) | (F.coalesce(F.size(components), F.lit(0)) == 0)
 
 
+_BASES, _ADDED, _BOUNDS = ("percentage", "fixed_amount"), ("percentage_surcharge", "fixed_surcharge"), ("maximum_fee", "minimum_fee")
+_MODIFYING = ("currency_conversion_required", "card_origin", "dispute_state", "transaction_type", "cross_border", "transaction_region")
+
+
+def _has_type(components: str, kinds: tuple[str, ...]) -> Column:
+    return F.exists(components, lambda c: c["type"].isin(*kinds))
+
+
+def not_calculable(components: str) -> Column:
+    """No component that a calculator knows."""
+    return ~_has_type(components, (*_BASES, *_ADDED, *_BOUNDS))
+
+
+def only_surcharge(components: str, conditions: str) -> Column:
+    """A surcharge without a base fee, and without a condition that it could depend on."""
+    return _has_type(components, _ADDED) & ~_has_type(components, _BASES) & ~F.exists(conditions, lambda c: c["dimension"].isin(*_MODIFYING))
+
+
+def bad_evidence(kind: str) -> Column:
+    return ~F.coalesce(F.col(kind).isin(*tables.GOOD_EVIDENCE), F.lit(False))
+
+
+def large_fixed(components: str, unit: str, least_minor: int = 1000) -> Column:
+    """A fixed amount per transaction that looks like a price: large, and without a percentage."""
+    largest = F.array_max(F.transform(F.filter(components, lambda c: c["type"] == "fixed_amount"), lambda c: c["minor_amount"].try_cast("decimal(28,4)")))
+    return (F.col(unit) == "per_transaction") & (largest >= least_minor) & ~_has_type(components, ("percentage", "percentage_surcharge"))
+
+
+def _markers(currency: Column) -> Column:
+    """The code and the symbols of a currency, in lower case."""
+    symbols: dict[str, list[str]] = {}
+    for symbol, code in tables.SYMBOLS.items():
+        symbols.setdefault(code, []).append(symbol.lower())
+    pairs = [x for code, own in symbols.items() for x in (F.lit(code), F.array(*map(F.lit, own)))]
+    return F.concat(F.array(F.lower(currency)), F.coalesce(F.try_element_at(F.create_map(*pairs), F.upper(currency)), F.array().cast("array<string>")))
+
+
+def refers_to(label: Column, c: Column) -> Column:
+    """Whether a lower-cased label holds a component's amount: as written, as a number of the same value, or in minor units."""
+    numbers = F.transform(F.regexp_extract_all(label, F.lit(r"[0-9][0-9\s,.]*"), 0), lambda n: decimal_text(n).try_cast("decimal(28,10)"))
+    value = decimal_text(c["amount"]).try_cast("decimal(28,10)")
+    minor = {code: s for s in tables.MINOR_SYMBOLS for code in [tables.SYMBOLS[s]]}
+    symbol = looked_up(F.upper(c["currency"]), minor)
+    small = F.coalesce(F.regexp_like(label, F.concat(F.lit(r"\Q"), c["minor_amount"], F.lit(r"\E\s*\Q"), symbol, F.lit(r"\E"))), F.lit(False))
+    return c["amount"].isNull() | label.contains(c["amount"]) | F.coalesce(F.exists(numbers, lambda n: n == value), F.lit(False)) | small
+
+
+def unnamed_amount(label: str, components: str) -> Column:
+    """A fixed amount that the label doesn't tell."""
+    low = F.lower(F.coalesce(F.col(label), F.lit("")))
+    return F.exists(components, lambda c: (c["type"] == "fixed_amount") & ~refers_to(low, c))
+
+
+def unnamed_currency(label: str, components: str) -> Column:
+    """A fixed amount that the label tells without its currency."""
+    low = F.lower(F.coalesce(F.col(label), F.lit("")))
+    return F.exists(components, lambda c: (c["type"] == "fixed_amount") & c["amount"].isNotNull() & c["currency"].isNotNull() & refers_to(low, c) & ~F.exists(_markers(c["currency"]), lambda m: low.contains(m)))
+
+
+def crossed_evidence(kind: str) -> Column:
+    """The fee's number and its wording come from different fragments."""
+    return F.col(kind) == "cross_fragment_fee_evidence"
+
+
 def _of(conditions: str, dimension: str) -> Column:
     """The value of the last condition of a dimension; null without one."""
     own = F.filter(conditions, lambda c: c["dimension"] == dimension)
@@ -87,10 +152,19 @@ def payer_missing(told: str, conditions: str) -> Column:
     return F.col(told).contains("conversion fee") & F.col(told).contains("customer") & _lacks(conditions, "payer", "customer")
 
 
-def method_mismatch(product: str, method: str) -> Column:
-    """The payment method isn't one that the product goes with; rules without a method are fine."""
-    p, m = F.col(product), F.col(method)
-    return m.isNotNull() & F.when(p == "payments", m != "card").when(p == "terminal", ~m.isin("card", "terminal", "tap_to_pay")).otherwise(~p.eqNullSafe(m))
+def leading_method(label: str) -> Column:
+    """The method that a label begins with, after one other word at most."""
+    return earliest_method(label, within=1)
+
+
+def method_mismatch(product: str, method: str, label: str | None = None) -> Column:
+    """The payment method, or the one that the label begins with, isn't one that the product goes with."""
+    p, m = F.coalesce(F.col(product), F.lit("")), F.col(method)
+    own = m.isNotNull() & F.when(p == "payments", m != "card").when(p == "terminal", ~m.isin("card", "terminal", "tap_to_pay")).otherwise(p != m)
+    if label is None:
+        return own
+    first = leading_method(label)
+    return own | F.coalesce(F.when(first == "card", ~p.isin("payments", "terminal")).otherwise(~p.isin("payments", "terminal") & (p != first)), F.lit(False))
 
 
 def dispute_unit(product: str, unit: str, conditions: str) -> Column:
@@ -142,3 +216,108 @@ def used_and_dropped(entries: DataFrame, used: DataFrame, key: str) -> tuple[Dat
     """(entries that something refers to, entries that nothing does)."""
     own = used.select(key).distinct()
     return entries.join(own, key, "left_semi"), entries.join(own, key, "left_anti")
+
+
+def rule_errors(rules: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key and broken check of published rules, as `rules.classified` makes them, with `phrases` and `sources`.
+
+    Some checks hold only for rules that claim to be calculable.
+    """
+    own = rules.withColumns({"_told": said("label", "phrases"), "_kind": F.col("fee_evidence.type"), "_claims": F.col("status").isin("calculable_rule", "classified")})
+    claims = F.col("_claims")
+    when_claimed = {
+        "channel": F.col("channel").isNull(), "unit": F.col("unit").isNull(), "behavior": F.col("behavior").isNull(), "no_component": not_calculable("fee_components"), "only_surcharge": only_surcharge("fee_components", "conditions"),
+        "evidence": bad_evidence("_kind"), "confidence": F.col("confidence") < tables.LEAST_CONFIDENCE, "large_fixed": large_fixed("fee_components", "unit"), "amount_in_label": unnamed_amount("label", "fee_components"),
+        "currency_in_label": unnamed_currency("label", "fee_components"), "minor_amount": F.exists("fee_components", lambda c: c["amount"].isNotNull() & ~c["minor_amount"].eqNullSafe(minor_amount(c["amount"], c["currency"]))),
+        "basis_points": F.exists("fee_components", lambda c: F.coalesce(c["basis_points"].try_cast("decimal(28,10)") != basis_points(c["value"]).try_cast("decimal(28,10)"), F.lit(False))),
+        "contradictory": contradictory("label", _has_type("fee_components", (*_BASES, *_ADDED))), "pricing_plan": plan_missing("_told", "conditions"), "addon_variant": addon_as_payment("product_id", "variant_id"),
+        "addon_product": other_addon("_told", "product_id"), "smart_disputes": smart_dispute_conditions("product_id", "conditions"), "exactness": not_from("_told", "exactness"), "payer": payer_missing("_told", "conditions"),
+        "market_share": untrusted_share("_told", "sources"),
+    }
+    always = {
+        "crossed": crossed_evidence("_kind"), "method": method_mismatch("product_id", "payment_method", "label"), "dispute_unit": dispute_unit("product_id", "unit", "conditions"),
+        "card_condition": card_conditions("product_id", "conditions"), "repeated_phrases": repeated_phrases("phrases"),
+    }
+    return violations(own, key, {k: claims & v for k, v in when_claimed.items()} | always)
+
+
+def semantic_errors(rules: DataFrame, markets: DataFrame, methods: DataFrame, key: list[str]) -> DataFrame:
+    """All errors of published rules: `rule_errors`, markets and methods that aren't known, and identities that repeat."""
+    row = lambda df, name: df.select(*key, F.lit(name).alias("rule"))
+    identity = rules.withColumn("_identity", condition_key("conditions"))
+    several = repeated_identities(identity, ["country", "product_id", "variant_id", "_identity"]).drop("n")
+    repeated = identity.join(several, several.columns, "left_semi")
+    return (
+        rule_errors(rules, key).unionByName(row(missing_references(rules, "country", markets, "country"), "unknown_market"))
+        .unionByName(row(missing_references(rules, "payment_method", methods, "method"), "unknown_method")).unionByName(row(repeated, "repeated_identity"))
+    )
+
+
+def publication_errors(markets: DataFrame, rules: DataFrame, core: DataFrame) -> DataFrame:
+    """(country, error) of a publication: markets (country, dropped_numeric_entries, blocking_fee_conflicts), rules, core rules.
+
+    Dropped entries, open conflicts, identities that are both a conflict and a rule, markets none of whose rules is
+    calculable, and, with a null country, rules without any core rule.
+    """
+    error = lambda df, name: df.select("country", F.lit(name).alias("error"))
+    identity = rules.withColumn("_identity", condition_key("conditions"))
+    mixed = mixed_identities(identity, ["country", "product_id", "variant_id", "_identity"]).select("country").distinct()
+    good = rules.where("status <> 'conflict'").groupBy("country").agg(F.bool_or(F.col("status").isin("calculable_rule", "classified")).alias("good"))
+    empty = good.agg(F.count("*").alias("n")).join(core.agg(F.count("*").alias("m"))).where("n > 0 and m = 0").select(F.lit(None).cast("string").alias("country"))  # two single rows
+    return (
+        error(markets.where("dropped_numeric_entries > 0"), "dropped_entries").unionByName(error(markets.where("blocking_fee_conflicts > 0"), "blocking_conflicts")).unionByName(error(mixed, "mixed_identity"))
+        .unionByName(error(good.where("not good"), "nothing_calculable")).unionByName(error(empty, "no_core_rules"))
+    )
+
+
+def source_errors(sources: DataFrame, markets: DataFrame, index: DataFrame, rules: DataFrame) -> DataFrame:
+    """(country, error) of markets (country, currency) against their sources (country, url, served), the index (country, urls)
+    and their rules: pages served for, or addressed to, another country, addresses that differ, and card fees in another
+    currency."""
+    error = lambda df, name: df.select("country", F.lit(name).alias("error")).distinct()
+    own = sources.withColumn("_addressed", country_of_path(F.try_parse_url("url", F.lit("PATH"))))
+    urls = sources.groupBy("country").agg(F.collect_set("url").alias("_urls")).join(index, "country")
+    differ = (F.size(F.array_except("_urls", "urls")) > 0) | (F.size(F.array_except("urls", "_urls")) > 0)
+    card = (F.col("product_id") == "payments") | (F.col("payment_method") == "card")
+    priced = rules.where(F.col("status").isin("calculable_rule", "classified") & card).join(markets.select("country", "currency"), "country")
+    return (
+        error(own.where(F.upper("served") != F.upper("country")), "served_elsewhere").unionByName(error(own.where(F.col("_addressed") != F.upper("country")), "addressed_elsewhere"))
+        .unionByName(error(urls.where(differ), "index_urls")).unionByName(error(priced.where(F.upper("fixed_currency") != F.upper("currency")), "currency"))
+    )
+
+
+def state_errors(states: DataFrame) -> DataFrame:
+    """(country, error) of `one_state` rows (in_index, in_unsupported, in_transient, in_core, derivation, calculator).
+
+    A market has one state; a supported one is complete and has core rules, any other has none.
+    """
+    n = sum((F.col(c).cast("int") for c in ("in_index", "in_unsupported", "in_transient")), F.lit(0))
+    done = F.coalesce((F.col("derivation") == "complete") & (F.col("calculator") == "complete"), F.lit(False))
+    found = violations(states, ["country"], {
+        "not_one_state": n != 1, "incomplete": (n == 1) & F.col("in_index") & ~done, "no_core_rules": (n == 1) & F.col("in_index") & ~F.col("in_core"), "core_without_index": F.col("in_core") & ~F.col("in_index"),
+        "core_not_supported": F.col("in_core") & (F.col("in_unsupported") | F.col("in_transient")),
+    })
+    return found.withColumnRenamed("rule", "error")
+
+
+def schema_errors(df: DataFrame, required: Mapping[str, str]) -> list[str]:
+    """Columns of `required` (name to type) that a table lacks, or has with another type."""
+    own = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [f"{n}: {own.get(n, 'missing')}, not {t}" for n, t in required.items() if own.get(n) != t]
+
+
+def metric_errors(counts: DataFrame, told: DataFrame) -> DataFrame:
+    """Metrics (metric, value) that are told with another value than counted."""
+    both = told.select("metric", F.col("value").alias("told")).join(counts.select("metric", F.col("value").alias("counted")), "metric", "left")
+    return both.where(~F.col("told").eqNullSafe(F.col("counted")))
+
+
+def every_error(*checks: DataFrame, strict: bool = False) -> DataFrame:
+    """(country, error) of all checks, in order; with `strict`, any error is raised instead, the first ten of them named."""
+    found = checks[0]
+    for c in checks[1:]:
+        found = found.unionByName(c)
+    found = found.orderBy("country", "error")
+    if strict and (some := found.limit(10).collect()):
+        raise ValueError("; ".join(f"{r['country']}: {r['error']}" for r in some))
+    return found

@@ -242,7 +242,7 @@ def assembled(rows: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa: B
 def classified(entries: DataFrame, by: list[str] = ["url"], provider: str = "the provider") -> tuple[DataFrame, DataFrame]:  # noqa: B006
     """(rules, leftovers (by, entry_id, status, has_fee)) of entries; what is a statistic isn't grouped.
 
-    A null country is that of the page's address.  A null text is empty, and left over as informational.
+    A null text is an empty one; what has no fee and says nothing of the kind is a rule that can't be calculated.
     """
     marked = settled(entries, {"_fee": money.fee("source_text")})
     marked = settled(marked, {"_no_fee": F.coalesce(ev.is_statistic(F.col("source_text"), F.col("source_evidence"), F.col("_fee"), provider), F.lit(False)), "_has_fee": d.has_base_fee(F.col("_fee"))})

@@ -98,3 +98,31 @@ def changed_files(old: DataFrame, new: DataFrame) -> DataFrame:
 #: Kinds that count as regressions; `new_market` doesn't.
 def has_regression(changes: DataFrame) -> DataFrame:
     return changes.agg(F.coalesce(F.bool_or(F.col("kind") != "new_market"), F.lit(False)).alias("has_regression"))
+
+
+def market_totals(sections: DataFrame, entries: DataFrame, rules: DataFrame, leftovers: DataFrame, statuses: DataFrame) -> DataFrame:
+    """What `market_counts` compares, of tables that each have country: sections, entries with rules and leftovers, rules, status."""
+    of = lambda df, n: df.groupBy("country").agg(F.count("*").alias(n))
+    every = statuses.select("country", "status")
+    for df, n in ((sections, "n_sections"), (entries, "_entries"), (rules, "n_rules"), (leftovers, "_left")):
+        every = every.join(of(df, n), "country", "left")
+    every = every.na.fill(0, ["n_sections", "_entries", "n_rules", "_left"])
+    return every.select("country", "n_sections", (F.col("_entries") + F.col("n_rules") + F.col("_left")).alias("n_entries"), "n_rules", "status")
+
+
+@dataclass(frozen=True)
+class Publication:
+    """One publication's relations: markets and counts per country, rules, and states of countries."""
+
+    counts: DataFrame
+    rules: DataFrame
+    states: DataFrame
+
+
+def changes(old: Publication, new: Publication, t: Thresholds = Thresholds()) -> DataFrame:
+    """All changes from one publication to the next: markets, counts, rule values, repeated rules and states."""
+    parts = [market_counts(old.counts, new.counts, t), rule_values(old.rules, new.rules, t), duplicate_rules(new.rules), state_transitions(old.states, new.states)]
+    found = market_sets(old.counts, new.counts, t)
+    for p in parts:
+        found = found.unionByName(p)
+    return found

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyquill import tables
-from tallyquill.plans import entries_oracle
+from tallyquill.plans import entries_oracle, sites
 
 _PHRASE = "(round(l_discount * 100)::INT || ',' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') || '% + ' || l_quantity::INT || '.25 €')"
 _FEES = f"(SELECT *, {_PHRASE} AS phrase, round(l_discount * 100)::INT || '.' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') AS share FROM lineitem)"
@@ -44,6 +44,7 @@ _NATION_RULES = """r AS (SELECT n_name AS country, CASE WHEN l_linenumber < 6 TH
 
 SQL: dict[str, str] = {
     **entries_oracle.SQL,
+    **sites.SQL,
     "t02_t04_percentage": f"SELECT {_KEY}, phrase, share AS percentage, (share::DECIMAL(10,2) * 100)::DECIMAL(14,2)::VARCHAR AS basis_points FROM {_FEES}",
     "t03_parse_decimal": f"""SELECT {_KEY}, q || [',5', '.000,50', ',000.50', '.000', ',1234', ' 000', '.25.'][k + 1] AS written, q || ['.5', '000.50', '000.50', '000', '1234', '000', NULL][k + 1] AS number
         FROM (SELECT *, (l_quantity::INT)::VARCHAR AS q, l_linenumber % 7 AS k FROM lineitem)""",
@@ -158,3 +159,8 @@ SQL: dict[str, str] = {
         UNION ALL SELECT {_KEY}, 'repeated_phrases' FROM t WHERE n % 2 = 0""",
     "x01_windowed_counts": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }
+
+_ROWS = "SELECT kind, country::VARCHAR AS country, key, before, after FROM"
+_LINED = "FROM (SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS orders"
+SQL["u04_all_changes"] = " UNION ALL ".join(f"{_ROWS} ({SQL[q].replace('FROM orders WHERE', _LINED + ' WHERE') if q == 'r01_r03_market_sets' else SQL[q]})" for q in ("r01_r03_market_sets", "r04_r08_market_counts", "r09_r11_rule_values", "r12_duplicate_rules"))
+SQL["u04_all_changes"] += f" UNION ALL SELECT kind, country::VARCHAR, NULL, NULL, NULL FROM ({SQL['r13_r15_state_transitions']})"

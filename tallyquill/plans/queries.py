@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyquill import tables
 from tallyquill.functions import money, text, web
 from tallyquill.operators import catalog, checks, identities, lines, order, pages, snapshots
-from tallyquill.plans import entries  # noqa: F401  (registers its queries)
+from tallyquill.plans import entries, sites  # noqa: F401  (they register their queries)
 from tallyquill.plans.registry import QUERIES, query  # noqa: F401
 from tallyquill.sources.files import table
 from tallyquill.streaming.windows import windowed_counts
@@ -225,6 +225,14 @@ def r09_r11_rule_values(spark, sf):
     return snapshots.rule_values(*_halves(spark, sf))
 
 
+@query
+def u04_all_changes(spark, sf):
+    lined = table(spark, sf, "orders").join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    sides = [lined.where(F.col("o_orderdate") < _SPLIT), lined.where(F.col("o_orderdate") >= _SPLIT)]
+    old, new = (snapshots.Publication(_market_rows(c), r, s.withColumn("country", F.col("country").cast("string"))) for c, r, s in zip(sides, _halves(spark, sf), _states(spark, sf)))
+    return snapshots.changes(old, new)
+
+
 @query
 def r12_duplicate_rules(spark, sf):
     return snapshots.duplicate_rules(_halves(spark, sf)[1])

@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyquill.functions.web import cache_key, fresh
-
-# Fixed values.  Countries that are known before any page is read.
-SEED_MARKETS = [("US", "en-us", "USD"), ("GB", "en-gb", "GBP"), ("DE", "de-de", "EUR"), ("FR", "fr-fr", "EUR"), ("ES", "es-es", "EUR"), ("IN", "en-in", "INR"), ("JP", "ja-jp", "JPY")]
-
+from tallyquill import tables
+from tallyquill.functions.money import currency_of_country
+from tallyquill.functions.web import cache_key, cacheable, fresh
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,7 +25,8 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType | str, s
 
 
 def seed_markets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_MARKETS, "country string, locale string, currency string")
+    """The markets that are known before any page is read; languages are joined by commas."""
+    return spark.createDataFrame(tables.SEED_MARKETS, "market string, country string, name string, region string, locale string, languages string, currency string")
 
 
 def discovered_or_seed(found: DataFrame) -> DataFrame:
@@ -41,3 +40,37 @@ def cached(requests: DataFrame, cache: DataFrame, now: float, ttl_s: float) -> D
     age = F.lit(now) - F.col("fetched_at")
     good = cache.where(fresh(age, ttl_s) & (F.col("status") == 200)).select("key", "content", "fetched_at")
     return keyed.join(good, "key", "left").withColumn("hit", F.col("content").isNotNull())
+
+
+def cache_counters(requests: DataFrame) -> DataFrame:
+    """Hits, misses and bytes that hits avoided, of `cached` requests."""
+    return requests.agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"), F.coalesce(F.sum(F.when(F.col("hit"), F.octet_length("content"))), F.lit(0)).alias("bytes_avoided"))
+
+
+def kept_responses(responses: DataFrame) -> DataFrame:
+    """Cache entries (key, status, headers, content as bytes, fetched_at) of the responses that may be kept."""
+    own = responses.where(cacheable("status", F.col("headers")["content-length"], F.octet_length("content"))).withColumn("key", cache_key("method", "url", "market", "locale"))
+    return own.select("key", "status", "headers", F.col("content").cast("binary").alias("content"), "fetched_at")
+
+
+def built_markets(codes: DataFrame, base: str) -> DataFrame:
+    """Markets from (country, language, name): locale, market code, address and currency.  Some countries have an address of their own."""
+    code, language = F.lower(F.col("country")), F.coalesce(F.lower(F.col("language")), F.lit("en"))
+    locale = F.concat_ws("-", language, code)
+    own = codes.select(F.upper("country").alias("country"), F.coalesce("name", F.upper("country")).alias("name"), locale.alias("locale"), F.when(code.isin(*tables.DIRECT_MARKETS), code).otherwise(locale).alias("market"))
+    return own.withColumns({"url": F.concat(F.lit(base.rstrip("/") + "/"), "market"), "currency": currency_of_country("country")})
+
+
+def confirmed(tests: DataFrame) -> DataFrame:
+    """Per country of tested pages (country, kind, status, failed, served, redirected, is_pricing): ok, unsupported or transient.
+
+    A main page that is a price page of the country confirms it.  Otherwise a redirect to another country's page makes it
+    unsupported, then a failure, or another country's page without a redirect, transient; without either it is unsupported.
+    """
+    other = F.coalesce(F.upper(F.col("served")) != F.upper(F.col("country")), F.lit(False))
+    good = (F.col("kind") == "pricing") & F.coalesce(F.col("is_pricing"), F.lit(False)) & ~other & ~F.col("failed")
+    flags = tests.groupBy("country").agg(
+        F.bool_or(good).alias("good"), F.bool_or(other & F.col("redirected") & ~F.col("failed")).alias("elsewhere"),
+        F.bool_or((F.col("failed") & ~F.coalesce(F.col("status") == 404, F.lit(False))) | (other & ~F.col("redirected") & ~F.col("failed"))).alias("transient"),
+    )
+    return flags.select("country", F.when(F.col("good"), "ok").when(F.col("elsewhere"), "unsupported").when(F.col("transient"), "transient").otherwise("unsupported").alias("outcome"))

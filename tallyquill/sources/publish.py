@@ -28,17 +28,41 @@ def digest(df: DataFrame) -> str:
     return ":".join(str(x) for x in row)
 
 
+def _lines(path: str, spark: SparkSession) -> str:
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
+def _manifests(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the complete manifests, the newest last; those still being written have names of another kind."""
+    fs, at, _ = _fs(spark, f"{root}/manifests")
+    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+    return [f"{root}/manifests/{n}" for n in sorted(names) if n.startswith("m-") and n.endswith(".json")]
+
+
 def current(spark: SparkSession, root: str) -> dict:
-    """The manifest that readers follow: version, and each table's path and digest; empty before the first publication."""
-    fs, at, _ = _fs(spark, f"{root}/manifest.json")
-    return json.loads("\n".join(r.value for r in spark.read.text(str(at), wholetext=True).collect())) if fs.exists(at) else {}
+    """The newest manifest: version, and each table's path and digest; empty before the first publication."""
+    found = _manifests(spark, root)
+    return json.loads(_lines(found[-1], spark)) if found else {}
+
+
+def write_document(spark: SparkSession, path: str, value: object) -> None:
+    """One small document, complete or not there at all: written under another name and renamed."""
+    fs, at, make = _fs(spark, path)
+    staged = make(f"{at.getParent().toString()}/_staged-{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    out.write(bytearray(stable_json(value).encode()))
+    out.close()
+    if not fs.rename(staged, at):
+        fs.delete(staged, False)
+        raise FileExistsError(path)
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, check: Callable[[Mapping[str, DataFrame]], list[str]] | None = None) -> dict:
-    """Writes all tables beside the ones in use and then swaps the manifest, in one rename; {"changed", "manifest"}.
+def publish(tables: Mapping[str, DataFrame], root: str, check: Callable[[Mapping[str, DataFrame]], list[str]] | None = None, documents: Mapping[str, object] = {}) -> dict:  # noqa: B006
+    """Writes all tables and `documents` beside the ones in use, and then a manifest of the next number; {"changed", "manifest"}.
 
-    Errors of `check` on what was written leave the old publication in place.  If no table's rows differ, the
-    manifest stays as it is.
+    Readers follow the manifest with the highest number.  It appears by one rename to a name that is not taken, so a
+    crash at any moment leaves them with the publication before, and of two writers one fails.  Errors of `check` on
+    what was written leave the old publication in place.  If no table's rows differ, no manifest is written.
     """
     spark = next(iter(tables.values())).sparkSession
     before, version = current(spark, root), uuid.uuid4().hex
@@ -51,13 +75,25 @@ def publish(tables: Mapping[str, DataFrame], root: str, check: Callable[[Mapping
     found = {name: {"path": f"data/{version}/{name}", "digest": digest(df)} for name, df in written.items()}
     if before and {k: v["digest"] for k, v in before["tables"].items()} == {k: v["digest"] for k, v in found.items()}:
         return {"changed": False, "manifest": before}
-    manifest = {"version": version, "tables": found}
-    fs, at, path = _fs(spark, f"{root}/manifest.json")
-    staged = path(f"{root}/manifest-{version}.json")
-    out = fs.create(staged, True)
-    out.write(bytearray(stable_json(manifest).encode()))
-    out.close()
-    if fs.exists(at):
-        fs.rename(at, path(f"{root}/manifest-before-{version}.json"))
-    fs.rename(staged, at)
+    for name, value in documents.items():
+        write_document(spark, f"{root}/data/{version}/{name}.json", value)
+    manifest = {"version": version, "number": before.get("number", 0) + 1, "tables": found, "documents": {n: f"data/{version}/{n}.json" for n in documents}, "schemas": {n: df.schema.jsonValue() for n, df in written.items()}}
+    write_document(spark, f"{root}/manifests/m-{manifest['number']:012d}.json", manifest)
     return {"changed": True, "manifest": manifest}
+
+
+def market_files(markets: DataFrame, path: str, country: str = "country") -> None:
+    """A folder of JSON documents for each country; nulls are written.  A later write replaces all of them."""
+    rows = markets.select(country, F.to_json(F.struct(*sorted(markets.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    rows.repartition(country).write.partitionBy(country).mode("overwrite").text(path)
+
+
+def json_lines(df: DataFrame) -> DataFrame:
+    """Rows as JSON texts with sorted names, as a terminal prints them."""
+    return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def change_report(changes: DataFrame, kinds: int = 100) -> dict:
+    """Number of changes of each kind, and whether one is a regression; for a document of its own."""
+    counts = {r["kind"]: r["count"] for r in changes.groupBy("kind").count().limit(kinds).collect()}  # kinds are a fixed list
+    return {"changes": counts, "has_regression": any(k != "new_market" for k in counts)}

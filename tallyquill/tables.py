@@ -228,3 +228,22 @@ COUNTRY_NAMES = {
 
 # Fixed values.  What follows a unit's "per", up to three words.
 PER_UNIT = r"\bper\b\s+((?:(?!\bper\b)[a-z0-9]+\s+){0,2}(?!\bper\b)[a-z0-9]+)"
+
+# Fixed values.  Titles of pages that check who reads them; marks of their forms and frames; titles of pages to sign in.
+CHALLENGE_TITLES = ("captcha", "security check", "verify you are human", "robot check", "challenge", "are you human", "verify your identity")
+CHALLENGE_MARKS = r"(?is)<(?:form|iframe|input|div)[^>]*(?:captcha|challenge|security-check|human-verification)|cf-turnstile|g-recaptcha|h-captcha|rc-anchor-container|recaptcha"
+LOGIN_TITLES = ("log in", "login", "sign in", "signin")
+LOGIN_FORM = r"(?is)<form[^>]*(?:signin|login)|<input[^>]*type=[\"']?password"
+
+# Fixed values.  Countries that are known before any page is read.
+SEED_MARKETS = [
+    ("us", "US", "United States", "north_america", "en-us", "en", "USD"), ("gb", "GB", "United Kingdom", "europe", "en-gb", "en", "GBP"), ("de", "DE", "Germany", "europe", "en-de", "en,de", "EUR"),
+    ("au", "AU", "Australia", "asia_pacific", "en-au", "en", "AUD"), ("jp", "JP", "Japan", "asia_pacific", "en-jp", "en,ja", "JPY"), ("in", "IN", "India", "asia_pacific", "en-in", "en", "INR"),
+    ("ae", "AE", "United Arab Emirates", "middle_east_africa", "en-ae", "en", "AED"), ("br", "BR", "Brazil", "south_america", "en-br", "en,pt", "BRL"),
+    ("id", "ID", "Indonesia", "asia_pacific", "en-id", "en", "IDR"),
+]
+
+# Fixed values.  How pages of local methods mark a card and the parts of a price in it.
+CARD_MARK, ROW_MARK, CAPTION_MARK, AMOUNT_MARK, LABEL_MARK, SUBPRICE_MARK = (
+    "LocalPaymentMethodsPricingCard", "PricingGridPrice", "PricingGridPrice__caption", "PricingGridPrice__amount", "PricingGridPrice__label", "PricingGridSubprice",
+)
