@@ -45,11 +45,13 @@ def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def _learn(state):
+def _learn(state, size: int):
     """Passes once over the sample, in the order of its rows, from the broadcast state; gives the coordinates it changed."""
 
     def run(batches):
-        z, n = (x.copy() for x in state.value)
+        known, own_z, own_n = state.value
+        z, n = np.zeros(size), np.zeros(size)
+        z[known], n[known] = own_z, own_n
         touched = np.zeros(len(z), dtype=bool)
         for batch in batches:
             y = batch.column("y").to_numpy(zero_copy_only=False)
@@ -87,8 +89,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     try:
         rounds = min(max(ROUNDS, -(-PASSED // max(own.count(), 1))), MOST_ROUNDS)
         for _ in range(rounds):
-            state = sc.broadcast((z, n))
-            rows = own.mapInArrow(_learn(state), "k long, z double, n double").toArrow()
+            known = np.flatnonzero(n).astype(np.int32)
+            state = sc.broadcast((known, z[known], n[known]))
+            rows = own.mapInArrow(_learn(state, len(z)), "k long, z double, n double").toArrow()
             k = rows["k"].to_numpy()
             z[k], n[k] = rows["z"].to_numpy(), rows["n"].to_numpy()
             state.destroy()
