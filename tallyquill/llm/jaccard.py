@@ -370,8 +370,8 @@ def _sets(docs: DataFrame, n_words: int) -> tuple[DataFrame, DataFrame, DataFram
     return base, sets, copies
 
 
-def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(one row per document with doc_id, n and its set's digests; links (a, b) that connect what is similar).
+def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(one row per document with doc_id, n and its set's digests; links (a, b) that connect what is similar; components).
 
     Links are between document ids: every pair of different sets of which one is linked, directly, or through links
     that are given.  That is enough to find every group, and a large group needs few of its pairs.
@@ -384,13 +384,19 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     # head is searched next: the likeliest partner of each, then all partners whose bound allows a link.
     pairs = _candidates(cells.withColumns({"comp": F.col("id"), "probe": F.col("top")}), percent)
     links = copies.unionByName(_linked(docs, pairs, n_words, percent))
+    of = components(links)
     for nearest in (True, False):
-        of = components(links).withColumnRenamed("component", "c")
-        placed = cells.join(of, "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
+        placed = cells.join(of.withColumnRenamed("component", "c"), "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
         tops = placed.where("top").groupBy("head").agg(F.min("comp").alias("main"))
         placed = placed.join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
-        links = links.unionByName(_linked(docs, _candidates(placed, percent, nearest), n_words, percent))
-    return base, links
+        pairs = _candidates(placed, percent, nearest)
+        if pairs.isEmpty():  # a probe without a likeliest partner has none at all
+            break
+        new = _linked(docs, pairs, n_words, percent)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            of = components(links)
+    return base, links, of
 
 
 def all_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -417,14 +423,13 @@ def jaccard_join(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     Null texts and texts without words have no shingles and are their own component.  Rows of one doc_id are one node.
     A null doc_id has no component.  Other columns are ignored.
     """
-    base, links = similar_links(docs, n_words, percent)
-    found = components(links)
+    base, _, found = similar_links(docs, n_words, percent)
     joined = base.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` without those of a document whose component has a smaller doc_id; all columns are kept."""
-    _, links = similar_links(docs, n_words, percent)
-    gone = components(links).where("id <> component").select(F.col("id").alias("_gone"))
+    _, _, found = similar_links(docs, n_words, percent)
+    gone = found.where("id <> component").select(F.col("id").alias("_gone"))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)

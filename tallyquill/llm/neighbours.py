@@ -292,13 +292,16 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
 
     Vectors that are null, empty, zero or hold null or non-finite components have no links and are their own
     component; so are rows whose vec_id is null, with a null component.  Rows that repeat a vec_id are one node for
-    each of their vectors.  Vectors must have one length.  Other columns are ignored.
+    each of their vectors.  Vectors of another length than most have no
+    links.  An empty table gives none.  Other columns are ignored.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
     sc = spark.sparkContext
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     units = cut(every.mapInArrow(_units, "vec_id long, unit binary, d1 long, d2 long"))
+    lengths = units.groupBy(F.octet_length("unit").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    units = units.where(F.octet_length("unit") == lengths["n"]) if lengths else units
     same = units.groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     copy_of = cut(units.select("vec_id", "d1", "d2").join(same, ["d1", "d2"]).select("vec_id", "rep", "copies"))
     nodes = cut(units.join(same, ["d1", "d2"]).where("vec_id = rep").select("vec_id", "unit", "copies").dropDuplicates(["vec_id", "unit"]))
