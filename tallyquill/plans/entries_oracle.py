@@ -111,6 +111,11 @@ SQL: dict[str, str] = {
     "d09_d15_products": f"""WITH {_ENTRIES}, {_PRODUCTS} SELECT entry_id, method, channel, product, dedicated, {_CARD} AS is_card, product IN ({_METHODS_SQL}) AS is_method,
         contains(low, 'for international transactions') AND (contains(low, '+') OR contains(low, 'surcharge')) AS abroad FROM p""",
     "d16_d19_d22_roles": f"WITH {_ENTRIES}, {_ROLES} SELECT entry_id, how AS exactness, role, {_MODIFIER} AS is_modifier FROM r",
+    "d21_components": rf"""WITH {_ENTRIES}, {_ROLES}, k AS (SELECT *, CASE WHEN role = 'surcharge' THEN 'fixed_surcharge' WHEN {_has("(role || ' ' || low)", tables.AMOUNT_ROLES[0][0])} THEN 'maximum_fee'
+            WHEN {_has("(role || ' ' || low)", tables.AMOUNT_ROLES[1][0])} THEN 'minimum_fee' WHEN role IN ('included', 'free') THEN role WHEN role = 'custom' THEN 'custom_pricing' ELSE 'fixed_amount' END AS kind,
+          CASE length(split_part(pct, '.', 2)) WHEN 0 THEN (pct::DECIMAL(10,0)::INT * 100)::VARCHAR WHEN 1 THEN ((pct::DECIMAL(10,1) * 100)::DECIMAL(12,1))::VARCHAR ELSE ((pct::DECIMAL(10,2) * 100)::DECIMAL(12,2))::VARCHAR END AS points FROM r)
+        SELECT entry_id, CASE WHEN n_tokens = 0 THEN CASE WHEN role IN ('included', 'free') THEN role WHEN role = 'custom' THEN 'custom_pricing' ELSE 'non_calculable' END || ':::'
+          ELSE concat_ws(';', kind || ':' || amount || ':' || currency || ':' || trunc(amount::DECIMAL(12,2) * 100)::INT::VARCHAR, CASE WHEN role = 'surcharge' THEN 'percentage_surcharge' ELSE 'percentage' END || ':' || pct || '::' || points) END AS components FROM k""",
     "t18_t22_headings": rf"""WITH {_ENTRIES}, n AS (SELECT *, nullif(regexp_extract(text, '{_NUMBER}'), '') AS number, {_LINES} AS lines FROM t), s AS (SELECT *, {_STOP} AS stop FROM n),
         h AS (SELECT *, CASE WHEN number IS NOT NULL THEN list_filter(CASE WHEN stop > 0 THEN lines[1:stop - 1] ELSE lines END, lambda x: NOT {_IS_PRICE.format('x')} AND len(string_split(x, ' ')) <= 8)[-1] END AS nearest FROM s)
         SELECT entry_id, nearest, CASE WHEN ends_with(low, ' per') THEN list_filter(list_transform(string_split(lower(nearest), ' '), lambda w: regexp_replace(w, '[^a-z0-9]', '', 'g')), lambda w: list_contains({_list(tables.UNIT_NOUNS)}, w))[-1] END AS noun,
