@@ -65,11 +65,18 @@ def cut(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     own = df.checkpoint(eager=True)
-    # Shuffle files of what was cut off go when the driver's JVM collects its garbage, which it seldom does by itself.
+    tidied(df.sparkSession)
+    return own
+
+
+def tidied(spark: SparkSession) -> None:
+    """Has the driver give back what earlier jobs left: their garbage, and with it shuffle files that nothing refers to.
+
+    They go when the driver's JVM collects its garbage, which it seldom does by itself.
+    """
     gc.collect()
     pa.default_memory_pool().release_unused()
-    sc._jvm.System.gc()
-    return own
+    spark.sparkContext._jvm.System.gc()
 
 
 def bucket(doc_id: str, n: int) -> Column:
