@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyquill.llm import decontaminate, jaccard, mixing, quality, toxicity
-from tallyquill.llm.common import shared_folder, table, unused
+from tallyquill.llm.common import shared_folder, table, tidied, unused
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +21,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Without labels of both kinds nothing can be learnt, and all documents stay.  Null and empty texts are scored like
     others, repeated rows and ties alike; no documents give none.  Columns stay, whatever their names.
     """
+    tidied(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = unused(docs, "_score")
     return quality.score(docs, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns) if model.fitted else docs
@@ -31,6 +32,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are scored like others, repeated rows and ties alike; no documents give none.
     """
+    tidied(spark)
     learnt = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     score = unused(docs, "_score")
     return toxicity.score(docs, learnt, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
@@ -41,16 +43,19 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts and null ids are in no group and stay; rows that repeat an id stay or go together.
     """
+    tidied(spark)
     return jaccard.keep_one(docs, WORDS, PERCENT)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that benchmark passages contaminate; null and empty texts are clean, rows judged one by one."""
+    tidied(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: the documents taken, with the number of copies, size, target and words taken; texts without words have size 0."""
+    tidied(spark)
     return mixing.mix(docs)
 
 
