@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyquill.llm import chat, decontaminate, html, jaccard, language, lm, mixing, neighbours, quality, toxicity
+from tallyquill.llm import chat, decontaminate, html, jaccard, language, lm, mixing, neighbours, quality, toxicity, transducer
 from tallyquill.llm.common import table
 
 
@@ -51,11 +52,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_lstm, op2_quality_compression, op3_embedding_graph, op4_mix_pareto, op5_toxicity_ftrl, op6_chat_rotation, op7_language_ranks,
-        op8_hidden_markov, op9_jaccard_rtree, op10_decontaminate,
+        op8_hidden_markov, op9_jaccard_rtree, op10_decontaminate, op11_token_transducer,
     )
 }
 
