@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 import numpy as np
@@ -69,6 +70,13 @@ def cut(df: DataFrame) -> DataFrame:
     return own
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table of its own in the shared folder, which readers take columns of."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tidied(spark: SparkSession) -> None:
     """Has the driver give back what earlier jobs left: their garbage, and with it shuffle files that nothing refers to.
 

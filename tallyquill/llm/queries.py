@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyquill.llm import chat, decontaminate, html, jaccard, language, lm, mixing, neighbours, quality, toxicity, transducer
+from tallyquill.llm import chat, decontaminate, html, jaccard, language, lm, mixing, neighbours, phrases, quality, ranked, toxicity, transducer
 from tallyquill.llm.common import table
 
 
@@ -56,11 +56,19 @@ def op11_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_phrase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_lstm, op2_quality_compression, op3_embedding_graph, op4_mix_pareto, op5_toxicity_ftrl, op6_chat_rotation, op7_language_ranks,
-        op8_hidden_markov, op9_jaccard_rtree, op10_decontaminate, op11_token_transducer,
+        op8_hidden_markov, op9_jaccard_rtree, op10_decontaminate, op11_token_transducer, op12_ranked_search, op13_phrase_pairs,
     )
 }
 
@@ -109,4 +117,29 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN c USING (id) LEFT JOIN m USING (id)""",
+    "op12_ranked_search": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        s AS (SELECT (count(*) FILTER (len(w) > 0))::BIGINT AS docs, sum(len(w))::BIGINT AS total FROM d),
+        t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY r, doc_id, n, term),
+        i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+        f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM t, s WHERE term IN (SELECT term FROM i) GROUP BY term, docs),
+        x AS (SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+              FROM i JOIN f USING (term) JOIN t USING (term), s GROUP BY item_id, r, doc_id)
+        SELECT item_id, rank::INT AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 10""",
+    "op13_phrase_pairs": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+        c AS (SELECT f.*, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        h AS (SELECT *, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+        s AS (SELECT h.lang, h.k, h.phrase, h.a, l.a AS l, r.a AS r, n, (1000 * h.a * n) // (l.a * r.a) AS score,
+                row_number() OVER (PARTITION BY h.lang, h.phrase ORDER BY (1000 * h.a * n) // (l.a * r.a), j) AS place
+              FROM h JOIN f l ON l.lang = h.lang AND l.phrase = head JOIN f r ON r.lang = h.lang AND r.phrase = tail JOIN t ON t.lang = h.lang),
+        o AS (SELECT lang, part, max(a) AS longer FROM (SELECT lang, unnest([array_to_string(w[1:k - 1], ' '), array_to_string(w[2:], ' ')]) AS part, a FROM c) GROUP BY lang, part),
+        q AS (SELECT s.* FROM s LEFT JOIN o ON o.lang = s.lang AND part = phrase WHERE place = 1 AND (longer IS NULL OR 100 * longer < 100 * a))
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM q) WHERE rank <= 2000""",
 }

@@ -158,3 +158,10 @@ def by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.ones(len(rows), dtype=bool)
     new[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
     return rows[new], values[new]
+
+
+def word_array(data: np.ndarray, table: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words themselves, as `spans` finds them with the same table, one after the other."""
+    offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[table[data]])])
