@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyquill import tables
-from tallyquill.functions.text import condition_key
+from tallyquill.functions.text import condition_key, stable_id
+from tallyquill.operators.containment import followed, owners, put_together, selected
+from tallyquill.sources.shared import cut
 
 
 #: What makes two fee components equal.
@@ -56,6 +58,20 @@ def merged(rules: DataFrame, selector: list[str], signature: str, order: str, st
     return found.select("*", *(F.col(f"_first.{c}").alias(c) for c in first)).drop("_first").withColumnsRenamed(names)
 
 
+def _outcomes(rows: DataFrame, by: list[str], order: str, candidate: str, loose: Column) -> DataFrame:
+    """Rows with `_kind` of outcome (loose, conflict, plain) and `_taker`, the `order` of the row that takes each up.
+
+    A row that stays takes up itself.  Of several groups of an unspecified product the first takes all; of one fee
+    candidate and others it does; several candidates stay apart, with all others; without any, the first takes all.
+    """
+    own = Window.partitionBy(*by)
+    rows = rows.withColumns({"_n": F.count("*").over(own), "_fees": F.count(F.when(F.col(candidate), 1)).over(own), "_least": F.min(order).over(own), "_fee": F.min(F.when(F.col(candidate), F.col(order))).over(own)})
+    many = loose & (F.col("_n") > 1)
+    kind = F.when(many, "loose").when(F.col("_fees") > 1, "conflict").otherwise("plain")
+    taker = F.when(many, F.col("_least")).when(F.col("_fees") > 1, F.col(order)).otherwise(F.coalesce("_fee", "_least"))
+    return rows.withColumns({"_kind": kind, "_taker": taker}).drop("_n", "_fees", "_least", "_fee")
+
+
 def resolved(groups: DataFrame, selector: list[str], status: str = "status", candidate: str = "is_candidate", unspecified: Column | None = None, lists: tuple[str, ...] = ()) -> DataFrame:
     """Groups of `merged` with their outcome; what stays takes entry_ids and `lists` of what goes, in order.
 
@@ -63,58 +79,90 @@ def resolved(groups: DataFrame, selector: list[str], status: str = "status", can
     of several candidates every group is a conflict without confidence; without any, the first absorbs the others.
     Groups that are absorbed go, and their ids are given to the one that stays.
     """
-    own = Window.partitionBy(*selector)
-    rows = groups.withColumns({"_n": F.count("*").over(own), "_fees": F.count(F.when(F.col(candidate), 1)).over(own), "_first": F.row_number().over(own.orderBy("first_at"))})
-    loose = F.lit(False) if unspecified is None else unspecified
-    outcome = F.when(loose & (F.col("_n") > 1), "informational").when(F.col("_fees") > 1, "conflict").otherwise(F.col(status))
-    stays = F.when(F.col("_fees") > 1, ~loose | (F.col("_first") == 1)).when((F.col("_fees") == 1) & ~(loose & (F.col("_n") > 1)), F.col(candidate)).otherwise(F.col("_first") == 1)
-    takes = (F.col("_fees") <= 1) | (loose & (F.col("_n") > 1))
+    rows = groups.withColumn("_sel", selected(selector))
+    rows = _outcomes(rows, ["_sel"], "first_at", candidate, F.lit(False) if unspecified is None else unspecified)
     names = ("entry_ids", *lists)
-    every = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first_at", c)).over(own)), lambda x: x[c]))
-    rows = rows.withColumns({"_outcome": outcome, "_stays": stays} | {f"_{c}": F.when(takes, F.array_distinct(every(c))).otherwise(F.col(c)) for c in names}).where("_stays")
-    fails = (F.col("_fees") > 1) | (loose & (F.col("_n") > 1))
-    rows = rows.withColumns({status: F.col("_outcome"), "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence"))} | {c: F.col(f"_{c}") for c in names})
-    return rows.drop("_n", "_fees", "_first", "_outcome", "_stays", *(f"_{c}" for c in names))
+    of = lambda c: F.transform(c, lambda x, i: F.struct(F.lit(c).alias("kind"), x.cast("string").alias("item"), i.alias("at")))
+    every = F.flatten(F.array_compact(F.array(*map(of, names))))
+    items = rows.select("_sel", "_taker", "first_at", F.explode(every).alias("x")).select("_sel", "_taker", "x.kind", "x.item", F.struct("first_at", "x.at").alias("place"), F.lit(None).cast("string").alias("told"))
+    found = put_together(items, ["_sel", "_taker"], names)
+    kinds = {c: groups.schema[c].dataType.simpleString() for c in names}
+    found = found.select("_sel", F.col("_taker").alias("first_at"), *(F.transform(c, lambda x: x["item"]).cast(kinds[c]).alias(f"_{c}") for c in names))
+    own = rows.where(F.col("first_at") == F.col("_taker")).join(found, ["_sel", "first_at"], "left")
+    fails = F.col("_kind") != "plain"
+    outcome = F.when(F.col("_kind") == "loose", "informational").when(F.col("_kind") == "conflict", "conflict").otherwise(F.col(status))
+    own = own.withColumns({status: outcome, "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence"))} | {c: F.coalesce(f"_{c}", F.array().cast(kinds[c])) for c in names})
+    return own.select(*groups.columns)
 
 
 def absorbed_subsets(groups: DataFrame, selector: list[str], key: str, parts: str) -> DataFrame:
-    """Groups without those whose set of `parts` lies within a larger set of the same selector; equal sets keep the last key.
+    """Groups without those whose set of `parts` lies within another's of the same selector; of equal sets the last key stays."""
+    own = groups.withColumn("_sel", selected(selector))
+    return own.join(owners(own, key, parts).drop("owner"), ["_sel", key], "left_anti").select(*groups.columns)
 
-    Equal sets of a selector are put together first, whatever their number; only the distinct sets are compared, by
-    their parts' postings.
-    """
-    own = groups.withColumn("_set", F.array_join(F.array_sort(F.transform(F.array_distinct(parts), lambda p: p.cast("string"))), "\u0001"))
-    sets = own.groupBy(*selector, "_set").agg(F.max(key).alias("_last"), F.first(F.array_distinct(parts)).alias("_parts"))
-    each = sets.select(*selector, "_set", F.size("_parts").alias("_size"), F.explode("_parts").alias("_part"))
-    other = each.select(*selector, F.col("_set").alias("_other"), F.col("_size").alias("_large"), "_part")
-    both = each.join(other, [*selector, "_part"]).where(F.col("_size") < F.col("_large"))
-    inside = both.groupBy(*selector, "_set", "_other", "_size").count().where("count = _size").select(*selector, "_set").distinct()
-    kept = sets.join(inside, [*selector, "_set"], "left_anti").select(*selector, "_set", F.col("_last").alias(key))
-    return own.join(kept, [*selector, "_set", key], "left_semi").drop("_set")
+
+#: Lists that tell where a rule comes from.
+_PROVENANCE = ("entry_ids", "source_texts", "rule_ids", "fragments", "phrases", "evidence_ids", "notes")
+#: Fields of a fee that an informational rule of several unspecified ones hasn't got.
+_FEE_FIELDS = ("percentage", "basis_points", "fixed_amount", "fixed_amount_minor", "fixed_currency", "minimum_amount", "maximum_amount")
+#: What tells a conflict, beside the evidence that a rule has.
+CONFLICT_NOTE = "conflict: semantic identity with differing fee signature"
+
+
+def _told(rules: DataFrame) -> Column:
+    """(kind, item, at, told) of all that a rule brings along."""
+    texts = lambda c: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, i: F.struct(F.lit(c).alias("kind"), x.alias("item"), i.alias("at"), F.lit(None).cast("string").alias("told")))
+    own = [texts(c) for c in ("entry_ids", "source_texts", "phrases", "evidence_ids", "notes")]
+    own.append(F.array(F.struct(F.lit("rule_ids").alias("kind"), F.col("rule_id").alias("item"), F.lit(0).alias("at"), F.lit(None).cast("string").alias("told"))))
+    own.append(F.transform("fragments", lambda x, i: F.struct(F.lit("fragments").alias("kind"), x["text"].alias("item"), i.alias("at"), x["entry_id"].alias("told"))))
+    return F.filter(F.concat(*own), lambda x: x["item"] != "")
 
 
 def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
     """`classified` rules of one identity (product, variant, conditions; within `by`) as one, or as conflicts.
 
-    Equal fees are merged; a group whose components lie within another's is absorbed by it; of what then differs, all are
-    conflicts.  entry_ids, texts and rule_ids tell where a rule comes from.
+    Rules of equal fees are merged: fees of the first, the most concrete status, the best confidence and evidence.  A
+    group whose components lie within another's is taken up by it.  Of what then differs, a single fee candidate takes up
+    the rest, several are all conflicts, and several of an unspecified product are one informational rule without a fee.
+
+    Every rule comes with its provenance, in the order in which it was taken up: entry_ids, source_texts, rule_ids,
+    fragments (each text with its first entry), the evidence's phrases and evidence_ids, and notes.  Each rule's items are
+    in one row; neither a page nor an identity is ever gathered.
     """
     selector = [*by, "product_id", "variant_id", "condition_key"]
     plan = F.try_element_at(F.filter("conditions", lambda c: c["dimension"] == "pricing_plan"), F.lit(1))["value"]
-    keyed = rules.withColumns({
-        "condition_key": condition_key("conditions"), "is_candidate": fee_candidate("status", "fee_components"), "plan": plan,
-        "component_keys": F.transform("fee_components", lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in _PARTS))),
+    part = lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in _PARTS))
+    own = rules.withColumns({"condition_key": condition_key("conditions"), "plan": plan, "component_keys": F.transform("fee_components", part)})
+    own = own.withColumns({"signature": fee_signature("fee_components", "unit", "exactness", "behavior", "plan"), "_sel": selected(selector)})
+    place = F.struct(F.col("entry_id").alias("a"), F.col("rule_id").alias("b"))
+    kept = [c for c in rules.columns if c not in {*by, "entry_ids", "source_texts", "fragments", "phrases", "evidence_ids", "notes", "status", "confidence", "fee_evidence"}]
+    groups = own.groupBy("_sel", "signature").agg(
+        F.min(place).alias("_at"), F.min_by("status", F.struct(_concrete(F.col("status")), place)).alias("status"), F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"),
+        F.min_by("fee_evidence", F.struct(_concrete(F.col("status")), -F.col("confidence"), place)).alias("fee_evidence"), F.min_by(F.struct(*by, *kept, "condition_key", "component_keys"), place).alias("_first"),
+    ).select("_sel", "signature", F.concat_ws("\u0001", "_at.a", "_at.b", F.sha2("signature", 256)).alias("_key"), "status", "confidence", "n_rules", "fee_evidence", "_first.*")
+    groups = cut(groups.withColumn("is_candidate", fee_candidate("status", "fee_components")))
+    ends = followed(owners(groups, "_key", "component_keys"), "_key")
+    roots = _outcomes(groups.join(ends, ["_sel", "_key"], "left_anti"), ["_sel"], "_key", "is_candidate", F.col("product_id") == "unspecified")
+    of_root = roots.select("_sel", F.col("_key").alias("root"), "_taker")
+    # A taker's own lists come first, then those of the groups it takes up, each with what it had taken up itself.
+    placed = groups.select("_sel", "signature", "_key").join(ends, ["_sel", "_key"], "left").withColumn("root", F.coalesce("root", "_key")).join(of_root, ["_sel", "root"])
+    placed = placed.withColumn("_path", F.concat(F.array(F.when(F.col("root") == F.col("_taker"), "").otherwise(F.col("root"))), F.coalesce("path", F.array().cast("array<string>"))))
+    items = own.join(placed.select("_sel", "signature", "_taker", "_path"), ["_sel", "signature"]).select("_sel", "_taker", "_path", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
+    items = items.select("_sel", "_taker", "x.kind", "x.item", "x.told", F.struct("_path", "entry_id", "rule_id", "x.at").alias("place"))
+    lists = put_together(items, ["_sel", "_taker"], _PROVENANCE)
+    fragment = lambda x: F.struct(x["told"].alias("entry_id"), x["item"].alias("text"))
+    lists = lists.select("_sel", F.col("_taker").alias("_key"), *(F.transform(c, fragment if c == "fragments" else lambda x: x["item"]).alias(c) for c in _PROVENANCE))
+    found = roots.where(F.col("_key") == F.col("_taker")).join(lists, ["_sel", "_key"])
+    loose, conflict = F.col("_kind") == "loose", F.col("_kind") == "conflict"
+    identity = F.array_join(F.transform(F.array_sort("conditions"), lambda c: F.concat_ws("=", c["dimension"], c["value"])), "|")
+    none = {c: F.when(~loose, F.col(c)) for c in _FEE_FIELDS if c in rules.columns}
+    found = found.withColumns(none | {
+        "status": F.when(loose, "informational").when(conflict, "conflict").otherwise(F.col("status")), "confidence": F.when(loose | conflict, F.lit(0.0)).otherwise(F.col("confidence")),
+        "rule_id": stable_id("product_id", "variant_id", identity, F.when(loose, "informational").otherwise(F.col("signature"))), "fee_components": F.when(loose, F.array().cast(rules.schema["fee_components"].dataType)).otherwise(F.array_sort("fee_components")),
+        "unit": F.when(loose, "informational").otherwise(F.col("unit")), "behavior": F.when(loose, "informational").otherwise(F.col("behavior")), "is_candidate": F.col("is_candidate") & ~loose,
+        "notes": F.when(conflict, F.concat("notes", F.array(F.lit(CONFLICT_NOTE)))).otherwise(F.col("notes")),
     })
-    keyed = keyed.withColumn("signature", fee_signature("fee_components", "unit", "exactness", "behavior", "plan"))
-    flat = ("rule_id", "label", "unit", "exactness", "behavior", "percentage", "fixed_amount", "fixed_currency", "payment_method", "channel", "component_keys", "fee_components", "conditions", "fee_evidence", "is_candidate")
-    found = merged(keyed.withColumnRenamed("entry_ids", "contributing"), selector, "signature", "entry_id", "status", "rule_id", ("contributing", "source_texts"), flat)
-    found = found.withColumnRenamed("entry_ids", "rule_ids").withColumnRenamed("contributing", "entry_ids")
-    whole = absorbed_subsets(found, selector, "first_at", "component_keys").select(*selector, "first_at")
-    gone = found.join(whole, [*selector, "first_at"], "left_anti")
-    kept = found.join(whole, [*selector, "first_at"], "left_semi")
-    lost = gone.groupBy(*selector).agg(F.flatten(F.array_sort(F.collect_list("entry_ids"))).alias("_more"))
-    kept = kept.join(lost, selector, "left").withColumn("entry_ids", F.array_distinct(F.concat("entry_ids", F.coalesce("_more", F.array().cast("array<string>"))))).drop("_more")
-    return resolved(kept, selector, unspecified=F.col("product_id") == "unspecified", lists=("source_texts", "rule_ids"))
+    return found.select(*by, *kept, "condition_key", "n_rules", "is_candidate", "status", "confidence", "fee_evidence", *_PROVENANCE)
 
 
 #: Counters by the status of rules, and of entries that are left over; what both have is added up.

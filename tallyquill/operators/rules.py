@@ -224,7 +224,11 @@ def assembled(rows: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa: B
     identity = F.transform(F.array_sort("conditions"), lambda c: F.concat_ws("=", c["dimension"], c["value"]))
     card = d.is_card_product(F.col("product_id"))
     plain = lambda c, other: F.when(F.col("empty"), F.lit(other)).otherwise(F.col(c))
+    told = F.filter("items", lambda x: ~F.coalesce(ev.is_marketing(x["once_text"]), F.lit(False)))
     own = settled(own, {
+        "fragments": F.when(F.col("empty"), F.array()).otherwise(F.transform("items", lambda x: F.struct(x["entry_id"].alias("entry_id"), x["once_text"].alias("text")))), "evidence_ids": F.when(F.col("empty"), F.slice("entry_ids", 1, 1)).otherwise(F.col("entry_ids")),
+        "phrases": F.when(F.col("empty"), F.array("once_text")).otherwise(ordered_unique(F.transform(told, lambda x: x["once_text"]))), "fee_evidence": F.when(F.col("empty"), F.struct(bare.alias("type"), F.lit(0.7).alias("confidence"))).otherwise(F.col("fee_evidence")),
+        "notes": F.when(F.col("empty"), F.array().cast("array<string>")).otherwise(F.concat(F.array(F.concat(F.lit("product="), "product_id"), F.concat(F.lit("variant="), "variant_id")), F.transform("conditions", lambda c: F.concat_ws("=", c["dimension"], c["value"])))),
         "status": status, "confidence": kept, "rule_id": stable_id("product_id", "variant_id", F.array_join(identity, "|"), "entry_id"), "unit": F.coalesce(plain("unit", "informational"), F.lit("informational")),
         "behavior": plain("behavior", "informational"), "exactness": F.coalesce(plain("exactness", "included"), F.lit("exact")), "entry_ids": F.when(F.col("empty"), F.slice("entry_ids", 1, 1)).otherwise(F.col("entry_ids")),
         "percentage": first_component(parts, ("percentage", "percentage_surcharge"), "value"), "basis_points": first_component(parts, ("percentage", "percentage_surcharge"), "basis_points"),
@@ -234,8 +238,8 @@ def assembled(rows: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa: B
     })
     return own.select(
         *by, "group_no", "rule_id", "entry_id", "entry_ids", "product_id", "variant_id", "label", "account_country", "channel", F.col("method").alias("payment_method"), "card_region", "card_origin", "card_tier", "percentage",
-        "basis_points", "fixed_amount", "fixed_amount_minor", "fixed_currency", "minimum_amount", "maximum_amount", "unit", "exactness", "behavior", "conditions", "fee_components", "source_texts", "fee_evidence", "status",
-        "confidence", "items",
+        "basis_points", "fixed_amount", "fixed_amount_minor", "fixed_currency", "minimum_amount", "maximum_amount", "unit", "exactness", "behavior", "conditions", "fee_components", "source_texts", "fragments", "phrases", "evidence_ids", "notes", "fee_evidence",
+        "status", "confidence", "items",
     )
 
 

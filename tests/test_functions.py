@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyquill import tables
 from tallyquill.functions import money, text, web
 from tallyquill.operators import identities, lines, pages, snapshots
 from tallyquill.sources import files, publish
@@ -107,4 +108,4 @@ def test_cache_and_seed(spark):
     cache = spark.createDataFrame([(key, b"x", 1000.0, 200)], "key string, content binary, fetched_at double, status int")
     assert [r.hit for r in files.cached(requests, cache, 1500.0, 600).orderBy("url").collect()] == [True, False]
     assert not files.cached(requests, cache, 2500.0, 600).where("hit").count()
-    assert files.discovered_or_seed(files.seed_markets(spark).limit(0)).count() == len(files.SEED_MARKETS)
+    assert files.discovered_or_seed(files.seed_markets(spark).limit(0)).count() == len(tables.SEED_MARKETS)
