@@ -1,11 +1,13 @@
 """Fee entries to rules: dimensions, what a row takes from the row before it, modifiers joined to their base, rules.
 
 Entries have url, source_order, entry_id, section_path, fee_category, source_text, source_evidence, payment_method,
-channel and account_country.  Rows of one page are put in order within one row of a table; pages are handled apart.
+channel and account_country.  Rows of one page are read in order, in one pass over sorted partitions; pages are handled apart.
 """
 
 from __future__ import annotations
 
+from array import array
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tallyquill.functions import dimensions as d
 from tallyquill.functions import evidence as ev
 from tallyquill.functions import money
 from tallyquill.functions.text import deduplicated, first_match, ordered_unique, stable_id, stacked_units
+from tallyquill.operators.folds import folded
 from tallyquill.operators.order import settled
 
 _COMPONENT = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount", "source_entry_id", "source_text")
@@ -67,56 +70,68 @@ def described(entries: DataFrame) -> DataFrame:
 _LOOSE = ("payments", "terminal")
 
 
-def _inherited(rows: list) -> list[dict]:
-    """What each row of a page, in order, has after it took from the row before it in the same section."""
-    out, before, path = [], None, None
-    for r in rows:
-        own = {"product_id": r["product"], "payment_method": r["method"], "card_region": r["region"], "card_tier": r["tier"]}
-        if before is not None and list(path) == list(r["path"]):
-            loose = own["product_id"] == "payments" and before["product_id"] not in _LOOSE or own["product_id"] == "unspecified" and before["product_id"] not in (*_LOOSE, "unspecified")
+class Inherited:
+    """What each row of a page has after it took from the row before it in the same section: product, method, region, tier."""
+
+    def __init__(self):
+        self.path, self.before = None, None
+
+    def __call__(self, r: dict) -> tuple:
+        product, method, region, tier = r["product"], r["method"], r["region"], r["tier"]
+        if self.before is not None and self.path == r["path"]:
+            old, old_method, old_region, old_tier = self.before
+            loose = product == "payments" and old not in _LOOSE or product == "unspecified" and old not in (*_LOOSE, "unspecified")
             if r["modifier"] and loose:
-                own["product_id"] = before["product_id"]
-            if r["modifier"] or own["product_id"] == before["product_id"]:
-                own["payment_method"] = own["payment_method"] or before["payment_method"]
-                own["card_region"] = own["card_region"] or before["card_region"]
+                product = old
+            if r["modifier"] or product == old:
+                method, region = method or old_method, region or old_region
                 if r["role"] not in ("base", "from", "range"):
-                    own["card_tier"] = own["card_tier"] or before["card_tier"]
-        before, path = own, r["path"]
-        out.append(own)
-    return out
-
-
-def _attached(rows: list) -> list[int]:
-    """The group of each row of a page, in order: a modifier's is the latest that it fits, else one of its own."""
-    groups: list[dict] = []  # of each: its last row's path, product and variant, its base's role and whether that is a fee
-    out = []
-    for r in rows:
-        above = tuple(r["path"])[:-1] or tuple(r["path"])
-        found = None
-        for n in range(len(groups) - 1, -1, -1) if r["modifier"] else ():
-            g = groups[n]
-            free = g["role"] in ("included", "free")
-            fits = g["above"] == above and g["product"] == r["product"] and (g["variant"] == r["variant"] or r["variant"] in ("online_domestic_cards", "domestic_cards", "standard"))
-            if fits and (free or g["has_fee"]) and not (r["role"] in ("included", "free") and not free):
-                found = n
-                break
-        if found is None:
-            groups.append({"role": r["role"], "has_fee": r["has_fee"]})
-            found = len(groups) - 1
-        groups[found] |= {"above": above, "product": r["product"], "variant": r["variant"]}
-        out.append(found)
-    return out
-
-
-def _in_page_order(rows: DataFrame, by: list[str], seen: dict[str, Column], fold, kind: str) -> DataFrame:
-    """Rows with `folded`: what `fold` makes of the columns `seen` of a page's rows in order; one row per page in between."""
-    every = [c for c in rows.columns if c not in by]
-    first = [c for c in ("source_order", "entry_id") if c in every]
-    pages = rows.withColumn("_seen", F.struct(*(v.alias(n) for n, v in seen.items()))).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*first, *(c for c in every if c not in first), "_seen")), _ordered).alias("_rows"))
-    made = F.pandas_udf(lambda own: own.map(lambda r: fold(list(r))), f"array<{kind}>")
-    pages = pages.withColumn("_made", made(F.transform("_rows", lambda r: r["_seen"])))
-    pairs = pages.select(*by, F.explode(F.arrays_zip("_rows", "_made")).alias("_pair"))
-    return pairs.select(*by, *(F.col(f"_pair._rows.{c}").alias(c) for c in every), F.col("_pair._made").alias("folded"))
+                    tier = tier or old_tier
+        self.before, self.path = (product, method, region, tier), r["path"]
+        return self.before
+
+
+#: Variants of a modifier that fit every variant of its product.
+_GENERAL = ("online_domestic_cards", "domestic_cards", "standard")
+
+
+class Attached:
+    """The group of each row of a page: a modifier's is the latest that it fits, else one of its own.
+
+    Groups that can take modifiers are kept by section above and product, apart by whether their base is a fee or is free:
+    the latest one, and of each variant a stack of group numbers.  Only the latest one's variant ever changes, and it is
+    the top of its stack, so every row takes a few steps however many groups there are, and a group takes eight bytes.
+    """
+
+    def __init__(self):
+        self.n, self.open = 0, {}
+
+    def __call__(self, r: dict) -> tuple[int]:
+        path = tuple(r["path"])
+        where = (path[:-1] or path, r["product"])
+        given = r["role"] in ("included", "free")
+        found, own = -1, None
+        if r["modifier"]:
+            for free in (True,) if given else (True, False):
+                kept = self.open.get((*where, free))
+                if kept is None:
+                    continue
+                stack = kept["stacks"].get(r["variant"])
+                latest = kept["latest"] if r["variant"] in _GENERAL else stack[-1] if stack else -1
+                if latest > found:
+                    found, own = latest, kept
+        if own is None:
+            found = self.n
+            self.n += 1
+            if given or r["has_fee"]:
+                own = self.open.setdefault((*where, given), {"latest": -1, "variant": None, "stacks": {}})
+                own["latest"], own["variant"] = found, r["variant"]
+                own["stacks"].setdefault(r["variant"], array("q")).append(found)
+        elif r["variant"] in _GENERAL and own["variant"] != r["variant"]:
+            own["stacks"][own["variant"]].pop()
+            own["variant"] = r["variant"]
+            own["stacks"].setdefault(r["variant"], array("q")).append(found)
+        return (found,)
 
 
 def _ordered(a: Column, b: Column) -> Column:
@@ -126,6 +141,9 @@ def _ordered(a: Column, b: Column) -> Column:
     return F.when(same, 0).when(less, -1).otherwise(1)
 
 
+_ORDER = ["source_order", "entry_id"]
+
+
 def enriched(entries: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa: B006
     """`described` entries with product_id, payment_method, card_region, card_tier, card_origin, variant_id and conditions.
 
@@ -135,7 +153,7 @@ def enriched(entries: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa:
     rows = described(entries)
     method = F.when(d.is_method_product(F.col("own_product")), F.col("own_method"))
     seen = {"path": F.col("section_path"), "product": F.col("own_product"), "method": method, "region": F.col("own_region"), "tier": F.col("own_tier"), "modifier": F.col("is_modifier"), "role": F.col("role")}
-    rows = _in_page_order(rows, by, seen, _inherited, "struct<product_id:string,payment_method:string,card_region:string,card_tier:string>").select("*", "folded.*").drop("folded")
+    rows = folded(rows, by, _ORDER, seen, Inherited, {"product_id": "string", "payment_method": "string", "card_region": "string", "card_tier": "string"})
     country, product, low = F.col("account_country"), F.col("product_id"), F.col("low")
     rows = rows.withColumns({
         "product_feature": d.product_feature(product, F.try_element_at("section_path", F.lit(-1)), F.col("nearest")), "card_origin": d.card_origin(F.col("card_region"), country), "own_origin": d.card_origin(F.col("own_region"), country),
@@ -155,7 +173,7 @@ def grouped(rows: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa: B00
     the base must be a fee or an included or free row, and what is included or free doesn't join a fee.
     """
     seen = {"path": F.col("section_path"), "product": F.col("product_id"), "variant": F.col("variant_id"), "modifier": F.col("is_modifier"), "role": F.col("role"), "has_fee": d.has_base_fee(F.col("fee"))}
-    return _in_page_order(rows, by, seen, _attached, "int").withColumnRenamed("folded", "group_no")
+    return folded(rows, by, _ORDER, seen, Attached, {"group_no": "int"})
 
 
 def behavior(parts: Column, label: Column, how: Column) -> Column:

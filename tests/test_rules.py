@@ -52,11 +52,12 @@ def test_rules_of_one_identity(spark):
 
 def test_modifiers_take_from_their_base():
     row = lambda **x: {"path": ["a", "b"], "product": "payments", "variant": "standard", "modifier": False, "role": "base", "has_fee": True} | x
-    assert rules._attached([row(), row(modifier=True, role="maximum"), row(path=["a", "c"]), row(modifier=True, role="included"), row(path=["z", "b"], modifier=True)]) == [0, 0, 1, 2, 3]
+    along = lambda fold, own: [fold(r) for r in own]
+    assert [n for (n,) in along(rules.Attached(), [row(), row(modifier=True, role="maximum"), row(path=["a", "c"]), row(modifier=True, role="included"), row(path=["z", "b"], modifier=True)])] == [0, 0, 1, 2, 3]
     seen = lambda **x: {"path": ["a"], "product": "ideal", "method": None, "region": None, "tier": None, "modifier": False, "role": "base"} | x
-    got = rules._inherited([seen(method="ideal", region="eea", tier="premium"), seen(product="unspecified", modifier=True, role="maximum"), seen(), seen(path=["b"])])
-    assert [g["product_id"] for g in got] == ["ideal", "ideal", "ideal", "ideal"]
-    assert [(g["payment_method"], g["card_region"], g["card_tier"]) for g in got] == [("ideal", "eea", "premium"), ("ideal", "eea", "premium"), ("ideal", "eea", None), (None, None, None)]
+    got = along(rules.Inherited(), [seen(method="ideal", region="eea", tier="premium"), seen(product="unspecified", modifier=True, role="maximum"), seen(), seen(path=["b"])])
+    assert [g[0] for g in got] == ["ideal", "ideal", "ideal", "ideal"]
+    assert [g[1:] for g in got] == [("ideal", "eea", "premium"), ("ideal", "eea", "premium"), ("ideal", "eea", None), (None, None, None)]
 
 
 def test_order_with_ties(spark):
@@ -119,4 +120,5 @@ def test_errors_are_named(spark):
     assert [r.metric for r in checks.metric_errors(counts, spark.createDataFrame([("rules", 4)], "metric string, value long")).collect()] == ["rules"]
     with pytest.raises(ValueError, match="A: x"):
         checks.every_error(spark.createDataFrame([("A", "x")], "country string, error string"), strict=True)
-    assert lines.phrases_of([("Dispute fee", "label"), ("$15", "fee"), ("per charge", "qualifier")]) == ["Dispute fee $15 per charge"]
+    own = lines.Phrases()
+    assert [*own.step("Dispute fee", "label"), *own.step("$15", "fee"), *own.step("per charge", "qualifier"), *own.rest()] == ["Dispute fee $15 per charge"]
