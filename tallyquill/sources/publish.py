@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -28,21 +29,34 @@ def digest(df: DataFrame) -> str:
     return ":".join(str(x) for x in row)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(path, seconds of the last change) of what lies in a folder; none if it isn't there."""
+    fs, at, _ = _fs(spark, path)
+    return [(f"{path}/{x.getPath().getName()}", x.getModificationTime() / 1000) for x in fs.listStatus(at)] if fs.exists(at) else []
+
+
 def _lines(path: str, spark: SparkSession) -> str:
     return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
-def _manifests(spark: SparkSession, root: str) -> list[str]:
+def manifests(spark: SparkSession, root: str) -> list[str]:
     """Paths of the complete manifests, the newest last; those still being written have names of another kind."""
-    fs, at, _ = _fs(spark, f"{root}/manifests")
-    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
-    return [f"{root}/manifests/{n}" for n in sorted(names) if n.startswith("m-") and n.endswith(".json")]
+    return sorted(p for p, _ in listed(spark, f"{root}/manifests") if p.rpartition("/")[2].startswith("m-") and p.endswith(".json"))
+
+
+def read_document(spark: SparkSession, path: str) -> dict:
+    return json.loads(_lines(path, spark))
 
 
 def current(spark: SparkSession, root: str) -> dict:
     """The newest manifest: version, and each table's path and digest; empty before the first publication."""
-    found = _manifests(spark, root)
-    return json.loads(_lines(found[-1], spark)) if found else {}
+    found = manifests(spark, root)
+    return read_document(spark, found[-1]) if found else {}
 
 
 def write_document(spark: SparkSession, path: str, value: object) -> None:
@@ -62,30 +76,48 @@ def publish(tables: Mapping[str, DataFrame], root: str, check: Callable[[Mapping
 
     Readers follow the manifest with the highest number.  It appears by one rename to a name that is not taken, so a
     crash at any moment leaves them with the publication before, and of two writers one fails.  Errors of `check` on
-    what was written leave the old publication in place.  If no table's rows differ, no manifest is written.
+    what was written leave the old publication in place.  If no table's rows differ, no manifest is written.  What was
+    written and isn't named in the end is deleted; what a crash leaves is for `vacuum`.
     """
     spark = next(iter(tables.values())).sparkSession
     before, version = current(spark, root), uuid.uuid4().hex
-    written = {}
-    for name, df in tables.items():
-        df.write.parquet(f"{root}/data/{version}/{name}")
-        written[name] = spark.read.parquet(f"{root}/data/{version}/{name}")
-    if check and (errors := check(written)):
-        raise ValueError("; ".join(errors))
-    found = {name: {"path": f"data/{version}/{name}", "digest": digest(df)} for name, df in written.items()}
-    if before and {k: v["digest"] for k, v in before["tables"].items()} == {k: v["digest"] for k, v in found.items()}:
-        return {"changed": False, "manifest": before}
-    for name, value in documents.items():
-        write_document(spark, f"{root}/data/{version}/{name}.json", value)
-    manifest = {"version": version, "number": before.get("number", 0) + 1, "tables": found, "documents": {n: f"data/{version}/{n}.json" for n in documents}, "schemas": {n: df.schema.jsonValue() for n, df in written.items()}}
-    write_document(spark, f"{root}/manifests/m-{manifest['number']:012d}.json", manifest)
-    return {"changed": True, "manifest": manifest}
-
-
-def market_files(markets: DataFrame, path: str, country: str = "country") -> None:
-    """A folder of JSON documents for each country; nulls are written.  A later write replaces all of them."""
-    rows = markets.select(country, F.to_json(F.struct(*sorted(markets.columns)), {"ignoreNullFields": "false"}).alias("value"))
-    rows.repartition(country).write.partitionBy(country).mode("overwrite").text(path)
+    named = False
+    try:
+        written = {}
+        for name, df in tables.items():
+            df.write.parquet(f"{root}/data/{version}/{name}")
+            written[name] = spark.read.parquet(f"{root}/data/{version}/{name}")
+        if check and (errors := check(written)):
+            raise ValueError("; ".join(errors))
+        found = {name: {"path": f"data/{version}/{name}", "digest": digest(df)} for name, df in written.items()}
+        if before and {k: v["digest"] for k, v in before["tables"].items()} == {k: v["digest"] for k, v in found.items()}:
+            return {"changed": False, "manifest": before}
+        for name, value in documents.items():
+            write_document(spark, f"{root}/data/{version}/{name}.json", value)
+        manifest = {"version": version, "number": before.get("number", 0) + 1, "tables": found, "documents": {n: f"data/{version}/{n}.json" for n in documents}, "schemas": {n: df.schema.jsonValue() for n, df in written.items()}}
+        write_document(spark, f"{root}/manifests/m-{manifest['number']:012d}.json", manifest)
+        named = True
+        return {"changed": True, "manifest": manifest}
+    finally:
+        if not named:
+            delete(spark, f"{root}/data/{version}")
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2, grace_s: float = 86400.0) -> int:
+    """Deletes manifests but the newest `keep`, and data versions that none of the others names; the number of versions deleted.
+
+    What is younger than `grace_s` seconds stays: a writer may not have named it yet, a reader may be at it.
+    """
+    now, every = time.time(), manifests(spark, root)
+    kept = set(every[-keep:] if keep else every)
+    for path, at in listed(spark, f"{root}/manifests"):
+        if path not in kept and now - at >= grace_s:
+            delete(spark, path)
+    live = {read_document(spark, m)["version"] for m in manifests(spark, root)}
+    dead = [p for p, at in listed(spark, f"{root}/data") if p.rpartition("/")[2] not in live and now - at >= grace_s]
+    for path in dead:
+        delete(spark, path)
+    return len(dead)
 
 
 def json_lines(df: DataFrame) -> DataFrame:

@@ -98,8 +98,6 @@ def test_publication_survives_a_crash(spark, tmp_path, monkeypatch):
     with pytest.raises(FileExistsError):  # another writer took the number
         publish.write_document(spark, f"{root}/manifests/m-000000000002.json", {})
     assert publish.current(spark, root)["schemas"]["t"]["fields"][0]["name"] == "id"
-    publish.market_files(spark.createDataFrame([("A", None), ("B", "x")], "country string, v string"), str(tmp_path / "files"))
-    assert (tmp_path / "files" / "country=A").exists()
 
 
 def test_pages_that_are_none(spark):
