@@ -35,10 +35,13 @@ def discovered_or_seed(found: DataFrame) -> DataFrame:
 
 
 def cached(requests: DataFrame, cache: DataFrame, now: float, ttl_s: float) -> DataFrame:
-    """Requests (method, url, market, locale) with the cached page of their identity, if it is fresh, and `hit`."""
+    """Requests (method, url, market, locale) with the newest good page of their identity, if it is fresh, and `hit`.
+
+    A cache with several rows of a key counts the one fetched last; requests are never doubled.
+    """
     keyed = requests.withColumn("key", cache_key("method", "url", "market", "locale"))
     age = F.lit(now) - F.col("fetched_at")
-    good = cache.where(fresh(age, ttl_s) & (F.col("status") == 200)).select("key", "content", "fetched_at")
+    good = cache.where(fresh(age, ttl_s) & (F.col("status") == 200)).groupBy("key").agg(F.max_by(F.struct("content", "fetched_at"), F.struct("fetched_at", "content")).alias("_newest")).select("key", "_newest.*")
     return keyed.join(good, "key", "left").withColumn("hit", F.col("content").isNotNull())
 
 
