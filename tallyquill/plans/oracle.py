@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyquill import tables
-from tallyquill.plans import entries_oracle, provenance, sites
+from tallyquill.plans import entries_oracle, provenance, published, sites
 
 _PHRASE = "(round(l_discount * 100)::INT || ',' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') || '% + ' || l_quantity::INT || '.25 €')"
 _FEES = f"(SELECT *, {_PHRASE} AS phrase, round(l_discount * 100)::INT || '.' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') AS share FROM lineitem)"
@@ -46,6 +46,7 @@ SQL: dict[str, str] = {
     **entries_oracle.SQL,
     **sites.SQL,
     **provenance.SQL,
+    **published.SQL,
     "t02_t04_percentage": f"SELECT {_KEY}, phrase, share AS percentage, (share::DECIMAL(10,2) * 100)::DECIMAL(14,2)::VARCHAR AS basis_points FROM {_FEES}",
     "t03_parse_decimal": f"""SELECT {_KEY}, q || [',5', '.000,50', ',000.50', '.000', ',1234', ' 000', '.25.'][k + 1] AS written, q || ['.5', '000.50', '000.50', '000', '1234', '000', NULL][k + 1] AS number
         FROM (SELECT *, (l_quantity::INT)::VARCHAR AS q, l_linenumber % 7 AS k FROM lineitem)""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyquill import tables
 from tallyquill.functions import money, text, web
 from tallyquill.operators import catalog, checks, identities, lines, order, pages, snapshots
-from tallyquill.plans import entries, provenance, sites  # noqa: F401  (they register their queries)
+from tallyquill.plans import entries, provenance, published, sites  # noqa: F401  (they register their queries)
 from tallyquill.plans.registry import QUERIES, query  # noqa: F401
 from tallyquill.sources.files import table
 from tallyquill.streaming.windows import windowed_counts
