@@ -67,13 +67,12 @@ def is_contradictory(components: Column) -> Column:
     return F.exists(components, lambda c: c["type"].isin(*tables.FEE_TYPES)) & F.exists(components, lambda c: c["type"].isin("included", "free"))
 
 
-_AMOUNT = r"(?:\d\s*%|[A-Za-z]?[€£$¥₹₩]\s*\d|\d\s*[€£$¥₹₩])"
 _NAMED = "|".join(re.escape(n.replace("_", " ")) for n in sorted({*tables.METHODS, *tables.NETWORK_NAMES}, key=lambda n: (-len(n), n)))
 
 
 def is_table_value(text: Column) -> Column:
     """A percentage or amount beside the name of a method or card network, in lower-cased text."""
-    return text.rlike(_AMOUNT) & text.rlike(rf"\b(?:{_NAMED})\b")
+    return text.rlike(tables.PRICE_PATTERN) & text.rlike(rf"\b(?:{_NAMED})\b")
 
 
 def decided(promotion: Column, marketing: Column, crossed: Column, hardware: Column, name: Column, contradiction: Column, phrase: Column, table_value: Column) -> Column:

@@ -270,6 +270,23 @@ def publication_errors(markets: DataFrame, rules: DataFrame, core: DataFrame) ->
     )
 
 
+def report_errors(documents: DataFrame, revision: str | None = None) -> DataFrame:
+    """(country, error) of a publication's own documents (path, value): reports that are missing, no JSON, tell of a
+    regression, or were made by another revision than `revision`.  The country is null: they are about all markets."""
+    parsed = F.try_parse_json("value")
+    path = lambda p: F.col("path") == p
+    flag, told = F.try_variant_get(parsed, "$.has_regression", "boolean"), F.try_variant_get(parsed, "$.revision", "string")
+    one = documents.agg(
+        F.bool_or(path("change-report.json")).alias("changes"), F.bool_or(path("meta/crawl-report.json")).alias("crawl"), F.bool_or(path("change-report.json") & flag).alias("regression"),
+        F.bool_or(path("change-report.json") & (parsed.isNull() | flag.isNull())).alias("bad_changes"), F.bool_or(path("meta/crawl-report.json") & parsed.isNull()).alias("bad_crawl"),
+        F.bool_or(path("meta/revision.json") & parsed.isNull()).alias("bad_revision"), F.bool_or(path("meta/revision.json") & (told != F.lit(revision))).alias("other_revision"),
+    )
+    yes, no = lambda c: F.coalesce(c, F.lit(False)), lambda c: ~F.coalesce(F.col(c), F.lit(False))
+    kinds = {"no_change_report": no("changes"), "no_crawl_report": no("crawl"), "has_regression": yes("regression"), "bad_change_report": yes("bad_changes"), "bad_crawl_report": yes("bad_crawl"), "bad_revision": yes("bad_revision"), "other_revision": yes("other_revision")}
+    found = one.select(F.explode(F.array_compact(F.array(*(F.when(F.col(c) if isinstance(c, str) else c, F.lit(n)) for n, c in kinds.items())))).alias("error"))
+    return found.select(F.lit(None).cast("string").alias("country"), "error")
+
+
 def source_errors(sources: DataFrame, markets: DataFrame, index: DataFrame, rules: DataFrame) -> DataFrame:
     """(country, error) of markets (country, currency) against their sources (country, url, served), the index (country, urls)
     and their rules: pages served for, or addressed to, another country, addresses that differ, and card fees in another

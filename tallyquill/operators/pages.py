@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -47,10 +46,6 @@ def first_currency(text: Column | str) -> Column:
     return found
 
 
-#: A percentage and an amount beside it, as a page states its first fee.
-_FEE = r"\d(?:\.\d)?%\s*(?:\+\s*)?(?:[^\d\s]?\s*[\d.,]+\s*[¢₹₽¥]|[^\d\s]?\s*[A-Z]?\$?\s*[\d.,]+)"
-
-
 def market(pages: DataFrame) -> DataFrame:
     """Pages of `metadata` with detected_market and detected_currency.
 
@@ -62,7 +57,7 @@ def market(pages: DataFrame) -> DataFrame:
     counts = Counter(tables.CURRENCY_BY_COUNTRY.values())
     lone = {c: k for k, c in tables.CURRENCY_BY_COUNTRY.items() if counts[c] == 1}
     told = F.coalesce(country_of_locale("html_lang"), country_of_path(path("canonical_url")), country_of_path(path("url")), title)
-    fees = F.array_compact(F.transform(F.regexp_extract_all(visible_text("html"), F.lit(_FEE), 0), lambda x: first_currency(x)))
+    fees = F.array_compact(F.transform(F.regexp_extract_all(visible_text("html"), F.lit(tables.FIRST_FEE), 0), lambda x: first_currency(x)))
     priced = F.when(told.isNull(), F.try_element_at(fees, F.lit(1)))
     found = pages.withColumns({"_told": told, "_priced": priced})
     found = found.withColumn("detected_market", F.coalesce("_told", looked_up(F.col("_priced"), lone)))
@@ -148,7 +143,7 @@ def _sections(url: pd.Series, page: pd.Series) -> pd.Series:
         parser.feed(p or "")
         parser.close()
         return [
-            r | {"heading": html.unescape(r["heading"]), "body": "\n".join(r["body"]) or None, "links": [x | {"uri": urljoin(u or "", x["uri"])} for x in r["links"]]}
+            r | {"body": "\n".join(r["body"]) or None, "links": [x | {"uri": urljoin(u or "", x["uri"])} for x in r["links"]]}
             for r in parser.rows
         ]
 
@@ -269,7 +264,7 @@ def cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
     clean = lambda xs: F.filter(F.transform(xs, lambda x: cleaned_fee(x)), lambda x: x != "")
     rows = rows.select(key, "source_order", F.col("c.family").alias("family"), cleaned_fee("c.title").alias("title"), F.array_join(clean(F.col("c.parts")), " ").alias("own"), F.array_distinct(clean(F.col("c.lines"))).alias("lines"), "c.grid")
     named = F.when(F.col("grid") & (F.col("title") != "") & ~F.lower("own").startswith(F.lower("title")), F.concat_ws(" ", "title", "own")).otherwise(F.when(F.col("grid"), F.col("own")).otherwise(F.col("title")))
-    priced = F.col("title").rlike(r"[0-9]\s*%|[0-9]\s*[€£$¥A-Z]|included|free") & ~F.col("grid")
+    priced = F.col("title").rlike(tables.PRICED_TITLE) & ~F.col("grid")
     body = F.array_join(F.when(priced, F.concat(F.array("title"), "lines")).otherwise(F.col("lines")), "\n")
     found = rows.withColumns({"heading": named, "body": body, "level": F.lit(3)}).where("heading <> ''")
     return found.select(key, "source_order", "level", "heading", "body", F.array("family", "heading").alias("section_path"))

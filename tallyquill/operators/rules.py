@@ -18,6 +18,7 @@ from tallyquill.functions import money
 from tallyquill.functions.text import deduplicated, first_match, ordered_unique, stable_id, stacked_units
 from tallyquill.operators.folds import folded
 from tallyquill.operators.order import settled
+from tallyquill.sources.shared import cut
 
 _COMPONENT = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount", "source_entry_id", "source_text")
 
@@ -269,7 +270,7 @@ def classified(entries: DataFrame, by: list[str] = ["url"], provider: str = "the
     marked = settled(entries, {"_fee": money.fee("source_text")})
     marked = settled(marked, {"_no_fee": F.coalesce(ev.is_statistic(F.col("source_text"), F.col("source_evidence"), F.col("_fee"), provider), F.lit(False)), "_has_fee": d.has_base_fee(F.col("_fee"))})
     # Rules and leftovers are two readings of the same groups, which are therefore kept.
-    found = assembled(grouped(enriched(marked.where("not _no_fee").drop("_fee", "_no_fee", "_has_fee"), by), by), by).persist()
+    found = cut(assembled(grouped(enriched(marked.where("not _no_fee").drop("_fee", "_no_fee", "_has_fee"), by), by), by))
     rules = found.where(F.col("status").isin(*tables.KEPT)).drop("items")
     rest = found.where(~F.col("status").isin(*tables.KEPT)).select(*by, "status", F.explode(F.filter("items", lambda x: F.array_contains("entry_ids", x["entry_id"]))).alias("x"))
     rest = rest.select(*by, F.col("x.entry_id").alias("entry_id"), "status", d.has_base_fee(F.col("x.fee")).alias("has_fee"))

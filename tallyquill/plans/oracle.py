@@ -128,7 +128,8 @@ SQL: dict[str, str] = {
               coalesce(leftovers, 0) AS leftovers, coalesce(unresolved, 0) AS unresolved, coalesce(numeric_fee_candidates, 0) AS numeric_fee_candidates FROM r FULL JOIN e USING (l_partkey))
         SELECT *, CASE WHEN rules = 0 AND leftovers = 0 THEN 'unclassified' WHEN authoritative = 0 THEN 'partial' WHEN unresolved = 0 THEN 'complete' ELSE 'partial' END AS derivation,
           CASE WHEN authoritative = 0 AND (conflicts > 0 OR leftovers > 0) THEN 'partial' WHEN authoritative = 0 THEN 'unclassified' WHEN numeric_fee_candidates > 0 THEN 'partial' ELSE 'complete' END AS calculator FROM b""",
-    "a12_method_catalog": f"""WITH {_NATION_RULES} SELECT method, min(display) AS display, string_agg(DISTINCT country, ',' ORDER BY country) AS countries, count(DISTINCT rule_id) AS n_rules FROM r WHERE method IS NOT NULL AND status <> 'conflict' GROUP BY method""",
+    "a12_method_catalog": f"""WITH {_NATION_RULES} SELECT method, 'other' AS family, min(display) AS display, string_agg(DISTINCT country, ',' ORDER BY country) AS countries, string_agg(DISTINCT 'https://x.com/' || country, ',' ORDER BY 'https://x.com/' || country) AS urls,
+          sha256(string_agg(DISTINCT rule_id, ',' ORDER BY rule_id)) AS rule_ids, count(DISTINCT rule_id) AS n_rules FROM r WHERE method IS NOT NULL AND status <> 'conflict' GROUP BY method""",
     "a13_core_fees": f"""WITH {_NATION_RULES}, c AS (SELECT country, count(*) FILTER (status = 'classified') AS n, count(*) FILTER (status <> 'classified') AS u FROM r GROUP BY country)
         SELECT n_name AS country, coalesce(n, 0)::INT AS n_core, coalesce(u, 0) AS unclassified_count FROM nation LEFT JOIN c ON n_name = country""",
     "a14_market_index": """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS content_hash FROM nation""",

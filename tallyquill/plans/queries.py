@@ -297,14 +297,15 @@ def _nation_rules(spark: SparkSession, sf: str) -> DataFrame:
     own = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
     return own.select(
         F.col("n_name").alias("country"), F.when(F.col("l_linenumber") < 6, F.lower(F.concat("l_returnflag", F.lit("_"), "l_linestatus"))).alias("method"), F.concat("l_returnflag", "l_linestatus").alias("display"),
-        text.stable_id("l_partkey", "l_suppkey").alias("rule_id"), F.when(F.col("l_tax") > 0.06, "conflict").when(F.col("l_tax") > 0.03, "classified").otherwise("informational").alias("status"),
+        text.stable_id("l_partkey", "l_suppkey").alias("rule_id"), F.concat(F.lit("https://x.com/"), "n_name").alias("url"), F.when(F.col("l_tax") > 0.06, "conflict").when(F.col("l_tax") > 0.03, "classified").otherwise("informational").alias("status"),
         F.col("l_discount").cast("string").alias("percentage"), F.col("l_quantity").cast("string").alias("fixed_amount"),
     )
 
 
 @query
 def a12_method_catalog(spark, sf):
-    return catalog.method_catalog(_nation_rules(spark, sf)).withColumn("countries", F.array_join("countries", ","))
+    joined = {c: F.array_join(c, ",") for c in ("countries", "urls")} | {"rule_ids": F.sha2(F.array_join("rule_ids", ","), 256)}
+    return catalog.method_catalog(_nation_rules(spark, sf)).withColumns(joined)
 
 
 @query

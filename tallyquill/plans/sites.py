@@ -39,10 +39,12 @@ SQL["s11_s12_responses"] = f"""SELECT event_id, {_list(_STATUS)}[event_id % 4 +
 
 @query
 def s15_seed_markets(spark, sf):
-    return files.discovered_or_seed(table(spark, sf, "nation").where("n_nationkey < 0")).select("country", "locale", "currency")
+    """The nations that were discovered beyond some key; where there are any, the seed relation doesn't count."""
+    found = table(spark, sf, "nation").where("n_nationkey > 4").select(F.substring("n_name", 1, 2).alias("country"), F.lit("fr").alias("language"), F.col("n_name").alias("name"))
+    return files.discovered_or_seed(files.built_markets(found, "https://x.com/")).select("country", "name", "locale")
 
 
-SQL["s15_seed_markets"] = "SELECT * FROM (VALUES " + ", ".join(f"('{m[1]}', '{m[4]}', '{m[6]}')" for m in tables.SEED_MARKETS) + ") AS t(country, locale, currency)"
+SQL["s15_seed_markets"] = "SELECT upper(substr(n_name, 1, 2)) AS country, n_name AS name, 'fr-' || lower(substr(n_name, 1, 2)) AS locale FROM nation WHERE n_nationkey > 4"
 
 
 @query
@@ -105,7 +107,7 @@ SQL["h03_h05_cards"] = """SELECT s_suppkey AS page_id, k AS source_order, h AS h
 def h19_h22_entries(spark, sf):
     k = F.col("o_orderkey")
     body = F.concat(_pick(["1.5% + 0.25 € for cards", "Market share of 5%", "+ 2% for"], k % 3), F.lit("\nKlarna\n"), _pick(["Dispute fee", "per charge", "Included"], k / 3 % 3), F.lit("\n$15.00"))
-    own = table(spark, sf, "orders").where(k % 20 == 0).select(k.alias("page"), F.lit(0).alias("source_order"), F.lit("Cards").alias("heading"), body.alias("body"), F.array(F.lit("Payments"), F.lit("Cards")).alias("section_path"))
+    own = table(spark, sf, "orders").select(k.alias("page"), F.lit(0).alias("source_order"), F.lit("Cards").alias("heading"), body.alias("body"), F.array(F.lit("Payments"), F.lit("Cards")).alias("section_path"))
     return lines.entries(own, ["page"]).select("page", "entry_no", "source_text", "payment_method", "channel", F.length("source_evidence").alias("evidence_chars"))
 
 
@@ -165,7 +167,7 @@ SQL["v17_publication_errors"] = """WITH r AS (SELECT o_custkey::VARCHAR AS count
 def v18_source_errors(spark, sf):
     k = F.col("n_nationkey")
     code = _pick(["de", "fr", "gb", "us"], k % 4)
-    markets = table(spark, sf, "nation").select(k.cast("string").alias("n"), code.alias("country"), F.lit("EUR").alias("currency")).where("n < '4'").drop("n")
+    markets = table(spark, sf, "nation").select(k.cast("string").alias("n"), code.alias("country"), F.lit("EUR").alias("currency")).groupBy("country").agg(F.min("currency").alias("currency"))
     sources = table(spark, sf, "nation").select(code.alias("country"), F.concat(F.lit("https://x.com/"), _pick(["de", "fr", "gb"], k % 3), F.lit("/pricing")).alias("url"), _pick(["DE", "FR", "GB", "US", None], k % 5).alias("served"))
     index = sources.groupBy("country").agg(F.collect_set("url").alias("urls")).withColumn("urls", F.when(F.col("country") == "fr", F.array(F.lit("x"))).otherwise(F.col("urls")))
     rules = _lined(spark, sf).select(_pick(["de", "fr", "gb", "us"], F.col("o_custkey") % 4).alias("country"), F.lit("calculable_rule").alias("status"), F.lit("payments").alias("product_id"), F.lit(None).cast("string").alias("payment_method"), F.when(F.col("o_custkey") % 4 == 2, "GBP").otherwise("EUR").alias("fixed_currency"))

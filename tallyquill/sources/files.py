@@ -2,26 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyquill import tables
 from tallyquill.functions.money import currency_of_country
+from tallyquill.functions.text import looked_up
 from tallyquill.functions.web import cache_key, cacheable, fresh
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Charsets that a page may name; others are read as UTF-8.
+_CHARSETS = {"utf-8": "UTF-8", "utf8": "UTF-8", "iso-8859-1": "ISO-8859-1", "latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "windows-1252": "ISO-8859-1", "us-ascii": "US-ASCII", "utf-16": "UTF-16"}
+
+
+def decoded(content: Column, told: Column | None = None) -> Column:
+    """(html, charset, error) of a page's bytes: by `told`, else by its own meta element or mark, else as UTF-8.
+
+    Bytes that aren't of the charset are an error, and are then read as Latin-1, which reads any.
+    """
+    head = F.lower(F.decode(F.substring(content, 1, 2048), "ISO-8859-1"))
+    meta = F.nullif(F.regexp_extract(head, "<meta[^>]*charset=[\"' ]*([a-z0-9_-]+)", 1), F.lit(""))
+    marked = F.when(F.hex(F.substring(content, 1, 3)) == "EFBBBF", "utf-8")
+    named = F.coalesce(*([F.lower(told)] if told is not None else []), marked, meta, F.lit("utf-8"))
+    charset = F.coalesce(looked_up(named, _CHARSETS), F.lit("UTF-8"))
+    utf8 = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string"))
+    latin = F.decode(content, "ISO-8859-1")
+    text = F.when(charset == "UTF-8", utf8).when(charset == "ISO-8859-1", latin).when(charset == "UTF-16", F.decode(content, "UTF-16")).otherwise(F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "ISO-8859-1")))
+    return F.struct(F.coalesce(F.regexp_replace(text, "^\ufeff", ""), latin).alias("html"), charset.alias("charset"), F.when(text.isNull(), F.concat(F.lit("bytes are not "), charset)).alias("error"))
+
+
 def page_files(spark: SparkSession, path: str) -> DataFrame:
-    """(url, html) of every file below a folder, each read whole."""
-    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+    """(url, html, charset, error) of every file below a folder, each read whole and decoded by what it says of itself.
+
+    Files without a byte are no pages: Spark's scan leaves them out.
+    """
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return own.select(F.col("path").alias("url"), decoded(F.col("content")).alias("d")).select("url", "d.*")
 
 
 def json_documents(spark: SparkSession, path: str, schema: T.StructType | str, strict: bool = False) -> DataFrame:
-    """Documents of several lines each; broken ones are nulls, or an error if `strict`."""
-    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST" if strict else "PERMISSIVE")
+    """Documents of several lines each with url and error; a broken one is a row of nulls with its text as `error`, or
+    raises if `strict`."""
+    kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    own = spark.read.schema(T.StructType([*kind.fields, T.StructField("_broken", T.StringType())])).option("recursiveFileLookup", "true")
+    rows = own.json(path, multiLine=True, mode="FAILFAST" if strict else "PERMISSIVE", columnNameOfCorruptRecord="_broken")
+    return rows.select(F.col("_metadata.file_path").alias("url"), *kind.fieldNames(), F.col("_broken").alias("error"))
 
 
 def seed_markets(spark: SparkSession) -> DataFrame:

@@ -24,8 +24,23 @@ CURRENCIES = (
     "CZK", "HUF", "BGN", "HRK",
 )
 
-# Fixed values.  Where a unit may stand beside a number, and which, in order of precedence.
-AMOUNT_FORMS = (("before", "major"), ("after", "any"), ("before", "code"), ("after", "code"), ("tight", "minor"))
+# Fixed values.  The five forms of an amount, in order of precedence: whether its unit stands before or after the number,
+# and the pattern, in which {major}, {any}, {code} and {minor} stand for the units of that kind.
+AMOUNT_FORMS = (
+    ("before", r"(?P<unit>{major})\s*(?P<number>[0-9][0-9,.]*)"),
+    ("after", r"(?P<number>[0-9][0-9\s,.]*)\s*(?P<unit>{any})(?!\w)"),
+    ("before", r"(?P<unit>{code})\s*(?P<number>[0-9][0-9,.]*)"),
+    ("after", r"(?P<number>[0-9][0-9\s,.]*)\s*(?P<unit>{code})(?!\w)"),
+    ("tight", r"(?P<number>[0-9][0-9,.]*)(?P<unit>{minor})(?!\w)"),
+)
+
+# Fixed values.  Patterns of prices: a page's first fee, a card's title with a price, a price beside a method's name, a
+# line that names a fee to come, and what makes a heading a fee.
+FIRST_FEE = r"\d(?:\.\d)?%\s*(?:\+\s*)?(?:[^\d\s]?\s*[\d.,]+\s*[¢₹₽¥]|[^\d\s]?\s*[A-Z]?\$?\s*[\d.,]+)"
+PRICED_TITLE = r"[0-9]\s*%|[0-9]\s*[€£$¥A-Z]|included|free"
+PRICE_PATTERN = r"(?:\d\s*%|[A-Za-z]?[€£$¥₹₩]\s*\d|\d\s*[€£$¥₹₩])"
+LABEL_LINE = r"(?i)^[^\d]{1,40}\b(?:fee|price)\b$"
+FEE_HEADING = (r"[0-9]\s*%", r"[€£$¥A-Z]{1,3}\s*[0-9]", r"(?i)included|free")
 
 # Fixed values.  The currency of each country.
 CURRENCY_BY_COUNTRY = {
