@@ -20,6 +20,10 @@ def unmarked(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
+#: Characters of a text that tell in which block a turn without a number is; blocks keep the order of texts.
+EDGE = 8
+
+
 def dialogues(segments: DataFrame) -> DataFrame:
     """(conv_id, speaker, dialogue, masks) of the segments of `perspectives`: each participant's text as a whole, and the
     [start, end] stretches that are trained on, in order.  One row gathers one dialogue, which must fit a row."""
@@ -42,12 +46,12 @@ def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Turns are in order of number, nulls last, then role and text; repeated rows repeat.  Null texts are empty, a null
     role speaks as `unknown`, null conv_ids are one conversation, and a conversation of system turns only gives no
-    rows.  Other columns are ignored.  A long conversation is spread over blocks of turn numbers (nulls: of hashes):
+    rows.  Other columns are ignored.  A long conversation is spread over blocks of turn numbers (nulls: of roles and beginnings of texts):
     offsets are summed within a block and over blocks, so no task gathers a whole conversation.
     """
     own = turns.select("conv_id", "turn", F.coalesce("role", F.lit(NOBODY)).alias("role"), unmarked(F.coalesce("text", F.lit(""))).alias("text"))
-    late = F.lit(1 << 50) + F.shiftrightunsigned(F.xxhash64("role", "text"), 48)
-    own = own.withColumn("_block", F.coalesce(F.floor(F.col("turn") / block), late))
+    late = F.col("turn").isNull()
+    own = own.withColumn("_block", F.struct(late.alias("late"), F.floor(F.col("turn") / block).alias("n"), F.when(late, F.col("role")).alias("role"), F.when(late, F.substring("text", 1, EDGE)).alias("edge")))
     speakers = own.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker")).distinct()
     each = own.join(speakers, own["conv_id"].eqNullSafe(speakers["_conv"])).drop("_conv")
     head = (

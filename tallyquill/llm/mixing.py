@@ -43,8 +43,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def _uniform(seed: int) -> Column:
-    """A number between 0 and 1 from the id's md5, the same in every run."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    """A number between 0 and 1 from the id's md5, or without an id from that of the text, the same in every run."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), "_digest")))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -68,11 +68,12 @@ def _ranked(rows: DataFrame, aims: DataFrame, most: int, seed: int) -> DataFrame
     return ranked.withColumn("_bucket", F.floor(F.coalesce(spread / (1 + spread), F.lit(0.0)) * F.greatest(F.ceil(F.col("n") / BUCKET_ROWS), F.lit(1))))
 
 
-_PLACE = ("_key", "doc_id", "size")
+#: The order of a source's documents; what is equal in all but the last is the same row repeated, and told apart by its place.
+_PLACE = ("_key", "doc_id", "size", "_digest", "_row")
 
 
 def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, most: int = MOST, seed: int = 0) -> DataFrame:
-    """Per source: size, target, and where its Pareto sample ends, of rows (doc_id, source, size, _weight).
+    """Per source: size, target, and where its Pareto sample ends, of rows (doc_id, source, size, _weight, _digest, _row).
 
     A document is due target / source_size copies, times its weight against its source's mean.  The whole ones are
     certain.  The rest is its chance in the sample: documents rank by random odds over inclusion odds, and a source
@@ -110,7 +111,8 @@ def _taken(docs: DataFrame, weights: tuple[int, ...], share: float, most: int, s
     """`docs` with size, source_size, target, copies and taken."""
     own = F.lit(1.0) if weight is None else F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
     rows = docs.drop("size", "source_size", "target", "copies", "taken").withColumn("size", words()).withColumn("_weight", own)
-    aims = plan(cut(rows.select("doc_id", "source", "size", "_weight")), weights, share, most, seed)
+    rows = rows.withColumns({"_digest": F.md5(F.coalesce("text", F.lit(""))), "_row": F.monotonically_increasing_id()})
+    aims = plan(cut(rows.select("doc_id", "source", "size", "_weight", "_digest", "_row")), weights, share, most, seed)
     place = F.struct(*_PLACE)
     in_end = (F.col("_bucket") >= F.col("end_bucket")) & ((F.col("end").isNotNull() & (place <= F.col("end"))) | (F.col("one_more").isNotNull() & (place == F.col("one_more"))))
     sampled = F.coalesce((F.col("_bucket") < F.col("end_bucket")) | in_end, F.lit(False))
@@ -122,8 +124,9 @@ def _taken(docs: DataFrame, weights: tuple[int, ...], share: float, most: int, s
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, most: int = MOST, seed: int = 0, weight: str | None = None) -> DataFrame:
     """`docs` with size (words), source_size, target (its source's), copies and taken (copies times size) of every row.
 
-    Null texts have size 0; a null source is one of its own and comes last.  Repeated rows rank alike and are taken or
-    left by the same rule.  An empty table gives no rows.  No copy count exceeds `most`.  A column named like a new one
+    Null texts have size 0; a null source is one of its own and comes last.  Rows that share an id, or have none, are told
+    apart by their texts, and rows that repeat others wholly by their place in the table, so that a sample ends at its target
+    also among them.  An empty table gives no rows.  No copy count exceeds `most`.  A column named like a new one
     is replaced.  Texts are never shuffled: per-source sums are, and the rows near the end of a source's sample.
     """
     return _taken(docs, weights, share, most, seed, weight)

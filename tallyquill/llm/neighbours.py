@@ -263,7 +263,11 @@ def _brute(queries, least: float):
 
 def _links(nodes: DataFrame, centroids, least: float, overlap: int, exact: bool) -> DataFrame:
     """(id, other, n) of `_search` over all cells: by graph in each vector's own shard, or exactly in all its shards."""
-    placed = nodes.mapInArrow(_assigned(centroids, overlap), "vec_id long, unit binary, copies long, shard long, primary boolean, shards binary")
+    return _compared(nodes.mapInArrow(_assigned(centroids, overlap), "vec_id long, unit binary, copies long, shard long, primary boolean, shards binary"), least, exact)
+
+
+def _compared(placed: DataFrame, least: float, exact: bool) -> DataFrame:
+    """(id, other, n) of nodes that have a shard, block against block."""
     sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     placed = cut(placed.join(F.broadcast(sizes), "shard").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))))  # at most CENTROIDS rows
     asks = F.lit(True) if exact else F.col("primary")
@@ -279,6 +283,41 @@ def _links(nodes: DataFrame, centroids, least: float, overlap: int, exact: bool)
     return cut(points.unionByName(asking).groupBy("shard", "p", "q").applyInArrow(_search(least, exact), "id long, other long, n long"))
 
 
+#: Sampled vectors with links that an audit needs, if the table has so many.
+LINKED = 50
+
+
+def _audited(nodes: DataFrame, n: int, least: float):
+    """(id, n): the links that brute force finds of a sample of nodes, those that have any; more are drawn if few have."""
+    sc = nodes.sparkSession.sparkContext
+    for size in (AUDIT, 10 * AUDIT):
+        asked = nodes.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(max(1, n // size))) == 0).select("vec_id", "unit").limit(2 * size).toPandas()
+        queries = sc.broadcast((asked.vec_id.to_numpy(), _matrix(asked.unit.pipe(pa.array))))
+        true = nodes.mapInArrow(_brute(queries, least), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
+        if len(true) >= LINKED or size >= n:
+            break
+    return true
+
+
+def _found(nodes: DataFrame, n: int, least: float) -> DataFrame:
+    """(id, other, n) of `_search` over nodes of one length, by as wide a search as the audited recall asks for."""
+    sc = nodes.sparkSession.sparkContext
+    sample = _matrix(nodes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("unit").toPandas()["unit"].pipe(pa.array))
+    centroids = sc.broadcast(_centroids(sample, max(1, min(CENTROIDS, n // SHARD, len(sample)))))
+    true = _audited(nodes, n, least)
+    for widen in range(RETRIES + 1):
+        if widen == RETRIES:
+            centroids = sc.broadcast(centroids.value[:1])  # one shard: all pairs of blocks
+        found = _links(nodes, centroids, least, OVERLAP if not widen else OVERLAP * WIDER, widen > 0)
+        got = found.where(F.col("other").isNull() & F.col("id").isin(true.id.tolist())).groupBy("id").agg(F.sum("n").alias("got")).toPandas()
+        share = true.merge(got, on="id", how="left").fillna({"got": 0})
+        recall = min(share.got.sum() / share.n.sum(), (share.got / share.n).clip(upper=1).mean()) if len(share) else 1.0
+        _LOG.info("search %d: recall %.4f over %d queries", widen, recall, len(share))
+        if recall >= RECALL:
+            return found
+    raise RuntimeError(f"recall is {recall:.4f}, below {RECALL}")
+
+
 def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding).
 
@@ -291,40 +330,29 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     Shards of more than BLOCK nodes are searched block against block.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no links and are their own
-    component; so are rows whose vec_id is null, with a null component.  Rows that repeat a vec_id are one node for
-    each of their vectors.  Vectors of another length than most have no
-    links.  An empty table gives none.  Other columns are ignored.
+    component; so are rows whose vec_id is null, with a null component.  Rows that repeat a vec_id and its
+    vector count once; a vec_id with several vectors is one node for each.  Vectors link within their length only: the
+    commonest length, and those of more than BLOCK vectors, are searched as above, others exactly, block against block.  An empty table gives none.  Other columns are ignored.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
-    sc = spark.sparkContext
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     units = cut(every.mapInArrow(_units, "vec_id long, unit binary, d1 long, d2 long"))
-    lengths = units.groupBy(F.octet_length("unit").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    units = units.where(F.octet_length("unit") == lengths["n"]) if lengths else units
-    same = units.groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    copy_of = cut(units.select("vec_id", "d1", "d2").join(same, ["d1", "d2"]).select("vec_id", "rep", "copies"))
+    pairs = units.select("vec_id", "d1", "d2").distinct()
+    same = pairs.groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    copy_of = cut(pairs.join(same, ["d1", "d2"]).select("vec_id", "rep", "copies"))
     nodes = cut(units.join(same, ["d1", "d2"]).where("vec_id = rep").select("vec_id", "unit", "copies").dropDuplicates(["vec_id", "unit"]))
-    n = nodes.count()
-    found = spark.createDataFrame([], "id long, other long, n long")
-    if n > 1:
-        sample = _matrix(nodes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("unit").toPandas()["unit"].pipe(pa.array))
-        centroids = sc.broadcast(_centroids(sample, max(1, min(CENTROIDS, n // SHARD, len(sample)))))
-        asked = nodes.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(max(1, n // AUDIT))) == 0).select("vec_id", "unit").limit(2 * AUDIT).toPandas()
-        queries = (asked.vec_id.to_numpy(), _matrix(asked.unit.pipe(pa.array)))
-        true = nodes.mapInArrow(_brute(sc.broadcast(queries), least), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
-        for widen in range(RETRIES + 1):
-            if widen == RETRIES:
-                centroids = sc.broadcast(centroids.value[:1])  # one shard: all pairs of blocks
-            found = _links(nodes, centroids, least, OVERLAP if not widen else OVERLAP * WIDER, widen > 0)
-            got = found.where(F.col("other").isNull() & F.col("id").isin(true.id.tolist())).groupBy("id").agg(F.sum("n").alias("got")).toPandas()
-            share = true.merge(got, on="id", how="left").fillna({"got": 0})
-            recall = min(share.got.sum() / share.n.sum(), (share.got / share.n).clip(upper=1).mean()) if len(share) else 1.0
-            _LOG.info("search %d: recall %.4f over %d queries", widen, recall, len(share))
-            if recall >= RECALL:
-                break
-        else:
-            raise RuntimeError(f"recall is {recall:.4f}, below {RECALL}")
+    length = F.octet_length("unit")
+    sizes = nodes.groupBy(length.alias("n")).count().where("count > 1").orderBy(F.desc("count"), "n")
+    # The commonest length, and all of more than BLOCK vectors, of which there are one in BLOCK vectors at most.
+    sizes = {r.n: r["count"] for r in sizes.limit(1).union(sizes.where(F.col("count") > BLOCK)).collect()}
+    few = nodes.where(~length.isin(*sizes)) if sizes else nodes
+    # Other lengths are shards of their own; a shard's number is told as four bytes, the lowest first.
+    digits = F.lpad(F.hex(length), 8, "0")
+    told = F.unhex(F.concat(*(F.substring(digits, k, 2) for k in (7, 5, 3, 1))))
+    found = _compared(few.select("vec_id", "unit", "copies", length.cast("long").alias("shard"), F.lit(True).alias("primary"), told.alias("shards")), least, True)
+    for size, n in sizes.items():
+        found = found.unionByName(_found(nodes.where(length == size), n, least))
     counts = found.groupBy("id").agg(F.sum("n").alias("linked"))
     groups = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     known = copy_of.join(counts, copy_of["rep"] == counts["id"], "left").drop("id").join(groups, F.col("rep") == F.col("id"), "left")

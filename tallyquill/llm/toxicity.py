@@ -14,8 +14,6 @@ from tallyquill.llm.common import arrow_batches, held_out, labelled_sample, plus
 BITS = 20
 #: Most labelled documents that the weights are learnt from, half of them of each label where there are so many.
 SAMPLE = 10_000
-#: Most bytes of a document in the training sample; longer ones are scored whole but not learnt from.
-SAMPLE_BYTES = 40_000
 #: Rows that are learnt from in all rounds together, so that few labels are passed over more often; least and most rounds.
 PASSED, ROUNDS, MOST_ROUNDS = 12_000, 2, 16
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 6.0, 0.2
@@ -83,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     """
     arrow_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    own = labelled_sample(docs, labels, "toxic", 3, 1, sample).where(F.octet_length("text") <= SAMPLE_BYTES)
+    own = labelled_sample(docs, labels, "toxic", 3, 1, sample)
     own = own.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "text").persist()
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     try:

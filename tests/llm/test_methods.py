@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyquill.llm import chat, common, decontaminate, html, jaccard, lm, tokens
+from tallyquill.llm import chat, common, decontaminate, html, jaccard, lm, mixing, neighbours, tokens
 
 
 def sets_of(draw, n):
@@ -126,3 +126,50 @@ def test_the_head_of_a_vocabulary_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 60)
     v = lm.vocabulary(counts)
     assert 0 < len(v.words) <= 60 and v.counts.min() > 14 and v.total == sum(1 + i // 10 for i in range(200)) and v.distinct == 200
+
+
+def test_vectors_of_any_length_and_repeats_link(spark):
+    """Equal vectors of a rare length link; a repeated row counts once."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [1.0, 2.0, 3.0]), (5, [2.0, 4.0, 6.0]), (6, [3.0, 2.0, -1.0]), (7, [1.0]), (8, None), (9, [0.0, 0.0]), (10, [float("nan"), 1.0])]
+    got = sorted(tuple(r) for r in neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    want = {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7), 8: (0, 8), 9: (0, 9), 10: (0, 10)}
+    assert got == sorted((i, *want[i], i == want[i][1]) for i, _ in rows)
+
+
+def test_planted_links_of_two_lengths(spark):
+    r = np.random.default_rng(3)
+    rows = []
+    for size, start in ((16, 0), (24, 10_000)):
+        base = r.normal(size=(300, size))
+        for i, v in enumerate(base):
+            rows.append((start + i, v.tolist()))
+            if i % 3 == 0:
+                rows.append((start + 1000 + i, (v + r.normal(size=size) * 0.02).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {x.vec_id: (x.n_links, x.component_id) for x in neighbours.near_duplicates(df).collect()}
+    for start in (0, 10_000):
+        assert all(got[start + i][1] == got[start + 1000 + i][1] == start + i and got[start + i][0] >= 1 for i in range(0, 300, 3))
+        assert all(got[start + i] == (0, start + i) for i in range(300) if i % 3)
+
+
+def test_turns_without_a_number_are_in_order(spark):
+    rows = [("c", None, role, text) for role, text in (("d", "4"), ("c", "3"), ("b", "2"), ("a", "1"), ("a", "1 and more"), ("a", ""))] + [("c", 1, "z", "first")]
+    got = chat.perspectives(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).where("speaker = 'a'").orderBy("position").collect()
+    assert [(r.role, r.segment.partition("|>")[2].partition("<|end|>")[0]) for r in got] == [("z", "first"), ("a", ""), ("a", "1"), ("a", "1 and more"), ("b", "2"), ("c", "3"), ("d", "4")]
+
+
+def test_a_mixture_ends_at_its_target_among_ties(spark):
+    """Rows without an id, and rows that are all the same, are taken as far as the target goes."""
+    for ids, texts in (([None] * 300, [f"w{i} " * 20 for i in range(300)]), ([None] * 300, ["same words here and there " * 4] * 300), ([7] * 300, ["same words here and there " * 4] * 300)):
+        rows = [(i, t, "a") for i, t in zip(ids, texts)] + [(1000 + i, "b " * 20, "b") for i in range(300)]
+        got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("source = 'a'").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).first()
+        assert abs(got.taken - got.target) <= 20, got
+
+
+def test_a_model_of_few_documents_has_states(spark):
+    r = np.random.default_rng(1)
+    rows = [(i, " ".join(r.choice(["a", "b", "c", "d"], 30))) for i in range(8)]
+    _, _, model = lm.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert np.abs(model.emit - model.emit[:1]).max() > 1e-3
+    _, _, none = lm.fit(spark.createDataFrame([], "doc_id long, text string"))
+    assert np.isfinite(none.emit).all()
