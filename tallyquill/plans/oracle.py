@@ -128,6 +128,12 @@ SQL: dict[str, str] = {
               coalesce(leftovers, 0) AS leftovers, coalesce(unresolved, 0) AS unresolved, coalesce(numeric_fee_candidates, 0) AS numeric_fee_candidates FROM r FULL JOIN e USING (l_partkey))
         SELECT *, CASE WHEN rules = 0 AND leftovers = 0 THEN 'unclassified' WHEN authoritative = 0 THEN 'partial' WHEN unresolved = 0 THEN 'complete' ELSE 'partial' END AS derivation,
           CASE WHEN authoritative = 0 AND (conflicts > 0 OR leftovers > 0) THEN 'partial' WHEN authoritative = 0 THEN 'unclassified' WHEN numeric_fee_candidates > 0 THEN 'partial' ELSE 'complete' END AS calculator FROM b""",
+    # A fee line takes the label before it, if no other line but qualifiers stands between, and all qualifiers up to the next fee.
+    "h17_fee_phrases": f"""WITH l AS (SELECT l_orderkey, CASE l_linenumber % 3 WHEN 0 THEN 'for domestic cards' WHEN 1 THEN phrase ELSE 'Dispute fee' END AS line, l_linenumber % 3 AS kind, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'for domestic cards' WHEN 1 THEN phrase ELSE 'Dispute fee' END) AS pos FROM {_FEES} AS f),
+        g AS (SELECT *, count(*) FILTER (kind = 1) OVER (PARTITION BY l_orderkey ORDER BY pos) AS n FROM l), p AS (SELECT *, lag(kind) OVER (PARTITION BY l_orderkey ORDER BY pos) AS before FROM l WHERE kind <> 0),
+        q AS (SELECT l_orderkey, n, count(*) AS n_qualifiers FROM g WHERE kind = 0 AND n > 0 GROUP BY l_orderkey, n), f AS (SELECT l_orderkey, pos, line, coalesce(before = 2, false) AS labelled FROM p WHERE kind = 1)
+        SELECT f.l_orderkey, (g.n - 1)::INT AS entry_no, CASE WHEN labelled THEN 'Dispute fee ' ELSE '' END || f.line || repeat(' for domestic cards', coalesce(n_qualifiers, 0)::INT) AS phrase, 2 AS n_tokens
+        FROM f JOIN g ON g.l_orderkey = f.l_orderkey AND g.pos = f.pos LEFT JOIN q ON q.l_orderkey = f.l_orderkey AND q.n = g.n""",
     "a12_method_catalog": f"""WITH {_NATION_RULES} SELECT method, 'other' AS family, min(display) AS display, string_agg(DISTINCT country, ',' ORDER BY country) AS countries, string_agg(DISTINCT 'https://x.com/' || country, ',' ORDER BY 'https://x.com/' || country) AS urls,
           sha256(string_agg(DISTINCT rule_id, ',' ORDER BY rule_id)) AS rule_ids, count(DISTINCT rule_id) AS n_rules FROM r WHERE method IS NOT NULL AND status <> 'conflict' GROUP BY method""",
     "a13_core_fees": f"""WITH {_NATION_RULES}, c AS (SELECT country, count(*) FILTER (status = 'classified') AS n, count(*) FILTER (status <> 'classified') AS u FROM r GROUP BY country)
