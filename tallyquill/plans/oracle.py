@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyquill import tables
-from tallyquill.plans import entries_oracle, provenance, published, sites
+from tallyquill.plans import entries_oracle, folds_oracle, provenance, published, sites
 
 _PHRASE = "(round(l_discount * 100)::INT || ',' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') || '% + ' || l_quantity::INT || '.25 €')"
 _FEES = f"(SELECT *, {_PHRASE} AS phrase, round(l_discount * 100)::INT || '.' || lpad((round(l_tax * 100)::INT)::VARCHAR, 2, '0') AS share FROM lineitem)"
@@ -44,6 +44,7 @@ _NATION_RULES = """r AS (SELECT n_name AS country, CASE WHEN l_linenumber < 6 TH
 
 SQL: dict[str, str] = {
     **entries_oracle.SQL,
+    **folds_oracle.SQL,
     **sites.SQL,
     **provenance.SQL,
     **published.SQL,
