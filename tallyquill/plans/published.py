@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tallyquill import tables
 from tallyquill.functions import dimensions, evidence, web
-from tallyquill.operators import catalog, checks, pages, schemas, snapshots
+from tallyquill.operators import catalog, checks, identities, pages, schemas, snapshots
 from tallyquill.plans.registry import query
-from tallyquill.sources import files, publish
+from tallyquill.sources import documents, files, publish, store
 from tallyquill.sources.files import table
+from tallyquill.sources.shared import shared_folder
 
 
 @query
@@ -182,6 +186,46 @@ def f05_f07_components(spark, sf):
     )
 
 
+_RULE_STATUS = ["calculable_rule", "non_calculable", "conflict", "included", "free", "informational", "custom_pricing", "unsupported_fee_shape"]
+_LEFT_STATUS = ["unclassified_fee_candidate", "ambiguous", "unsupported_fee_shape", "ignored_non_fee", "reference_only", "included", "free", "informational", "custom_pricing"]
+
+
+@query
+def a08_a11_counters(spark, sf):
+    """All counters of each supplier, whose lines are entries, rules and leftovers by turns, and of all together."""
+    n = F.col("l_linenumber")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    own = table(spark, sf, "lineitem").select("l_suppkey", n.alias("n"), key.alias("entry_id"), (F.col("l_tax") > 0.02).alias("has_fee"), F.col("l_partkey").alias("k"), (F.col("l_quantity") > 25).alias("is_candidate"))
+    rules = own.where("n < 4").select("l_suppkey", F.array("entry_id").alias("entry_ids"), _pick(_RULE_STATUS, F.col("k") % len(_RULE_STATUS)).alias("status"), "is_candidate")
+    left = own.where("n in (5, 6)").select("l_suppkey", "entry_id", _pick(_LEFT_STATUS, F.col("k") % len(_LEFT_STATUS)).alias("status"), "has_fee")
+    found = identities.counters(own, rules, left, ["l_suppkey"])
+    return found.unionByName(identities.summed(found, ["l_suppkey"]).withColumn("l_suppkey", F.lit(None).cast("long")))
+
+
+@query
+def k01_k02_document_tree(spark, sf):
+    """Suppliers as documents of a tree, published twice, the second time with one that changed, and read again."""
+    root = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
+    own = table(spark, sf, "supplier")
+    docs = lambda name: own.select(F.concat(F.lit("json/S"), "s_suppkey", F.lit(".json")).alias("path"), F.to_json(F.struct(name.alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("nation"), F.array("s_suppkey").alias("ids")), {"ignoreNullFields": "false"}).alias("value"))
+    before = documents.publish_documents(docs(F.col("s_name")), root)["manifest"]
+    after = documents.publish_documents(docs(F.when(F.col("s_suppkey") == 7, "other").otherwise(F.col("s_name"))), root)["manifest"]
+    return documents.documents(spark, root).join(documents.changes(spark, root, before, after), "path", "left")
+
+
+@query
+def s06_k10_store(spark, sf):
+    """Customers' pages put into a store by turns, some twice, dropped or found still good, and asked for again."""
+    root, k = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", F.col("c_custkey")
+    page = table(spark, sf, "customer").select(k.alias("k"), F.lit("GET").alias("method"), F.concat(F.lit("https://x.com/p"), k).alias("url"), F.lit("DE").alias("market"), F.lit("de-de").alias("locale"))
+    first = page.withColumns({"status": F.when(F.col("k") % 5 == 0, 500).otherwise(200), "headers": F.create_map(F.lit("x"), F.lit("y")), "content": F.concat(F.lit("old "), "k"), "fetched_at": F.lit(100.0)})
+    later = page.where("k % 3 = 0").withColumns({"status": F.when(F.col("k") % 2 == 0, 304).otherwise(200), "headers": F.create_map(F.lit("cache-control"), F.when(F.col("k") % 7 == 0, "private").otherwise("public")), "content": F.concat(F.lit("new "), "k"), "fetched_at": F.lit(180.0)})
+    store.put(store.answers(first), root, 1.0)
+    store.put(store.answers(later), root, 2.0)
+    rows, _ = store.looked_up(page, root, 200.0, 60.0)
+    return rows.select("k", "hit", F.col("content").cast("string").alias("content"), "fetched_at")
+
+
 def _case(column: str, words: list, n: str) -> str:
     return f"{_list(words)}[({n}) % {len(words)} + 1] AS {column}"
 
@@ -189,7 +233,26 @@ def _case(column: str, words: list, n: str) -> str:
 _K = "(l_partkey + l_orderkey * 31 + l_linenumber)"
 _DIMENSIONS = ", ".join(_case(c, words, f"{_K} // {_STEP[c]}") for c, words in _VARIANT.items()) + ", " + ", ".join(_case(c, words, f"{_K} // {s}") for c, words, s in zip(("fp", "fh", "fn"), _FEATURE, (1, 5, 25)))
 
+_R = ", ".join(f"count(*) FILTER (s = '{x}') AS {x}" for x in _RULE_STATUS)
+_L = ", ".join(f"count(*) FILTER (s = '{x}') AS {x}" for x in _LEFT_STATUS)
+_CLOSED = ", ".join(f"'{x}'" for x in tables.CLOSED)
+
 SQL = {
+    "a08_a11_counters": f"""WITH o AS (SELECT l_suppkey, l_linenumber AS n, l_tax > 0.02 AS fee, {_list(_RULE_STATUS)}[l_partkey % 8 + 1] AS rs, {_list(_LEFT_STATUS)}[l_partkey % 9 + 1] AS ls, l_quantity > 25 AS cand FROM lineitem),
+        e AS (SELECT l_suppkey, count(*) AS source_entries, count(*) FILTER (fee) AS numeric_source_entries, count(*) FILTER (fee AND (n < 4 OR n IN (5, 6))) AS referenced_numeric_entries, count(*) FILTER (fee AND n >= 4 AND n NOT IN (5, 6)) AS dropped_numeric_entries FROM o GROUP BY l_suppkey),
+        r AS (SELECT l_suppkey, count(*) FILTER (s = 'conflict' AND cand) AS blocking_fee_conflicts, count(*) FILTER (s = 'conflict' AND NOT cand) AS informational_conflicts, {_R} FROM (SELECT *, rs AS s FROM o WHERE n < 4) GROUP BY l_suppkey),
+        l AS (SELECT l_suppkey, count(*) FILTER (fee AND s NOT IN ({_CLOSED})) AS numeric_fee_candidates, {_L} FROM (SELECT *, ls AS s FROM o WHERE n IN (5, 6)) GROUP BY l_suppkey),
+        c AS (SELECT e.*, coalesce(blocking_fee_conflicts, 0) AS blocking_fee_conflicts, coalesce(informational_conflicts, 0) AS informational_conflicts, coalesce(numeric_fee_candidates, 0) AS numeric_fee_candidates, coalesce(calculable_rule, 0) AS calculable_rules, coalesce(non_calculable, 0) AS non_calculable_rules,
+            coalesce(conflict, 0) AS conflicting_rule_identities, coalesce(unclassified_fee_candidate, 0) AS unclassified_fee_candidates, coalesce(ambiguous, 0) AS ambiguous_entries, coalesce(r.unsupported_fee_shape, 0) + coalesce(l.unsupported_fee_shape, 0) AS unsupported_fee_shapes, coalesce(ignored_non_fee, 0) AS ignored_non_fee,
+            coalesce(reference_only, 0) AS reference_only, coalesce(r.included, 0) + coalesce(l.included, 0) AS included, coalesce(r.free, 0) + coalesce(l.free, 0) AS free, coalesce(r.informational, 0) + coalesce(l.informational, 0) AS informational, coalesce(r.custom_pricing, 0) + coalesce(l.custom_pricing, 0) AS custom_pricing
+          FROM e LEFT JOIN r ON r.l_suppkey = e.l_suppkey LEFT JOIN l ON l.l_suppkey = e.l_suppkey)
+        SELECT * FROM c UNION ALL SELECT NULL, {', '.join(f'sum({x})::BIGINT' for x in ('source_entries', 'numeric_source_entries', 'referenced_numeric_entries', 'dropped_numeric_entries', 'blocking_fee_conflicts', 'informational_conflicts', 'numeric_fee_candidates', 'calculable_rules', 'non_calculable_rules', 'conflicting_rule_identities', 'unclassified_fee_candidates', 'ambiguous_entries', 'unsupported_fee_shapes', 'ignored_non_fee', 'reference_only', 'included', 'free', 'informational', 'custom_pricing'))} FROM c""",
+    "k01_k02_document_tree": """SELECT 'json/S' || s_suppkey || '.json' AS path, '{' || chr(10) || '  "ids": [' || chr(10) || '    ' || s_suppkey || chr(10) || '  ],' || chr(10) || '  "name": "' || CASE WHEN s_suppkey = 7 THEN 'other' ELSE s_name END || '",' || chr(10)
+          || '  "nation": ' || CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey::VARCHAR ELSE 'null' END || chr(10) || '}' || chr(10) AS value, CASE WHEN s_suppkey = 7 THEN 'changed' END AS change FROM supplier""",
+    "s06_k10_store": """WITH c AS (SELECT c_custkey AS k, c_custkey % 5 <> 0 AS kept, c_custkey % 3 = 0 AS again, c_custkey % 2 = 0 AS same, c_custkey % 7 = 0 AS own FROM customer),
+        s AS (SELECT *, again AND NOT same AND NOT own AS replaced, again AND NOT same AND own AS dropped, again AND same AND kept AS touched FROM c),
+        f AS (SELECT k, CASE WHEN dropped THEN NULL WHEN replaced OR touched THEN 180.0 WHEN kept THEN 100.0 END::DOUBLE AS seen, replaced FROM s)
+        SELECT k, coalesce(seen > 140, false) AS hit, CASE WHEN seen > 140 THEN CASE WHEN replaced THEN 'new ' ELSE 'old ' END || k END AS content, seen AS fetched_at FROM f""",
     "v16_semantic_errors": """WITH r AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS rule_id, (l_orderkey * 7 + l_linenumber * 3 + l_partkey) % """ + str(len(_FAULTS)) + """ AS fault FROM lineitem)
         SELECT rule_id, fault, error AS rule FROM r JOIN (VALUES """ + ", ".join(f"({i}, '{e}')" for i, (_, errors) in enumerate(_FAULTS) for e in errors) + """) AS v(f, error) ON f = fault
         WHERE error <> 'repeated_identity' OR (SELECT count(*) FROM r WHERE fault = """ + str(_TWICE) + """) > 1
