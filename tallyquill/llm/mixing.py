@@ -88,13 +88,16 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.
     open_words = _with(aims, sums.groupBy("source").agg(F.sum("certain").alias("certain"))).select("source", (F.col("target") - F.col("certain")).alias("open"))
     run = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     starts = _with(sums.withColumn("before", F.sum("words").over(run) - F.col("words")), open_words).where("before <= open")
+    # What follows is read more than once, and is small: a row per source, and the rows near the end of its sample.
     last = starts.groupBy("source").agg(F.max_by(F.struct("_bucket", "before", "open"), "_bucket").alias("e")).select("source", F.col("e._bucket").alias("end_bucket"), "e.before", "e.open")
+    last = cut(last)
 
     near = _with(ranked.select("source", "_bucket", *_PLACE), last).where("_bucket between end_bucket and end_bucket + 1")
     order = Window.partitionBy("source").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("upto", F.col("before") + F.sum("size").over(order))
+    near = cut(near.withColumn("upto", F.col("before") + F.sum("size").over(order)))
     fits = F.col("upto") <= F.col("open")
     ends = near.groupBy("source").agg(F.max(F.when(fits, F.struct(*_PLACE))).alias("end"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.max("before")).alias("filled"))
+    ends = cut(ends)
     gap = F.col("open") - F.col("filled")
     nearest = _with(near.where(~fits), ends).where(F.abs(gap - F.col("size")) < gap)
     one = nearest.groupBy("source").agg(F.min_by(F.struct(*_PLACE), F.struct(F.abs(gap - F.col("size")), *_PLACE)).alias("one_more"))
