@@ -50,7 +50,7 @@ class GramSet:
             self.bits[n][(hashes >> np.uint64(42)).astype(np.int64)] = True
 
     def hits(self, w: tokens.Words, n: int) -> list[tuple[int, list[str]]]:
-        """(first word, items) of each window of n words that occurs in an item, compared word by word."""
+        """(first word, items) of each window of n words that occurs in an item, compared by the hash of each word."""
         at, hashes = w.grams(n)
         maybe = np.flatnonzero(self.bits[n][(hashes >> np.uint64(42)).astype(np.int64)])
         own, starts, rows = self.sets[n]

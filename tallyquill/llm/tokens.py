@@ -2,8 +2,8 @@
 
 Texts are handled as UTF-8 bytes: both word definitions used by the operators split on ASCII bytes only, so a byte
 table decides what belongs to a word, and every byte above 0x7F is a word byte.  Words are identified by a mixed
-64-bit polynomial hash; operators whose contract needs exact words verify the hits against the bytes themselves.
-Nulls are read as empty texts.
+64-bit polynomial hash, which the Jaccard join and the decontamination go by; token counts, search and phrases take the
+words themselves (`word_array`).  Nulls are read as empty texts.
 """
 
 from __future__ import annotations
