@@ -70,7 +70,8 @@ STAGES = [
     ("mixture", mixed),
 ]
 
-#: SQL can express neither classifier; tests compare a whole run with its stages' rules worked out by brute force.
+#: SQL can express neither classifier; tests hold the near copies and the contamination of a run against brute force, and
+#: what the other stages keep against their own input.
 ORACLE_SQL = None
 
 
