@@ -29,6 +29,7 @@ LIMIT = 2048
 CHUNK = 64
 #: Characters handled at a time; a longer text is cut before a blank, where no piece and no composition goes on.
 RUN_CHARS = 1 << 20
+_BLANK = re.compile("[ \t\n\r\u3000]")
 #: Transitions of the byte transducer, and counted pieces, that a task keeps; beyond that it starts to collect them anew.
 TRANSITIONS, PIECES = 1 << 19, 1 << 18
 
@@ -338,8 +339,8 @@ def _parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         while at < len(text):
             end = len(text)
             if end - at > RUN_CHARS:
-                blank = text.find(" ", at + RUN_CHARS)
-                end = blank if blank > 0 else end
+                blank = _BLANK.search(text, at + RUN_CHARS)
+                end = blank.start() if blank else end
             rows.append(row)
             own.append(text[at:end] if at or end < len(text) else text)
             chars += end - at

@@ -48,6 +48,9 @@ def test_long_texts_are_cut_where_nothing_changes(made, library, monkeypatch):
     assert transducer.counted([text, "", text * 2], made).tolist() == library([text, "", text * 2])
     monkeypatch.setattr(transducer, "CHUNK", 5)
     assert transducer.counted([text], made).tolist() == library([text])
+    for blank in "\t\n\r\u3000":
+        own = text.replace(" ", blank)
+        assert transducer.counted([own], made).tolist() == library([own])
 
 
 def test_forgotten_transitions_are_found_again(made, library, monkeypatch):
