@@ -72,23 +72,25 @@ def _outcomes(rows: DataFrame, by: list[str], order: str, candidate: str, loose:
     return rows.withColumns({"_kind": kind, "_taker": taker}).drop("_n", "_fees", "_least", "_fee")
 
 
-def resolved(groups: DataFrame, selector: list[str], status: str = "status", candidate: str = "is_candidate", unspecified: Column | None = None, lists: tuple[str, ...] = ()) -> DataFrame:
+def resolved(groups: DataFrame, selector: list[str], status: str = "status", candidate: str = "is_candidate", unspecified: Column | None = None, lists: tuple[str, ...] = (), signature: str = "signature") -> DataFrame:
     """Groups of `merged` with their outcome; what stays takes entry_ids and `lists` of what goes, in order.
 
+    Groups are in order of first_at and, where rules of several signatures have one place, of their `signature`.
+
     An unspecified product with several groups is one informational row.  A single fee candidate absorbs the rest;
     of several candidates every group is a conflict without confidence; without any, the first absorbs the others.
     Groups that are absorbed go, and their ids are given to the one that stays.
     """
-    rows = groups.withColumn("_sel", selected(selector))
-    rows = _outcomes(rows, ["_sel"], "first_at", candidate, F.lit(False) if unspecified is None else unspecified)
+    rows = groups.withColumns({"_sel": selected(selector), "_place": F.struct("first_at", signature)})
+    rows = _outcomes(rows, ["_sel"], "_place", candidate, F.lit(False) if unspecified is None else unspecified)
     names = ("entry_ids", *lists)
     of = lambda c: F.transform(c, lambda x, i: F.struct(F.lit(c).alias("kind"), x.cast("string").alias("item"), i.alias("at")))
     every = F.flatten(F.array_compact(F.array(*map(of, names))))
-    items = rows.select("_sel", "_taker", "first_at", F.explode(every).alias("x")).select("_sel", "_taker", "x.kind", "x.item", F.struct("first_at", "x.at").alias("place"), F.lit(None).cast("string").alias("told"))
+    items = rows.select("_sel", "_taker", "_place", F.explode(every).alias("x")).select("_sel", "_taker", "x.kind", "x.item", F.struct("_place", "x.at").alias("place"), F.lit(None).cast("string").alias("told"))
     found = put_together(items, ["_sel", "_taker"], names)
     kinds = {c: groups.schema[c].dataType.simpleString() for c in names}
-    found = found.select("_sel", F.col("_taker").alias("first_at"), *(F.transform(c, lambda x: x["item"]).cast(kinds[c]).alias(f"_{c}") for c in names))
-    own = rows.where(F.col("first_at") == F.col("_taker")).join(found, ["_sel", "first_at"], "left")
+    found = found.select("_sel", F.col("_taker").alias("_place"), *(F.transform(c, lambda x: x["item"]).cast(kinds[c]).alias(f"_{c}") for c in names))
+    own = rows.where(F.col("_place") == F.col("_taker")).join(found, ["_sel", "_place"], "left")
     fails = F.col("_kind") != "plain"
     outcome = F.when(F.col("_kind") == "loose", "informational").when(F.col("_kind") == "conflict", "conflict").otherwise(F.col(status))
     own = own.withColumns({status: outcome, "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence"))} | {c: F.coalesce(f"_{c}", F.array().cast(kinds[c])) for c in names})

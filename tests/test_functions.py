@@ -1,12 +1,16 @@
 """Expressions and operators on small rows whose results are known."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tallyquill import tables
 from tallyquill.functions import money, text, web
 from tallyquill.operators import identities, lines, pages, snapshots
+from tallyquill.plans.oracle import SQL
+from tallyquill.plans.queries import QUERIES
 from tallyquill.sources import files, publish
+from tests.sameness import same
 
 
 def values(spark, column, items, of="x string"):
@@ -81,6 +85,21 @@ def test_identities(spark):
     assert got == {("a", 1): ("calculable_rule", 0.9, [1, 2, 3]), ("b", 4): ("conflict", 0.0, [4]), ("b", 5): ("conflict", 0.0, [5]), ("c", 6): ("informational", 0.9, [6, 7])}
 
 
+def test_identities_of_one_place_stay_apart(spark):
+    rows = spark.createDataFrame([("a", 1, "x", 1), ("a", 1, "y", 2), ("a", 5, "y", 3)], "s string, at int, signature string, e int").withColumns({"confidence": F.lit(0.9), "status": F.lit("calculable_rule")})
+    groups = identities.merged(rows, ["s"], "signature", "at", "status", "e").withColumn("is_candidate", F.lit(True))
+    assert sorted(r.entry_ids for r in identities.resolved(groups, ["s"]).collect()) == [[1], [2, 3]]
+
+
+def test_lines_of_one_order_and_number_as_sql_has_them(spark, tmp_path):
+    line = "l_partkey long, l_returnflag string, l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_linestatus string"
+    rows = [(1, "A", 10, 1, 30.0, 0.05, 0.02, "O"), (1, "A", 10, 1, 30.0, 0.07, 0.04, "O"), (1, "A", 11, 2, 30.0, 0.07, 0.04, "O"), (2, "A", 10, 1, 9.0, 0.05, 0.02, "O"), (2, "A", 10, 1, 8.0, 0.05, 0.02, "O")]
+    spark.createDataFrame(rows, line).write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    same(QUERIES["a01_a05_identities"](spark, str(tmp_path)), SQL["a01_a05_identities"], con)
+
+
 def test_snapshots(spark):
     rule = "country string, rule_id string, percentage string, fixed_amount string, fixed_currency string, at int"
     old = spark.createDataFrame([("DE", "r", "2.9", "0.30", "EUR", 1), ("DE", "z", "0", None, None, 2)], rule)
