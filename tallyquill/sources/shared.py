@@ -23,3 +23,12 @@ def cut(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """The same rows, for a join of rows as many as the data's: by a shuffle, never by a broadcast.
+
+    Spark estimates a table by the size of its files.  Texts that are made of a few bytes of a compressed column are
+    hundreds of times as large, and what seems small enough for a broadcast then fills the driver.
+    """
+    return df.hint("merge")

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyquill.operators import containment, identities, rules
+from tallyquill.plans.queries import QUERIES
+from tests.sameness import SF
 from tests.test_rules import ENTRY, entry
 
 
@@ -79,3 +81,9 @@ def test_three_fees_of_one_identity(spark):
             (one,) = got
             assert (one.status, one.percentage, one.fee_components, one.unit, one.behavior, one.is_candidate) == ("informational", None, [], "informational", "informational", False)
             assert one.entry_ids == ["e2", "e1", "e3"] and one.rule_ids == ["r2", "r1", "r3"] and one.rule_id not in ("r1", "r2", "r3")
+
+
+@pytest.mark.parametrize("name", ["h19_h22_entries", "a01_a11_market_fees", "a03_a05_rule_provenance", "j13_containment_owners"])
+def test_rows_as_many_as_the_data_are_not_broadcast(spark, name):
+    plan = QUERIES[name](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
