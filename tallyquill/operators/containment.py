@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyquill.sources.shared import cut
+from tallyquill.sources.shared import cut, shuffled
 
 
 def selected(selector: list[str]) -> Column:
@@ -26,12 +26,12 @@ def contained(sets: DataFrame) -> DataFrame:
     # Every set has the empty part as well, which is the rarest one of an empty set only.
     each = sets.select("_sel", "_set", F.size("_parts").alias("_size"), F.explode(F.concat(F.array(F.lit("")), F.transform("_parts", lambda p: F.concat(F.lit("="), p)))).alias("_part"))
     often = each.groupBy("_sel", "_part").agg(F.count("*").alias("_often"))
-    rarest = each.join(often, ["_sel", "_part"]).groupBy("_sel", "_set", "_size").agg(F.min(F.struct("_often", F.col("_part") == "", "_part"))["_part"].alias("_part"))
+    rarest = each.join(shuffled(often), ["_sel", "_part"]).groupBy("_sel", "_set", "_size").agg(F.min(F.struct("_often", F.col("_part") == "", "_part"))["_part"].alias("_part"))
     other = each.select("_sel", F.col("_set").alias("_large"), F.col("_size").alias("_more"), "_part")
-    maybe = rarest.join(other, ["_sel", "_part"]).where(F.col("_size") < F.col("_more")).select("_sel", "_set", "_large")
+    maybe = rarest.join(shuffled(other), ["_sel", "_part"]).where(F.col("_size") < F.col("_more")).select("_sel", "_set", "_large")
     small, large = sets.select("_sel", "_set", F.col("_parts").alias("_own")), sets.select("_sel", F.col("_set").alias("_large"), "_parts")
     inside = F.size(F.array_except("_own", "_parts")) == 0
-    return maybe.join(small, ["_sel", "_set"]).join(large, ["_sel", "_large"]).where(inside).select("_sel", "_set", "_large")
+    return maybe.join(shuffled(small), ["_sel", "_set"]).join(shuffled(large), ["_sel", "_large"]).where(inside).select("_sel", "_set", "_large")
 
 
 def owners(groups: DataFrame, key: str, parts: str) -> DataFrame:
@@ -45,13 +45,13 @@ def owners(groups: DataFrame, key: str, parts: str) -> DataFrame:
     sets = cut(members.groupBy("_sel", "_set").agg(F.max("_key").alias("_last"), F.first("_parts").alias("_parts")))
     members = members.drop("_parts")
     pairs = cut(contained(sets))
-    largest = sets.join(pairs, ["_sel", "_set"], "left_anti").select("_sel", F.col("_set").alias("_large"), "_last")
-    lowest = pairs.join(largest, ["_sel", "_large"]).groupBy("_sel", "_set").agg(F.min("_last").alias("_lowest"))
-    around = pairs.join(members.select("_sel", F.col("_set").alias("_large"), "_key"), ["_sel", "_large"]).select("_sel", "_set", "_key")
+    largest = sets.join(shuffled(pairs), ["_sel", "_set"], "left_anti").select("_sel", F.col("_set").alias("_large"), "_last")
+    lowest = pairs.join(shuffled(largest), ["_sel", "_large"]).groupBy("_sel", "_set").agg(F.min("_last").alias("_lowest"))
+    around = pairs.join(shuffled(members.select("_sel", F.col("_set").alias("_large"), "_key")), ["_sel", "_large"]).select("_sel", "_set", "_key")
     lined = members.withColumn("_own", F.lit(True)).unionByName(around.withColumn("_own", F.lit(False)))
     after = lined.withColumn("_next", F.lead("_key").over(Window.partitionBy("_sel", "_set").orderBy("_key"))).where("_own")
     owner = F.when(F.col("_lowest") < F.col("_key"), F.col("_lowest")).otherwise(F.col("_next"))
-    return after.join(lowest, ["_sel", "_set"], "left").select("_sel", F.col("_key").alias(key), owner.alias("owner")).where("owner is not null")
+    return after.join(shuffled(lowest), ["_sel", "_set"], "left").select("_sel", F.col("_key").alias(key), owner.alias("owner")).where("owner is not null")
 
 
 def followed(edges: DataFrame, key: str) -> DataFrame:
@@ -63,9 +63,9 @@ def followed(edges: DataFrame, key: str) -> DataFrame:
     now = cut(edges.select("_sel", F.col(key).alias("_key"), F.col("owner").alias("_top"), F.array(key).alias("path")))
     while True:
         above = now.select("_sel", F.col("_key").alias("_top"), F.col("_top").alias("_higher"), F.col("path").alias("_more"))
-        if now.join(above, ["_sel", "_top"], "left_semi").isEmpty():
+        if now.join(shuffled(above), ["_sel", "_top"], "left_semi").isEmpty():
             return now.select("_sel", F.col("_key").alias(key), F.col("_top").alias("root"), "path")
-        now = cut(now.join(above, ["_sel", "_top"], "left").select("_sel", "_key", F.coalesce("_higher", "_top").alias("_top"), F.concat(F.coalesce("_more", F.array().cast("array<string>")), "path").alias("path")))
+        now = cut(now.join(shuffled(above), ["_sel", "_top"], "left").select("_sel", "_key", F.coalesce("_higher", "_top").alias("_top"), F.concat(F.coalesce("_more", F.array().cast("array<string>")), "path").alias("path")))
 
 
 def put_together(items: DataFrame, by: list[str], kinds: tuple[str, ...]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from tallyquill import tables
 from tallyquill.functions.text import condition_key, stable_id
 from tallyquill.operators.containment import followed, owners, put_together, selected
-from tallyquill.sources.shared import cut
+from tallyquill.sources.shared import cut, shuffled
 
 
 #: What makes two fee components equal.
@@ -90,7 +90,7 @@ def resolved(groups: DataFrame, selector: list[str], status: str = "status", can
     found = put_together(items, ["_sel", "_taker"], names)
     kinds = {c: groups.schema[c].dataType.simpleString() for c in names}
     found = found.select("_sel", F.col("_taker").alias("_place"), *(F.transform(c, lambda x: x["item"]).cast(kinds[c]).alias(f"_{c}") for c in names))
-    own = rows.where(F.col("_place") == F.col("_taker")).join(found, ["_sel", "_place"], "left")
+    own = rows.where(F.col("_place") == F.col("_taker")).join(shuffled(found), ["_sel", "_place"], "left")
     fails = F.col("_kind") != "plain"
     outcome = F.when(F.col("_kind") == "loose", "informational").when(F.col("_kind") == "conflict", "conflict").otherwise(F.col(status))
     own = own.withColumns({status: outcome, "confidence": F.when(fails, F.lit(0.0)).otherwise(F.col("confidence"))} | {c: F.coalesce(f"_{c}", F.array().cast(kinds[c])) for c in names})
@@ -100,7 +100,7 @@ def resolved(groups: DataFrame, selector: list[str], status: str = "status", can
 def absorbed_subsets(groups: DataFrame, selector: list[str], key: str, parts: str) -> DataFrame:
     """Groups without those whose set of `parts` lies within another's of the same selector; of equal sets the last key stays."""
     own = groups.withColumn("_sel", selected(selector))
-    return own.join(owners(own, key, parts).drop("owner"), ["_sel", key], "left_anti").select(*groups.columns)
+    return own.join(shuffled(owners(own, key, parts).drop("owner")), ["_sel", key], "left_anti").select(*groups.columns)
 
 
 #: Lists that tell where a rule comes from.
@@ -144,17 +144,17 @@ def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
     ).select("_sel", "signature", F.concat_ws("\u0001", "_at.a", "_at.b", F.sha2("signature", 256)).alias("_key"), "status", "confidence", "n_rules", "fee_evidence", "_first.*")
     groups = cut(groups.withColumn("is_candidate", fee_candidate("status", "fee_components")))
     ends = followed(owners(groups, "_key", "component_keys"), "_key")
-    roots = _outcomes(groups.join(ends, ["_sel", "_key"], "left_anti"), ["_sel"], "_key", "is_candidate", F.col("product_id") == "unspecified")
+    roots = _outcomes(groups.join(shuffled(ends), ["_sel", "_key"], "left_anti"), ["_sel"], "_key", "is_candidate", F.col("product_id") == "unspecified")
     of_root = roots.select("_sel", F.col("_key").alias("root"), "_taker")
     # A taker's own lists come first, then those of the groups it takes up, each with what it had taken up itself.
-    placed = groups.select("_sel", "signature", "_key").join(ends, ["_sel", "_key"], "left").withColumn("root", F.coalesce("root", "_key")).join(of_root, ["_sel", "root"])
+    placed = groups.select("_sel", "signature", "_key").join(shuffled(ends), ["_sel", "_key"], "left").withColumn("root", F.coalesce("root", "_key")).join(shuffled(of_root), ["_sel", "root"])
     placed = placed.withColumn("_path", F.concat(F.array(F.when(F.col("root") == F.col("_taker"), "").otherwise(F.col("root"))), F.coalesce("path", F.array().cast("array<string>"))))
-    items = own.join(placed.select("_sel", "signature", "_taker", "_path"), ["_sel", "signature"]).select("_sel", "_taker", "_path", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
+    items = own.join(shuffled(placed.select("_sel", "signature", "_taker", "_path")), ["_sel", "signature"]).select("_sel", "_taker", "_path", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
     items = items.select("_sel", "_taker", "x.kind", "x.item", "x.told", F.struct("_path", "entry_id", "rule_id", "x.at").alias("place"))
     lists = put_together(items, ["_sel", "_taker"], _PROVENANCE)
     fragment = lambda x: F.struct(x["told"].alias("entry_id"), x["item"].alias("text"))
     lists = lists.select("_sel", F.col("_taker").alias("_key"), *(F.transform(c, fragment if c == "fragments" else lambda x: x["item"]).alias(c) for c in _PROVENANCE))
-    found = roots.where(F.col("_key") == F.col("_taker")).join(lists, ["_sel", "_key"])
+    found = roots.where(F.col("_key") == F.col("_taker")).join(shuffled(lists), ["_sel", "_key"])
     loose, conflict = F.col("_kind") == "loose", F.col("_kind") == "conflict"
     identity = F.array_join(F.transform(F.array_sort("conditions"), lambda c: F.concat_ws("=", c["dimension"], c["value"])), "|")
     none = {c: F.when(~loose, F.col(c)) for c in _FEE_FIELDS if c in rules.columns}
@@ -186,7 +186,7 @@ def counters(entries: DataFrame, rules: DataFrame, leftovers: DataFrame, by: lis
     have zeros.
     """
     used = rules.select(*by, F.explode("entry_ids").alias("entry_id")).unionByName(leftovers.select(*by, "entry_id")).distinct().withColumn("_used", F.lit(True))
-    of_entries = entries.join(used, [*by, "entry_id"], "left").groupBy(*by).agg(
+    of_entries = entries.join(shuffled(used), [*by, "entry_id"], "left").groupBy(*by).agg(
         F.count("*").alias("source_entries"), F.count_if("has_fee").alias("numeric_source_entries"), F.count_if(F.col("has_fee") & F.col("_used").isNotNull()).alias("referenced_numeric_entries"),
         F.count_if(F.col("has_fee") & F.col("_used").isNull()).alias("dropped_numeric_entries"),
     )
@@ -197,7 +197,7 @@ def counters(entries: DataFrame, rules: DataFrame, leftovers: DataFrame, by: lis
     of_left = leftovers.groupBy(*by).agg(
         *(F.count_if(F.col("status") == s).alias(f"e_{c}") for s, c in _ENTRY_COUNTERS.items()), F.count_if(F.col("has_fee") & ~F.col("status").isin(*tables.CLOSED)).alias("numeric_fee_candidates")
     )
-    every = of_entries.join(of_rules, by, "left").join(of_left, by, "left").na.fill(0)
+    every = of_entries.join(shuffled(of_rules), by, "left").join(shuffled(of_left), by, "left").na.fill(0)
     names = list(dict.fromkeys([*_RULE_COUNTERS.values(), *_ENTRY_COUNTERS.values()]))
     sums = [sum((F.col(p + n) for p, own in (("r_", _RULE_COUNTERS), ("e_", _ENTRY_COUNTERS)) if n in own.values()), F.lit(0)).cast("long").alias(n) for n in names]
     plain = ("source_entries", "numeric_source_entries", "referenced_numeric_entries", "dropped_numeric_entries", "blocking_fee_conflicts", "informational_conflicts", "numeric_fee_candidates")
@@ -220,7 +220,7 @@ def coverage(rules: DataFrame, leftovers: DataFrame, by: list[str]) -> DataFrame
     )
     closed = F.col("status").isin("ignored_non_fee", "informational", "reference_only", "custom_pricing", "included", "free", "unsupported_fee_shape")
     e = leftovers.groupBy(*by).agg(F.count("*").alias("leftovers"), F.count_if(~closed).alias("unresolved"), F.count_if(~closed & F.col("has_fee")).alias("numeric_fee_candidates"))
-    both = r.join(e, by, "full_outer").na.fill(0)
+    both = r.join(shuffled(e), by, "full_outer").na.fill(0)
     derivation = F.when((F.col("rules") == 0) & (F.col("leftovers") == 0), "unclassified").when(F.col("authoritative") == 0, "partial").when(F.col("unresolved") == 0, "complete").otherwise("partial")
     calculator = (
         F.when((F.col("authoritative") == 0) & ((F.col("conflicts") > 0) | (F.col("leftovers") > 0)), "partial").when(F.col("authoritative") == 0, "unclassified")
