@@ -145,16 +145,19 @@ def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
     groups = cut(groups.withColumn("is_candidate", fee_candidate("status", "fee_components")))
     ends = followed(owners(groups, "_key", "component_keys"), "_key")
     roots = _outcomes(groups.join(shuffled(ends), ["_sel", "_key"], "left_anti"), ["_sel"], "_key", "is_candidate", F.col("product_id") == "unspecified")
-    of_root = roots.select("_sel", F.col("_key").alias("root"), "_taker")
+    # Takers are numbered, and groups in the order of their paths, so that items carry numbers in place of keys and paths.
+    roots = roots.withColumn("_no", F.dense_rank().over(Window.partitionBy("_sel").orderBy("_taker")))
+    of_root = roots.select("_sel", F.col("_key").alias("root"), "_taker", "_no")
     # A taker's own lists come first, then those of the groups it takes up, each with what it had taken up itself.
     placed = groups.select("_sel", "signature", "_key").join(shuffled(ends), ["_sel", "_key"], "left").withColumn("root", F.coalesce("root", "_key")).join(shuffled(of_root), ["_sel", "root"])
     placed = placed.withColumn("_path", F.concat(F.array(F.when(F.col("root") == F.col("_taker"), "").otherwise(F.col("root"))), F.coalesce("path", F.array().cast("array<string>"))))
-    items = own.join(shuffled(placed.select("_sel", "signature", "_taker", "_path")), ["_sel", "signature"]).select("_sel", "_taker", "_path", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
-    items = items.select("_sel", "_taker", "x.kind", "x.item", "x.told", F.struct("_path", "entry_id", "rule_id", "x.at").alias("place"))
-    lists = put_together(items, ["_sel", "_taker"], _PROVENANCE)
+    placed = placed.select("_sel", "signature", "_no", F.row_number().over(Window.partitionBy("_sel").orderBy("_no", "_path")).alias("_rank"))
+    items = own.join(shuffled(placed), ["_sel", "signature"]).select("_sel", "_no", "_rank", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
+    items = items.select("_sel", "_no", "x.kind", "x.item", "x.told", F.struct("_rank", "entry_id", "rule_id", "x.at").alias("place"))
+    lists = put_together(items, ["_sel", "_no"], _PROVENANCE)
     fragment = lambda x: F.struct(x["told"].alias("entry_id"), x["item"].alias("text"))
-    lists = lists.select("_sel", F.col("_taker").alias("_key"), *(F.transform(c, fragment if c == "fragments" else lambda x: x["item"]).alias(c) for c in _PROVENANCE))
-    found = roots.where(F.col("_key") == F.col("_taker")).join(shuffled(lists), ["_sel", "_key"])
+    lists = lists.select("_sel", "_no", *(F.transform(c, fragment if c == "fragments" else lambda x: x["item"]).alias(c) for c in _PROVENANCE))
+    found = roots.where(F.col("_key") == F.col("_taker")).join(shuffled(lists), ["_sel", "_no"])
     loose, conflict = F.col("_kind") == "loose", F.col("_kind") == "conflict"
     identity = F.array_join(F.transform(F.array_sort("conditions"), lambda c: F.concat_ws("=", c["dimension"], c["value"])), "|")
     none = {c: F.when(~loose, F.col(c)) for c in _FEE_FIELDS if c in rules.columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,11 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    own = df.checkpoint()
+    # Shuffle files that led here go when the driver collects its garbage, which it seldom does by itself.
+    gc.collect()
+    sc._jvm.System.gc()
+    return own
 
 
 def shuffled(df: DataFrame) -> DataFrame:

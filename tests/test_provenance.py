@@ -87,3 +87,12 @@ def test_three_fees_of_one_identity(spark):
 def test_rows_as_many_as_the_data_are_not_broadcast(spark, name):
     plan = QUERIES[name](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_items_carry_numbers_in_place_of_keys_and_paths(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(identities, "put_together", lambda items, by, kinds: seen.append((by, items.schema)) or containment.put_together(items, by, kinds))
+    QUERIES["a03_a05_rule_provenance"](spark, str(SF))
+    ((by, schema),) = seen
+    assert [schema[c].dataType.simpleString() for c in by] == ["string", "int"]
+    assert [f.dataType.simpleString() for f in schema["place"].dataType] == ["int", "string", "string", "int"]
