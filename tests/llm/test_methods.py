@@ -45,6 +45,8 @@ def test_points_fold_and_keep_their_counts():
         assert p.sum() == len(s) and (jaccard._decoded(jaccard._coded(p)) == p).all() and len(p) >= jaccard.LEAST_GROUPS
         assert (jaccard.folded(p, 32) == p.reshape(32, -1).sum(axis=1)).all()
     assert jaccard._decoded(jaccard._coded(np.array([70_000, 1]))).tolist() == [70_000, 1]
+    for own, size in (([15, 0, 7, 1], 3), ([16, 0, 7, 1], 5), ([3, 1, 2], 4)):
+        assert jaccard._decoded(coded := jaccard._coded(np.array(own))).tolist() == own and len(coded) == size
 
 
 def roots(links):
@@ -173,3 +175,14 @@ def test_a_model_of_few_documents_has_states(spark):
     assert np.abs(model.emit - model.emit[:1]).max() > 1e-3
     _, _, none = lm.fit(spark.createDataFrame([], "doc_id long, text string"))
     assert np.isfinite(none.emit).all()
+
+
+def test_every_training_document_counts_in_the_model(spark, monkeypatch):
+    seen, real = [], lm._round
+    monkeypatch.setattr(lm, "LEAST", 4, raising=False)
+    monkeypatch.setattr(lm, "_round", lambda docs, shared, model: seen.append({r.text for r in docs.collect()}) or real(docs, shared, model))
+    docs = spark.createDataFrame([(i, f"w{i} a b") for i in range(60)], "doc_id long, text string")
+    lm.fit(docs)
+    own = {r.text for r in docs.where("crc32(cast(doc_id as string)) % 10 <> 0").collect()}
+    turns = [set.union(*seen[k : k + lm.SHARES]) for k in range(lm.ROUNDS - lm.SHARES + 1)]
+    assert all(t == own for t in turns) and max(map(len, seen)) < len(own)
