@@ -48,12 +48,20 @@ def _fingerprints(rows: np.ndarray, values: np.ndarray, n_rows: int) -> tuple[np
 
 
 def _coded(point: np.ndarray) -> bytes:
-    """A point's coordinates in one, two or four bytes each, as the largest needs, after a byte that tells it."""
-    size = 1 if (most := point.max(initial=0)) < 1 << 8 else 2 if most < 1 << 16 else 4
+    """A point's coordinates in half a byte, one, two or four bytes each, as the largest needs, after a byte that tells it.
+
+    A point has an even number of coordinates, of which one byte takes two.
+    """
+    if (most := point.max(initial=0)) < 16 and len(point) % 2 == 0:
+        return bytes([0]) + (point[0::2] | point[1::2] << 4).astype("<u1").tobytes()
+    size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
     return bytes([size]) + point.astype(f"<u{size}").tobytes()
 
 
 def _decoded(coded: bytes) -> np.ndarray:
+    if not coded[0]:
+        both = np.frombuffer(coded, dtype="<u1", offset=1)
+        return np.stack([both & 15, both >> 4], axis=1).ravel().astype(np.int32)
     return np.frombuffer(coded, dtype=f"<u{coded[0]}", offset=1).astype(np.int32)
 
 
