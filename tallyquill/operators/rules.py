@@ -18,7 +18,7 @@ from tallyquill.functions import money
 from tallyquill.functions.text import deduplicated, first_match, ordered_unique, stable_id, stacked_units
 from tallyquill.operators.folds import folded
 from tallyquill.operators.order import settled
-from tallyquill.sources.shared import cut
+from tallyquill.sources.shared import cut, spread
 
 _COMPONENT = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount", "source_entry_id", "source_text")
 
@@ -48,6 +48,10 @@ def is_modifier(role: Column, fee: Column, low: Column, given_method: Column) ->
 
 def described(entries: DataFrame) -> DataFrame:
     """Entries with what their own wording tells: fee, role, product, method, channel, region, tier and the rest."""
+    return _described(spread(entries))
+
+
+def _described(entries: DataFrame) -> DataFrame:
     text, given = F.col("source_text"), F.col("given_method")
     rows = entries.withColumnsRenamed({"payment_method": "given_method", "channel": "given_channel"})
     rows = rows.withColumns({"source_text": F.coalesce(text, F.lit("")), "source_evidence": F.coalesce("source_evidence", F.lit("")), "section_path": F.coalesce("section_path", F.array().cast("array<string>"))})
@@ -151,7 +155,11 @@ def enriched(entries: DataFrame, by: list[str] = ["url"]) -> DataFrame:  # noqa:
     A row takes product, method, region and tier from the row before it of the same section where it is a modifier, or
     has the same product; what was taken is passed on.
     """
-    rows = described(entries)
+    return _enriched(spread(entries), by)
+
+
+def _enriched(entries: DataFrame, by: list[str]) -> DataFrame:
+    rows = _described(entries)
     method = F.when(d.is_method_product(F.col("own_product")), F.col("own_method"))
     seen = {"path": F.col("section_path"), "product": F.col("own_product"), "method": method, "region": F.col("own_region"), "tier": F.col("own_tier"), "modifier": F.col("is_modifier"), "role": F.col("role")}
     rows = folded(rows, by, _ORDER, seen, Inherited, {"product_id": "string", "payment_method": "string", "card_region": "string", "card_tier": "string"})
@@ -267,10 +275,10 @@ def classified(entries: DataFrame, by: list[str] = ["url"], provider: str = "the
 
     A null text is an empty one; what has no fee and says nothing of the kind is a rule that can't be calculated.
     """
-    marked = settled(entries, {"_fee": money.fee("source_text")})
+    marked = settled(spread(entries), {"_fee": money.fee("source_text")})
     marked = settled(marked, {"_no_fee": F.coalesce(ev.is_statistic(F.col("source_text"), F.col("source_evidence"), F.col("_fee"), provider), F.lit(False)), "_has_fee": d.has_base_fee(F.col("_fee"))})
     # Rules and leftovers are two readings of the same groups, which are therefore kept.
-    found = cut(assembled(grouped(enriched(marked.where("not _no_fee").drop("_fee", "_no_fee", "_has_fee"), by), by), by))
+    found = cut(assembled(grouped(_enriched(marked.where("not _no_fee").drop("_fee", "_no_fee", "_has_fee"), by), by), by))
     rules = found.where(F.col("status").isin(*tables.KEPT)).drop("items")
     rest = found.where(~F.col("status").isin(*tables.KEPT)).select(*by, "status", F.explode(F.filter("items", lambda x: F.array_contains("entry_ids", x["entry_id"]))).alias("x"))
     rest = rest.select(*by, F.col("x.entry_id").alias("entry_id"), "status", d.has_base_fee(F.col("x.fee")).alias("has_fee"))

@@ -37,3 +37,12 @@ def shuffled(df: DataFrame) -> DataFrame:
     hundreds of times as large, and what seems small enough for a broadcast then fills the driver.
     """
     return df.hint("merge")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt over all of a shuffle's partitions before work that is long for a row and its few bytes.
+
+    A scan makes as many tasks as its files have bytes and row groups, and adaptive plans join small partitions: a million
+    short rows are one task or two, whatever is done with each.  A number that is given is kept as it is.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

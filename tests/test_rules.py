@@ -120,3 +120,10 @@ def test_errors_are_named(spark):
         checks.every_error(spark.createDataFrame([("A", "x")], "country string, error string"), strict=True)
     own = lines.Phrases()
     assert [*own.step("Dispute fee", "label"), *own.step("$15", "fee"), *own.step("per charge", "qualifier"), *own.rest()] == ["Dispute fee $15 per charge"]
+
+
+def test_rows_of_one_file_are_dealt_before_long_work(spark):
+    own = spark.createDataFrame([entry(i, "2.9% + $0.30") for i in range(40)], ENTRY).coalesce(1)
+    assert rules.described(own).select("entry_id").rdd.getNumPartitions() > 1
+    left = rules.classified(own)[1]
+    assert left.where("status = 'ignored_non_fee'").select("entry_id").rdd.getNumPartitions() > 1
