@@ -6,12 +6,12 @@ from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyquill import tables
-from tallyquill.functions.text import cleaned_fee, col, collapsed, first_match, has_any, looked_up
+from tallyquill.functions.text import cleaned_fee, col, collapsed, first_match, has_any, looked_up, sliced
 from tallyquill.functions.web import country_of_locale, country_of_path, locale_of_url
 from tallyquill.operators.order import heading_paths, renumbered
 
@@ -137,7 +137,10 @@ class _Headings(HTMLParser):
 _SECTIONS = "array<struct<level:int,heading:string,body:string,links:array<struct<text:string,uri:string>>>>"
 
 
-def _sections(url: pd.Series, page: pd.Series) -> pd.Series:
+_ARROW_SECTIONS = pa.list_(pa.struct({"level": pa.int32(), "heading": pa.string(), "body": pa.string(), "links": pa.list_(pa.struct({"text": pa.string(), "uri": pa.string()}))}))
+
+
+def _sections(url: pa.Array, page: pa.Array) -> pa.Array:
     def one(u: str | None, p: str | None) -> list[dict]:
         parser = _Headings()
         parser.feed(p or "")
@@ -147,7 +150,7 @@ def _sections(url: pd.Series, page: pd.Series) -> pd.Series:
             for r in parser.rows
         ]
 
-    return pd.Series([one(u, p) for u, p in zip(url, page)])
+    return sliced([url, page], lambda us, ps: [*map(one, us, ps)], _ARROW_SECTIONS)
 
 
 def sections(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -155,7 +158,7 @@ def sections(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
     A small parser cuts a page at its headings; ancestors are found by windows over the headings of each page.
     """
-    rows = pages.select(key, F.posexplode(F.pandas_udf(_sections, _SECTIONS)("url", "html")).alias("source_order", "s")).select(key, "source_order", "s.*")
+    rows = pages.select(key, F.posexplode(F.arrow_udf(_sections, _SECTIONS)("url", "html")).alias("source_order", "s")).select(key, "source_order", "s.*")
     return heading_paths(rows, [key], ["source_order"])
 
 

@@ -128,3 +128,18 @@ def test_cache_and_seed(spark):
     assert [r.hit for r in files.cached(requests, cache, 1500.0, 600).orderBy("url").collect()] == [True, False]
     assert not files.cached(requests, cache, 2500.0, 600).where("hit").count()
     assert files.discovered_or_seed(files.seed_markets(spark).limit(0)).count() == len(tables.SEED_MARKETS)
+
+
+def test_python_holds_a_few_rows_of_a_batch():
+    import pyarrow as pa
+
+    held = []
+    got = text.sliced([pa.array(["a", None, "b"] * 100)], lambda own: held.append(len(own)) or own, pa.string(), rows=64)
+    assert got.to_pylist() == ["a", None, "b"] * 100 and max(held) == 64
+    assert text.sliced([pa.array([], pa.string())], lambda own: own, pa.string()).to_pylist() == []
+
+
+def test_a_leading_method_is_looked_for_at_the_front_alone(spark):
+    got = values(spark, text.earliest_method("x", within=1), ["Pay iDEAL", "iDEAL or card", "pay by card", "a card", " card", None])
+    assert got == ["ideal", "ideal", None, "card", "card", None]
+    assert "(.*?)" not in str(text.earliest_method("x", within=1))
