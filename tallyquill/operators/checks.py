@@ -163,8 +163,9 @@ def method_mismatch(product: str, method: str, label: str | None = None) -> Colu
     own = m.isNotNull() & F.when(p == "payments", m != "card").when(p == "terminal", ~m.isin("card", "terminal", "tap_to_pay")).otherwise(p != m)
     if label is None:
         return own
-    first = leading_method(label)
-    return own | F.coalesce(F.when(first == "card", ~p.isin("payments", "terminal")).otherwise(~p.isin("payments", "terminal") & (p != first)), F.lit(False))
+    # The label is read only where a product could differ from it, and once.
+    named = F.exists(F.array(leading_method(label)), lambda m: F.coalesce((m == "card") | (p != m), F.lit(False)))
+    return own | (~p.isin("payments", "terminal") & named)
 
 
 def dispute_unit(product: str, unit: str, conditions: str) -> Column:
