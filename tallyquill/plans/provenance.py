@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyquill.operators import containment, identities
 from tallyquill.plans.registry import query
 from tallyquill.sources.files import table
+from tallyquill.sources.shared import shuffled
 
 _PARTS = ("type", "value", "amount", "currency", "basis_points", "operator", "minor_amount")
 
@@ -51,7 +52,7 @@ def j13_containment_owners(spark, sf):
     own = table(spark, sf, "lineitem").groupBy(F.floor(F.col("l_orderkey") / 200).alias("near"), "l_orderkey").agg(F.collect_set(F.concat("l_returnflag", F.col("l_linenumber") % 4)).alias("parts"))
     sets = own.select(containment.selected(["near"]).alias("_sel"), F.lpad(F.col("l_orderkey").cast("string"), 9, "0").alias("key"), "parts")
     found = containment.owners(sets, "key", "parts")
-    ends = containment.followed(found, "key").join(found, ["_sel", "key"])
+    ends = containment.followed(found, "key").join(shuffled(found), ["_sel", "key"])
     return ends.select(F.get_json_object("_sel", "$.near").cast("long").alias("near"), "key", "owner", "root", F.array_join("path", ">").alias("path"))
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,44 @@ def test_a_chain_of_any_length_is_followed(spark):
     assert containment.owners(df.limit(0), "key", "parts").count() == 0
 
 
+@pytest.mark.parametrize("n_parts", [9, 150])
+def test_a_selector_that_a_task_holds_asks_no_index(spark, monkeypatch, n_parts):
+    """Selectors within a task, at its limit and beyond it have the owners, ways and ends that the index finds."""
+    r = random.Random(n_parts)
+    rows = [(f"s{i % 40}", f"k{i:04d}", r.choices([f"p{j}" for j in range(n_parts)], k=r.randrange(5)) if i % 9 else [f"p{j}" for j in range(n_parts)][: i % 5] + [None]) for i in range(700)]
+    df = spark.createDataFrame([*rows, ("alone", "k", ["p1"])], "_sel string, key string, parts array<string>").repartition(5)
+    told = lambda: sorted(map(tuple, containment.followed(containment.owners(df, "key", "parts"), "key").join(containment.owners(df, "key", "parts"), ["_sel", "key"]).collect()))
+    with monkeypatch.context() as m:
+        m.setattr(containment, "contained", lambda _: pytest.fail("the index is asked"))
+        own = told()
+    for group, paths in ((0, 0), (17, 5)):
+        with monkeypatch.context() as m:
+            m.setattr(containment, "GROUP", group)
+            m.setattr(containment, "PATHS", paths)
+            assert told() == own
+    assert own
+
+
+def test_selectors_go_on_over_batches(spark):
+    """Runs of a selector over many batches, and sets more than a task's table of comparisons has rows for."""
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = spark.range(600).selectExpr("cast(id % 3 as string) _sel", "id key", "transform(sequence(0, 5), x -> cast(id * id % 7 * x % 5 as string)) parts")
+    own = sorted(map(tuple, containment.owners(df, "key", "parts").collect()))
+    try:
+        spark.conf.set(name, "7")
+        assert sorted(map(tuple, containment.owners(df, "key", "parts").collect())) == own and own
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_large_selector_is_compared_block_by_block(monkeypatch):
+    r = random.Random(2)
+    masks = containment._masks(np.repeat(np.arange(300), 3), np.array([r.randrange(12) * 6 for _ in range(900)]), 300, 70)
+    own = containment._taken_up(masks)
+    monkeypatch.setattr(containment, "CELLS", 300 * 7)
+    assert containment._taken_up(masks).tolist() == own.tolist() and (own >= 0).any()
+
+
 def test_parts_of_a_fee_go_to_what_holds_them(spark):
     """A base row that is repeated without its cap is no conflict, and says where it came from."""
     base = "ACH Direct Debit 0.8% + $0.30"
