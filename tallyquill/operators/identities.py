@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tallyquill import tables
 from tallyquill.functions.text import condition_key, stable_id
-from tallyquill.operators.containment import followed, owners, put_together, selected
+from tallyquill.operators.containment import followed, owners, owners_of_kept, put_together, selected
 from tallyquill.sources.shared import cut, shuffled
 
 
@@ -99,8 +99,8 @@ def resolved(groups: DataFrame, selector: list[str], status: str = "status", can
 
 def absorbed_subsets(groups: DataFrame, selector: list[str], key: str, parts: str) -> DataFrame:
     """Groups without those whose set of `parts` lies within another's of the same selector; of equal sets the last key stays."""
-    own = groups.withColumn("_sel", selected(selector))
-    return own.join(shuffled(owners(own, key, parts).drop("owner")), ["_sel", key], "left_anti").select(*groups.columns)
+    own = cut(groups.withColumn("_sel", selected(selector)))
+    return own.join(shuffled(owners_of_kept(own, key, parts).drop("owner")), ["_sel", key], "left_anti").select(*groups.columns)
 
 
 #: Lists that tell where a rule comes from.

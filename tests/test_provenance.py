@@ -70,6 +70,20 @@ def test_a_selector_that_a_task_holds_asks_no_index(spark, monkeypatch, n_parts)
     assert own
 
 
+def test_absorbed_subsets_ask_no_index_and_read_their_groups_once(spark, monkeypatch):
+    monkeypatch.setattr(containment, "contained", lambda _: pytest.fail("the index is asked"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("s", 1, ["a"]), ("s", 2, ["a", "b"]), ("s", 3, None), ("t", 4, ["a"]), ("t", 5, ["a", None]), (None, 6, ["c"]), (None, 7, ["c", "d"])], "s string, k long, parts array<string>")
+    got = identities.absorbed_subsets(df.mapInArrow(counted, df.schema), ["s"], "k", "parts").collect()
+    assert sorted(r.k for r in got) == [2, 5, 7] and seen.value == 7
+
+
 def test_selectors_go_on_over_batches(spark):
     """Runs of a selector over many batches, and sets more than a task's table of comparisons has rows for."""
     name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
