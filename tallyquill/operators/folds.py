@@ -49,20 +49,23 @@ def folded(rows: DataFrame, by: list[str], order: list[str], seen: dict[str, Col
     return own.mapInArrow(run, schema)
 
 
-def emitted(rows: DataFrame, key: list[str], row: str, seen: list[str], fold: Callable[[], Any], column: str) -> DataFrame:
-    """(key, entry_no, column): the texts that a fold tells of the rows that an exploded row (named by `row`) became.
+def emitted(rows: DataFrame, key: list[str], row: str, seen: list[str], fold: Callable[[], Any], column: str, also: tuple[str, str, Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """(key, entry_no, column, also): the texts that a fold tells of the rows that an exploded row (named by `row`) became.
+
+    `also` is a column's name and type, and what makes it of an array of these texts, in the same pass.
 
     Such rows follow one another in their partition already: nothing is shuffled, sorted or gathered.  A fold has
     step(**seen) and rest(), which give texts once they are certain.
     """
-    schema = T.StructType([*(rows.schema[c] for c in key), T.StructField("entry_no", T.IntegerType()), T.StructField(column, T.StringType())])
+    schema = T.StructType([*(rows.schema[c] for c in key), T.StructField("entry_no", T.IntegerType()), T.StructField(column, T.StringType()), T.StructField(also[0], T._parse_datatype_string(also[1]))])
 
     def run(batches):
         now, state, of, n = _NONE, None, None, 0
 
         def batch_of(found: list) -> pa.RecordBatch:
             own = [pa.array([k[i] for k, _, _ in found], t) for i, t in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays([*own, pa.array([n for _, n, _ in found], pa.int32()), pa.array([x for _, _, x in found], pa.string())], names=[*key, "entry_no", column])
+            texts = pa.array([x for _, _, x in found], pa.string())
+            return pa.RecordBatch.from_arrays([*own, pa.array([n for _, n, _ in found], pa.int32()), texts, also[2](texts)], names=[*key, "entry_no", column, also[0]])
 
         kinds = None
         for batch in batches:

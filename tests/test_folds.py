@@ -84,3 +84,12 @@ def test_phrases_of_sections_over_batches(spark, batch_rows):
         for p in once(b, "1%") if i == 3 else told[b]:
             want.setdefault(i % 5, []).append(p)
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_lines_and_phrases_are_read_once(spark):
+    """Each line goes to Python once to be read and once to be folded; a condition on a phrase doesn't read it again."""
+    df = spark.createDataFrame([(1, "Cards", "5%\n\n Learn more \nfor new ones\nDispute fee\n$15"), (2, "2% each", None), (3, "", "\n"), (4, None, "free")], "key int, heading string, body string")
+    own = lines.phrases(df, ["key"])
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("ArrowEvalPython"), plan.count("MapInArrow")) == (1, 1)
+    assert sorted((r.key, r.entry_no, r.phrase, [t.kind for t in r.tokens]) for r in own.collect()) == [(1, 0, "5% for new ones", ["percentage"]), (1, 1, "Dispute fee $15", ["amount"]), (2, 0, "2% each", ["percentage"]), (4, 0, "free", ["qualifier"])]
