@@ -141,6 +141,17 @@ def leading(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int, com
     return rows[keep], values[order][keep]
 
 
+def size_class(size: np.ndarray, percent: int) -> np.ndarray:
+    """Classes of sizes: sets that link are of one class or of neighbouring ones."""
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(100 / percent) * (1 - 1e-9)).astype(np.uint64) if percent < 100 else np.asarray(size, dtype=np.uint64)
+
+
+def classed(size: np.ndarray, values: np.ndarray, percent: int) -> np.ndarray:
+    """Each shingle's name in its set's class, then each one's in the next class: sets that link share a name in one of them."""
+    at = size_class(size, percent)
+    return tokens.mix(np.concatenate([values, values]) ^ tokens.mix(np.concatenate([at, at + np.uint64(1)])))
+
+
 def _led(n: int, percent: int, common):
     def run(batches):
         for batch in batches:
@@ -151,7 +162,8 @@ def _led(n: int, percent: int, common):
                 first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch have the same shingles
                 keep = first[rows]
                 r, own = leading(rows[keep], values[keep], w.n_rows, percent, common.value)
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["shingle", "fp"])
+                names = classed(np.bincount(rows, minlength=w.n_rows)[r], own, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(np.tile(fp[r], 2).view(np.int64))], names=["shingle", "fp"])
 
     return run
 
@@ -331,7 +343,8 @@ def _cells(docs: DataFrame, sets: DataFrame, n_rows: int, n_words: int, percent:
     """(head, id, point, top): the cells that sets are dealt to; every two sets that link are in a cell together.
 
     A cell holds all sets that share a leading shingle whose first set is the cell's head, once each, however many
-    shingles they share.  A shingle that leads many sets, as a sample of the documents tells, gets a head from the sample
+    shingles they share.  Sets of sizes too far apart to link don't share one: it has a name of its own for each class of
+    sizes, and a set takes part in two (`classed`).  A shingle that leads many sets, as a sample of the documents tells, gets a head from the sample
     and so needs no shuffle; the sample settles only who is head.
     """
     docs = docs.where("doc_id is not null")
@@ -359,7 +372,7 @@ def _candidates(cells: DataFrame, percent: int, nearest: bool = False) -> DataFr
     A large cell's members go into several trees, and its probes are searched in each of them, block by block.
     """
     kind = cells.schema["id"].dataType.simpleString()
-    sizes = cells.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).alias("trees"), F.ceil(F.count(F.when(F.col("probe"), 1)) / BLOCK).alias("probings")).where("probings > 0")
+    sizes = cells.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).alias("trees"), F.ceil(F.count(F.when(F.col("probe"), 1)) / BLOCK).alias("probings"), (F.min("comp") < F.max("comp")).alias("apart")).where("probings > 0 and apart").drop("apart")
     known = cells.join(sizes, "head")
     member = known.withColumn("x", F.pmod(F.xxhash64("id"), "trees")).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("probings") - 1)))
     probe = known.where("probe").withColumn("y", F.pmod(F.xxhash64("id"), "probings")).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)))
@@ -396,7 +409,8 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     for nearest in (True, False):
         placed = cells.join(of.withColumnRenamed("component", "c"), "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
         tops = placed.where("top").groupBy("head").agg(F.min("comp").alias("main"))
-        placed = placed.join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
+        # A head has been searched among all of its cell, and what is left without it needs two components to be tried.
+        placed = placed.where("not top").join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
         pairs = _candidates(placed, percent, nearest)
         if pairs.isEmpty():  # a probe without a likeliest partner has none at all
             break

@@ -186,3 +186,16 @@ def test_every_training_document_counts_in_the_model(spark, monkeypatch):
     own = {r.text for r in docs.where("crc32(cast(doc_id as string)) % 10 <> 0").collect()}
     turns = [set.union(*seen[k : k + lm.SHARES]) for k in range(lm.ROUNDS - lm.SHARES + 1)]
     assert all(t == own for t in turns) and max(map(len, seen)) < len(own)
+
+
+@pytest.mark.parametrize("percent", [80, 90, 100])
+def test_sets_too_far_apart_in_size_share_no_cell(percent):
+    """Sizes that may link share a name of a shingle, at the limit as well; of those far apart none does."""
+    from tallyquill.llm import jaccard
+
+    shingle = np.array([7], dtype=np.uint64)
+    names = {n: set(jaccard.classed(np.array([n]), shingle, percent).tolist()) for n in range(1, 1500)}
+    for n in names:
+        most = n * 100 // percent
+        assert all(names[n] & names[m] for m in (n, most) if m in names)
+        assert not any(names[n] & names[m] for m in (3 * n, 5 * n) if m in names and n > 1)
