@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyquill.llm import tokens
-from tallyquill.llm.common import arrow_batches, components, cut, packed
+from tallyquill.llm.common import arrow_batches, components, counted, cut
 
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 3, 90
@@ -18,10 +18,9 @@ PER_GROUP, LEAST_GROUPS = 4, 64
 LEAF, BLOCK = 16, 256
 #: Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-#: A sample of documents, one of SHARE and SAMPLE at least, tells which shingles are common: COMMON at most.
-SHARE, SAMPLE, COMMON = 64, 4000, 1 << 18
-#: One document of HOT_SHARE tells which cells are hot: those of HOT sampled sets or more, the HOT_CELLS largest at most.
-HOT_SHARE, HOT, HOT_CELLS = 1024, 64, 100_000
+#: One document of HOT_SHARE tells which cells are hot: those of HOT sampled sets or more, the HOT_CELLS largest at most;
+#: a hot cell's sets are dealt to HOT_PARTS.
+HOT_SHARE, HOT, HOT_CELLS, HOT_PARTS = 1024, 64, 100_000, 256
 
 
 def shingle_sets(w: tokens.Words, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -95,36 +94,6 @@ def _base(n: int):
     return run
 
 
-def _counted(n: int):
-    """Shingles of texts with the number of texts of a batch that hold them."""
-
-    def run(batches):
-        for batch in batches:
-            found = [shingle_sets(w, n)[1] for w in tokens.words(batch.column("text"))]
-            own, m = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(m)], names=["shingle", "m"])
-
-    return run
-
-
-def common_shingles(docs: DataFrame, n_rows: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, level) of shingles that a sample of the documents holds often; COMMON at most.
-
-    They settle the order in which a set's shingles are looked at, and so only how many sets a cell has.
-    """
-    share = max(1 / SHARE, min(1.0, SAMPLE / max(n_rows, 1)))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counts = cut(sample.mapInArrow(_counted(n_words), "shingle long, m long").groupBy("shingle").agg(F.sum("m").alias("m")).where("m > 2"))
-    least, total = 3, 0
-    for r in sorted(counts.groupBy("m").count().collect(), key=lambda r: -r["m"]):  # one row for each number of times
-        if (total := total + r["count"]) > COMMON:
-            least = r["m"] + 1
-            break
-    rows = counts.where(F.col("m") >= least).toPandas()
-    order = np.argsort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
-    return rows["shingle"].to_numpy(np.int64).view(np.uint64)[order], 1 + np.log2(rows["m"].to_numpy(np.float64)[order]).astype(np.int64)
-
-
 def leading(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(row, shingle): each set's first shingles in an order that is the same for all sets, rare ones first.
 
@@ -152,18 +121,57 @@ def classed(size: np.ndarray, values: np.ndarray, percent: int) -> np.ndarray:
     return tokens.mix(np.concatenate([values, values]) ^ tokens.mix(np.concatenate([at, at + np.uint64(1)])))
 
 
-def _led(n: int, percent: int, common):
+def differ(size: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles that a set of this size and one that it links with don't share, at most."""
+    return (size + size * 100 // percent) * (100 - percent) // (100 + percent)
+
+
+def group_names(rows: np.ndarray, values: np.ndarray, n_rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, name): names such that any two different sets that link have one in common, and hardly any others do.
+
+    The sets of a class and of the one below are cut into the class's number of groups by leading hash bits, and a name
+    is the digest of a whole group.  Sets that differ in d shingles have all but d groups in common.  So each set needs
+    only its d + 1 largest groups, ties in order: of the common groups the largest is among them in both sets.  Where
+    that could be a group of one shingle or none, the set has its leading shingles for names as well.
+    """
+    size = np.bincount(rows, minlength=n_rows)
+    most, lowest = differ(size, percent), size_class(size, percent).astype(np.int64)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(tokens.mix(values ^ np.uint64(0xD1B54A32D192ED03)), out=total[1:])
+    out = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))]
+    for above in (0, 1):
+        own = lowest + above
+        top = np.floor(np.exp((own + 1) * np.log(100 / percent) / (1 - 1e-9))).astype(np.int64) + 1 if percent < 100 else size
+        groups = np.where(most > 0, 1 + differ(top, percent) * 4 // 3, 0)  # sets that can't differ are one already
+        at = np.flatnonzero(groups[rows])
+        r = rows[at]
+        g = (((values[at] >> np.uint64(32)) * groups[r].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (g[1:] != g[:-1]))) if len(at) else at
+        after = np.append(first[1:], len(at))[: len(first)]
+        r, g, count = r[first], g[first], after - first
+        digest = tokens.mix(total[at[after - 1] + 1] - total[at[first]] + tokens.mix((own[r] << 32 | g).astype(np.uint64)))
+        order = np.lexsort((g, -count, r))
+        filled = np.bincount(r, minlength=n_rows)
+        place = np.arange(len(r)) - np.repeat(np.cumsum(filled) - filled, filled)
+        keep = order[(place <= most[r]) & (count[order] > 1)]
+        out.append((r[keep], digest[keep]))
+        short = ((groups > 0) & (np.bincount(r[keep], minlength=n_rows) <= most))[rows]
+        r, led = leading(rows[short], values[short], n_rows, percent, (values[:0], lowest[:0]))
+        out.append((r, np.split(classed(size[r], led, percent), 2)[above]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _named(n: int, percent: int):
     def run(batches):
         for batch in batches:
             for w in tokens.words(batch.column("text")):
                 rows, values = shingle_sets(w, n)
                 _, fp, _ = _fingerprints(rows, values, w.n_rows)
                 first = np.zeros(w.n_rows, dtype=bool)
-                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch have the same shingles
+                first[np.unique(fp, return_index=True)[1]] = True  # copies within a batch have the same names
                 keep = first[rows]
-                r, own = leading(rows[keep], values[keep], w.n_rows, percent, common.value)
-                names = classed(np.bincount(rows, minlength=w.n_rows)[r], own, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(np.tile(fp[r], 2).view(np.int64))], names=["shingle", "fp"])
+                r, names = group_names(rows[keep], values[keep], w.n_rows, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(fp[r].view(np.int64))], names=["name", "fp"])
 
     return run
 
@@ -327,58 +335,52 @@ def _verify(n: int, percent: int):
     return run
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link.  Of each a, blocks of its partners; a text is moved once for each of its blocks."""
+def _linked(docs: DataFrame, pairs: DataFrame, n_words: int, percent: int) -> tuple[DataFrame, int]:
+    """The pairs (a, b) that link, and their number.  Of each a, blocks of its partners; a text is moved once for each of its blocks."""
     kind = pairs.schema["a"].dataType.simpleString()
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    own = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(1).alias("side"), F.col("b").alias("id"))
-    named = packed(own.unionByName(own.select("a", "part", F.lit(0).alias("side"), F.col("a").alias("id"))).distinct())
-    wanted = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    both = F.inline(F.array(*(F.struct(F.lit(side).alias("side"), F.col(x).alias("id")) for side, x in enumerate(("a", "b")))))
+    named, n = counted(pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), both).distinct())
+    wanted = F.broadcast(named) if n <= BROADCAST_IDS else named
     texts = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("a", "part", "side", "id", "text")
     texts = texts.repartition("a", "part").sortWithinPartitions("a", "part", "side")
-    return packed(texts.mapInArrow(_verify(n_words, percent), f"a {kind}, b {kind}").distinct())
+    return counted(texts.mapInArrow(_verify(n_words, percent), f"a {kind}, b {kind}").distinct())
 
 
-def _cells(docs: DataFrame, sets: DataFrame, n_rows: int, n_words: int, percent: int) -> DataFrame:
+def _cells(docs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:
     """(head, id, point, top): the cells that sets are dealt to; every two sets that link are in a cell together.
 
-    A cell holds all sets that share a leading shingle whose first set is the cell's head, once each, however many
-    shingles they share.  Sets of sizes too far apart to link don't share one: it has a name of its own for each class of
-    sizes, and a set takes part in two (`classed`).  A shingle that leads many sets, as a sample of the documents tells, gets a head from the sample
-    and so needs no shuffle; the sample settles only who is head.
+    A cell holds all sets that share a name (`group_names`) whose first set is the cell's head, once each, however many
+    names they share.  Whole groups of shingles are shared by near copies only, so cells grow with these and not with
+    the shingles that any two texts happen to share.  A name of many sets, as a sample of the documents tells, gets a
+    head from the sample, and its sets are dealt to several tasks; the sample settles only who is head.
     """
     docs = docs.where("doc_id is not null")
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, n_rows, n_words))  # COMMON hashes at most
-    make, kind = _led(n_words, percent, common), "shingle long, fp long"
+    make, kind = _named(n_words, percent), "name long, fp long"
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SHARE)) == 0).mapInArrow(make, kind)
-    hot = sample.groupBy("shingle").agg(F.min("fp").alias("hot_head"), F.count("*").alias("m")).where(F.col("m") >= HOT)
-    hot = cut(hot.orderBy(F.desc("m"), "shingle").limit(HOT_CELLS).select("shingle", "hot_head"))
-    led = docs.mapInArrow(make, kind)
-    by_shingle = Window.partitionBy("shingle")
-    if hot.isEmpty():
-        shared = led.select(F.min("fp").over(by_shingle).alias("head"), "fp")
-    else:
-        led = led.join(F.broadcast(hot), "shingle", "left")
-        rest = led.where("hot_head is null").select(F.min("fp").over(by_shingle).alias("head"), "fp")
-        shared = rest.unionByName(led.where("hot_head is not null").select(F.col("hot_head").alias("head"), "fp"))
-    shared = cut(shared.where("head <> fp").distinct())
-    cells = shared.unionByName(shared.select("head", F.col("head").alias("fp"))).distinct()
+    hot = sample.groupBy("name").agg(F.min("fp").alias("hot_head"), F.count("*").alias("m")).where(F.col("m") >= HOT)
+    hot = hot.orderBy(F.desc("m"), "name").limit(HOT_CELLS).select("name", "hot_head")
+    part = F.when(F.col("hot_head").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.lit(HOT_PARTS)))
+    named = docs.mapInArrow(make, kind).join(F.broadcast(hot), "name", "left").withColumn("part", part)
+    shared = named.select(F.coalesce("hot_head", F.min("fp").over(Window.partitionBy("name", "part"))).alias("head"), "fp").where("head <> fp")
+    cells = shared.select("head", F.explode(F.array("fp", "head")).alias("fp")).distinct()
     return cut(cells.join(sets, "fp").select("head", F.col("rep").alias("id"), "point", (F.col("fp") == F.col("head")).alias("top")))
 
 
-def _candidates(cells: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
-    """Pairs (a, b) of sets of a cell, of which one is a probe, in different components, that may link by their points.
+def _candidates(cells: DataFrame, percent: int, nearest: bool = False) -> tuple[DataFrame, int]:
+    """Pairs (a, b) of sets of a cell, of which one is a probe, in different components, that may link by their points, and their number.
 
     A large cell's members go into several trees, and its probes are searched in each of them, block by block.
     """
     kind = cells.schema["id"].dataType.simpleString()
     sizes = cells.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).alias("trees"), F.ceil(F.count(F.when(F.col("probe"), 1)) / BLOCK).alias("probings"), (F.min("comp") < F.max("comp")).alias("apart")).where("probings > 0 and apart").drop("apart")
-    known = cells.join(sizes, "head")
-    member = known.withColumn("x", F.pmod(F.xxhash64("id"), "trees")).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("probings") - 1)))
-    probe = known.where("probe").withColumn("y", F.pmod(F.xxhash64("id"), "probings")).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)))
-    own = [F.concat_ws(",", "head", "x", "y").alias("block"), "id", "comp", "point", "probe"]
-    blocks = probe.select(F.lit(0).alias("side"), *own).unionByName(member.select(F.lit(1).alias("side"), *own))
-    return packed(blocks.repartition("block").sortWithinPartitions("block", "side").mapInArrow(_tree_join(percent, nearest), f"a {kind}, b {kind}").distinct())
+    blocks = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    x, y = F.pmod(F.xxhash64("id"), "trees"), F.pmod(F.xxhash64("id"), "probings")
+    member = F.transform(blocks("probings"), lambda k: F.struct(F.lit(1).alias("side"), x.alias("x"), k.alias("y")))
+    probe = F.transform(blocks("trees"), lambda k: F.struct(F.lit(0).alias("side"), k.alias("x"), y.alias("y")))
+    dealt = cells.join(sizes, "head").select("head", "id", "comp", "point", "probe", F.inline(F.when(F.col("probe"), F.concat(member, probe)).otherwise(member)))
+    blocks = dealt.select("side", F.concat_ws(",", "head", "x", "y").alias("block"), "id", "comp", "point", "probe")
+    return counted(blocks.repartition("block").sortWithinPartitions("block", "side").mapInArrow(_tree_join(percent, nearest), f"a {kind}, b {kind}").distinct())
 
 
 def _sets(docs: DataFrame, n_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -400,24 +402,25 @@ def similar_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT)
     arrow_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", "text")
     base, sets, copies = _sets(docs, n_words)
-    cells = _cells(docs, sets, base.count(), n_words, percent)
+    cells = _cells(docs, sets, n_words, percent)
     # First a cell's head is searched among its members, which connects most of what is alike.  What stays apart from the
     # head is searched next: the likeliest partner of each, then all partners whose bound allows a link.
-    pairs = _candidates(cells.withColumns({"comp": F.col("id"), "probe": F.col("top")}), percent)
-    links = copies.unionByName(_linked(docs, pairs, n_words, percent))
-    of = components(links)
+    pairs, _ = _candidates(cells.withColumns({"comp": F.col("id"), "probe": F.col("top")}), percent)
+    links = copies.unionByName(_linked(docs, pairs, n_words, percent)[0])
+    of, new = components(links), True
     for nearest in (True, False):
-        placed = cells.join(of.withColumnRenamed("component", "c"), "id", "left").withColumn("comp", F.coalesce("c", "id")).drop("c")
-        tops = placed.where("top").groupBy("head").agg(F.min("comp").alias("main"))
+        if new:
+            every = cut(cells.join(of, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component"))
+        tops = every.where("top").groupBy("head").agg(F.min("comp").alias("main"))
         # A head has been searched among all of its cell, and what is left without it needs two components to be tried.
-        placed = placed.where("not top").join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
-        pairs = _candidates(placed, percent, nearest)
-        if pairs.isEmpty():  # a probe without a likeliest partner has none at all
+        placed = every.where("not top").join(tops, "head").withColumn("probe", F.col("comp") != F.col("main"))
+        pairs, n = _candidates(placed, percent, nearest)
+        if not n:  # a probe without a likeliest partner has none at all
             break
-        new = _linked(docs, pairs, n_words, percent)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            of = components(links)
+        found, new = _linked(docs, pairs, n_words, percent)
+        if new:
+            links = links.unionByName(found)
+            of = components(of.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found))
     return base, links, of
 
 
@@ -429,8 +432,8 @@ def all_links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) ->
     arrow_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", "text")
     base, sets, _ = _sets(docs, n_words)
-    cells = _cells(docs, sets, base.count(), n_words, percent).withColumns({"comp": F.col("id"), "probe": F.lit(True)})
-    found = _linked(docs, _candidates(cells, percent), n_words, percent)
+    cells = _cells(docs, sets, n_words, percent).withColumns({"comp": F.col("id"), "probe": F.lit(True)})
+    found, _ = _linked(docs, _candidates(cells, percent)[0], n_words, percent)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -199,3 +199,32 @@ def test_sets_too_far_apart_in_size_share_no_cell(percent):
         most = n * 100 // percent
         assert all(names[n] & names[m] for m in (n, most) if m in names)
         assert not any(names[n] & names[m] for m in (3 * n, 5 * n) if m in names and n > 1)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90, 95, 100])
+def test_sets_that_link_share_a_name(percent):
+    """Sets of all sizes, small ones and those at the limit as well; of sets of a few shingles in common hardly any do."""
+    draw = np.random.default_rng(percent)
+    own = sets_of(draw, 60)[0]
+    for n in [*range(1, 40), 90, 250]:
+        base = draw.integers(0, 1 << 64, n * 100 // percent, dtype=np.uint64).tolist()
+        own += [set(base[:n]), set(base), set(base[len(base) - n :])]
+    rows, values = np.repeat(np.arange(len(own)), [len(s) for s in own]), np.array([v for s in own for v in sorted(s)], dtype=np.uint64)
+    r, names = jaccard.group_names(rows, values, len(own), percent)
+    of = [set(names[r == i].tolist()) for i in range(len(own))]
+    linked = [(i, j) for i, a in enumerate(own) for j, b in enumerate(own[:i]) if a != b and 100 * len(a & b) >= percent * len(a | b)]
+    assert (len(linked) > 20 or percent == 100) and all(of[i] & of[j] for i, j in linked)
+    shared = draw.integers(0, 1 << 64, 30, dtype=np.uint64).tolist()
+    far = [sorted({*draw.integers(0, 1 << 64, 170, dtype=np.uint64).tolist(), *shared}) for _ in range(40)]
+    r, names = jaccard.group_names(np.repeat(np.arange(40), 200), np.array(far, dtype=np.uint64).ravel(), 40, max(percent, 80))
+    assert len(names) - len(np.unique(names)) <= len(names) / 50
+
+
+def test_texts_of_common_words_meet_in_no_cell(spark, monkeypatch):
+    """Shingles that texts share by chance make no cells, which would grow with the square of the texts."""
+    seen, real = [], jaccard._candidates
+    monkeypatch.setattr(jaccard, "_candidates", lambda cells, *a: seen.append(cells.count()) or real(cells, *a))
+    draw = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 30, 150)) for _ in range(200)] + ["w1 " * 150 + "a b c", "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t u v w x y"]
+    got = jaccard.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 90)
+    assert {r.doc_id for r in got.collect() if r.component_id != r.doc_id} == {202} and seen[0] < 10
