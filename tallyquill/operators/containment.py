@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyquill.sources.shared import cut, shuffled
+from tallyquill.sources.shared import cut, kept, shuffled
 
 #: Groups of a selector that one task compares, and steps that it takes for them, at most; larger ones ask the index.
 GROUP, STEPS = 1 << 15, 1 << 33
@@ -177,17 +177,18 @@ def owners_of_kept(groups: DataFrame, key: str, parts: str) -> DataFrame:
     kind, n = members.schema["_key"].dataType.simpleString(), F.count("*").cast("double")
     beyond = (n > GROUP) | (n * n * (F.sum(F.size("_parts")) / 64 + 1) > STEPS)
     found = _by_selector(members, beyond, _compared, f"_sel string, _key {kind}, owner {kind}", _indexed)
-    return cut(found.withColumnRenamed("_key", key))
+    return kept(found.withColumnRenamed("_key", key))
 
 
 def _lengthened(now: DataFrame) -> DataFrame:
     """`followed` of edges (_sel, _key, _top), however many a selector has: each round doubles the length of the paths that are known."""
     now = now.withColumn("path", F.array("_key"))
+    nothing = F.array().cast(now.schema["path"].dataType)
     while True:
         above = now.select("_sel", F.col("_key").alias("_top"), F.col("_top").alias("_higher"), F.col("path").alias("_more"))
         if now.join(shuffled(above), ["_sel", "_top"], "left_semi").isEmpty():
             return now.select("_sel", "_key", F.col("_top").alias("root"), "path")
-        now = cut(now.join(shuffled(above), ["_sel", "_top"], "left").select("_sel", "_key", F.coalesce("_higher", "_top").alias("_top"), F.concat(F.coalesce("_more", F.array().cast("array<string>")), "path").alias("path")))
+        now = cut(now.join(shuffled(above), ["_sel", "_top"], "left").select("_sel", "_key", F.coalesce("_higher", "_top").alias("_top"), F.concat(F.coalesce("_more", nothing), "path").alias("path")))
 
 
 def _walked(batches):
@@ -228,7 +229,8 @@ def put_together(items: DataFrame, by: list[str], kinds: tuple[str, ...]) -> Dat
     """One row per `by` with a list for each of `kinds`: the distinct items, each at its least place, with what is told there.
 
     `items` has `by`, kind, item, place (anything with an order) and told.  Repeats are gone before a list is made, so a
-    key of any number of rows takes the memory of its distinct items, which the list itself has.
+    key of any number of rows takes the memory of its distinct items, which the list itself has.  Items that are dealt by
+    a column of `by` stay where they are.
     """
     once = items.groupBy(*by, "kind", "item").agg(F.min("place").alias("place"), F.min_by("told", "place").alias("told"))
     lists = [F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("place", "item", "told")))).alias(k) for k in kinds]

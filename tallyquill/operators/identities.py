@@ -8,8 +8,8 @@ from pyspark.sql.window import Window
 
 from tallyquill import tables
 from tallyquill.functions.text import condition_key, stable_id
-from tallyquill.operators.containment import followed, owners, owners_of_kept, put_together, selected
-from tallyquill.sources.shared import cut, shuffled
+from tallyquill.operators.containment import followed, owners_of_kept, put_together, selected
+from tallyquill.sources.shared import cut, dealt, kept, shuffled
 
 
 #: What makes two fee components equal.
@@ -58,17 +58,22 @@ def merged(rules: DataFrame, selector: list[str], signature: str, order: str, st
     return found.select("*", *(F.col(f"_first.{c}").alias(c) for c in first)).drop("_first").withColumnsRenamed(names)
 
 
-def _outcomes(rows: DataFrame, by: list[str], order: str, candidate: str, loose: Column) -> DataFrame:
+def _outcomes(rows: DataFrame, by: list[str], order: str, candidate: str, loose: Column, root: str | None = None) -> DataFrame:
     """Rows with `_kind` of outcome (loose, conflict, plain) and `_taker`, the `order` of the row that takes each up.
 
     A row that stays takes up itself.  Of several groups of an unspecified product the first takes all; of one fee
     candidate and others it does; several candidates stay apart, with all others; without any, the first takes all.
+    Rows whose `root` is another row don't count, and go where their root goes.
     """
-    own = Window.partitionBy(*by)
-    rows = rows.withColumns({"_n": F.count("*").over(own), "_fees": F.count(F.when(F.col(candidate), 1)).over(own), "_least": F.min(order).over(own), "_fee": F.min(F.when(F.col(candidate), F.col(order))).over(own)})
+    own, root = Window.partitionBy(*by), root or order
+    stays = F.col(root) == F.col(order)
+    rows = rows.withColumns({
+        "_n": F.count(F.when(stays, 1)).over(own), "_fees": F.count(F.when(stays & F.col(candidate), 1)).over(own),
+        "_least": F.min(F.when(stays, F.col(order))).over(own), "_fee": F.min(F.when(stays & F.col(candidate), F.col(order))).over(own),
+    })
     many = loose & (F.col("_n") > 1)
     kind = F.when(many, "loose").when(F.col("_fees") > 1, "conflict").otherwise("plain")
-    taker = F.when(many, F.col("_least")).when(F.col("_fees") > 1, F.col(order)).otherwise(F.coalesce("_fee", "_least"))
+    taker = F.when(many, F.col("_least")).when(F.col("_fees") > 1, F.col(root)).otherwise(F.coalesce("_fee", "_least"))
     return rows.withColumns({"_kind": kind, "_taker": taker}).drop("_n", "_fees", "_least", "_fee")
 
 
@@ -129,35 +134,39 @@ def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
 
     Every rule comes with its provenance, in the order in which it was taken up: entry_ids, source_texts, rule_ids,
     fragments (each text with its first entry), the evidence's phrases and evidence_ids, and notes.  Each rule's items are
-    in one row; neither a page nor an identity is ever gathered.
+    in one row; neither a page nor an identity is ever gathered.  Rules are shuffled twice, as rows: for their groups,
+    and for their items, which are told and put together where the rules of their identity lie.
     """
     selector = [*by, "product_id", "variant_id", "condition_key"]
     plan = F.try_element_at(F.filter("conditions", lambda c: c["dimension"] == "pricing_plan"), F.lit(1))["value"]
     part = lambda c: F.concat_ws("\u0001", *(F.coalesce(c[n], F.lit("")) for n in _PARTS))
-    own = rules.withColumns({"condition_key": condition_key("conditions"), "plan": plan, "component_keys": F.transform("fee_components", part)})
-    own = own.withColumns({"signature": fee_signature("fee_components", "unit", "exactness", "behavior", "plan"), "_sel": selected(selector)})
+    signed = lambda df: df.withColumn("plan", plan).withColumn("signature", fee_signature("fee_components", "unit", "exactness", "behavior", "plan"))
+    own = rules.withColumn("condition_key", condition_key("conditions")).withColumn("_sel", selected(selector))
     place = F.struct(F.col("entry_id").alias("a"), F.col("rule_id").alias("b"))
-    kept = [c for c in rules.columns if c not in {*by, "entry_ids", "source_texts", "fragments", "phrases", "evidence_ids", "notes", "status", "confidence", "fee_evidence"}]
-    groups = own.groupBy("_sel", "signature").agg(
-        F.min(place).alias("_at"), F.min_by("status", F.struct(_concrete(F.col("status")), place)).alias("status"), F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"),
-        F.min_by("fee_evidence", F.struct(_concrete(F.col("status")), -F.col("confidence"), place)).alias("fee_evidence"), F.min_by(F.struct(*by, *kept, "condition_key", "component_keys"), place).alias("_first"),
-    ).select("_sel", "signature", F.concat_ws("\u0001", "_at.a", "_at.b", F.sha2("signature", 256)).alias("_key"), "status", "confidence", "n_rules", "fee_evidence", "_first.*")
-    groups = cut(groups.withColumn("is_candidate", fee_candidate("status", "fee_components")))
-    ends = followed(owners(groups, "_key", "component_keys"), "_key")
-    roots = _outcomes(groups.join(shuffled(ends), ["_sel", "_key"], "left_anti"), ["_sel"], "_key", "is_candidate", F.col("product_id") == "unspecified")
-    # Takers are numbered, and groups in the order of their paths, so that items carry numbers in place of keys and paths.
-    roots = roots.withColumn("_no", F.dense_rank().over(Window.partitionBy("_sel").orderBy("_taker")))
-    of_root = roots.select("_sel", F.col("_key").alias("root"), "_taker", "_no")
+    columns = [c for c in rules.columns if c not in {*by, "entry_ids", "source_texts", "fragments", "phrases", "evidence_ids", "notes", "status", "confidence", "fee_evidence"}]
+    # Texts that a rule's other columns make are made where it is dealt to.
+    groups = signed(dealt(own.select("_sel", *by, *columns, "condition_key", "status", "confidence", "fee_evidence"), "_sel")).groupBy("_sel", "signature").agg(
+        F.min_by("status", F.struct(_concrete(F.col("status")), place)).alias("status"), F.max("confidence").alias("confidence"), F.count("*").alias("n_rules"),
+        F.min_by("fee_evidence", F.struct(_concrete(F.col("status")), -F.col("confidence"), place)).alias("fee_evidence"), F.min_by(F.struct(*by, *columns, "condition_key"), place).alias("_first"),
+    ).select("*", "_first.*").drop("_first")
+    # Groups have numbers in the order of their keys, so that edges, paths and items carry numbers in place of keys.
+    in_order = Window.partitionBy("_sel").orderBy(F.concat_ws("\u0001", "entry_id", "rule_id", F.sha2("signature", 256)))
+    groups = kept(groups.withColumns({"_key": F.row_number().over(in_order), "is_candidate": fee_candidate("status", "fee_components"), "component_keys": F.transform("fee_components", part)}))
+    ends = followed(owners_of_kept(groups, "_key", "component_keys"), "_key")
+    placed = dealt(groups.select("_sel", "signature", "_key", "is_candidate", (F.col("product_id") == "unspecified").alias("_loose")), "_sel").join(shuffled(dealt(ends, "_sel")), ["_sel", "_key"], "left")
+    placed = _outcomes(placed.withColumn("root", F.coalesce("root", "_key")), ["_sel"], "_key", "is_candidate", F.col("_loose"), "root")
     # A taker's own lists come first, then those of the groups it takes up, each with what it had taken up itself.
-    placed = groups.select("_sel", "signature", "_key").join(shuffled(ends), ["_sel", "_key"], "left").withColumn("root", F.coalesce("root", "_key")).join(shuffled(of_root), ["_sel", "root"])
-    placed = placed.withColumn("_path", F.concat(F.array(F.when(F.col("root") == F.col("_taker"), "").otherwise(F.col("root"))), F.coalesce("path", F.array().cast("array<string>"))))
-    placed = placed.select("_sel", "signature", "_no", F.row_number().over(Window.partitionBy("_sel").orderBy("_no", "_path")).alias("_rank"))
-    items = own.join(shuffled(placed), ["_sel", "signature"]).select("_sel", "_no", "_rank", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
+    path = F.concat(F.array(F.when(F.col("root") == F.col("_taker"), 0).otherwise(F.col("root"))), F.coalesce("path", F.array().cast("array<int>")))
+    placed = placed.withColumns({"_path": path, "_no": F.dense_rank().over(Window.partitionBy("_sel").orderBy("_taker"))})
+    placed = kept(placed.select("_sel", "signature", "_key", "_taker", "_kind", "_no", F.row_number().over(Window.partitionBy("_sel").orderBy("_no", "_path")).alias("_rank")))
+    takers = kept(groups.drop("signature", "component_keys").join(shuffled(placed.where("_key = _taker").drop("_taker", "_rank")), ["_sel", "_key"]))
+    items = dealt(signed(own).select("_sel", "signature", "entry_id", "rule_id", *(c for c in _PROVENANCE if c != "rule_ids")), "_sel").join(shuffled(dealt(placed.select("_sel", "signature", "_no", "_rank"), "_sel")), ["_sel", "signature"])
+    items = items.select("_sel", "_no", "_rank", "entry_id", "rule_id", F.explode(_told(rules)).alias("x"))
     items = items.select("_sel", "_no", "x.kind", "x.item", "x.told", F.struct("_rank", "entry_id", "rule_id", "x.at").alias("place"))
     lists = put_together(items, ["_sel", "_no"], _PROVENANCE)
     fragment = lambda x: F.struct(x["told"].alias("entry_id"), x["item"].alias("text"))
     lists = lists.select("_sel", "_no", *(F.transform(c, fragment if c == "fragments" else lambda x: x["item"]).alias(c) for c in _PROVENANCE))
-    found = roots.where(F.col("_key") == F.col("_taker")).join(shuffled(lists), ["_sel", "_no"])
+    found = lists.join(shuffled(dealt(takers, "_sel")), ["_sel", "_no"])
     loose, conflict = F.col("_kind") == "loose", F.col("_kind") == "conflict"
     identity = F.array_join(F.transform(F.array_sort("conditions"), lambda c: F.concat_ws("=", c["dimension"], c["value"])), "|")
     none = {c: F.when(~loose, F.col(c)) for c in _FEE_FIELDS if c in rules.columns}
@@ -167,7 +176,7 @@ def deduplicated_rules(rules: DataFrame, by: list[str]) -> DataFrame:
         "unit": F.when(loose, "informational").otherwise(F.col("unit")), "behavior": F.when(loose, "informational").otherwise(F.col("behavior")), "is_candidate": F.col("is_candidate") & ~loose,
         "notes": F.when(conflict, F.concat("notes", F.array(F.lit(CONFLICT_NOTE)))).otherwise(F.col("notes")),
     })
-    return found.select(*by, *kept, "condition_key", "n_rules", "is_candidate", "status", "confidence", "fee_evidence", *_PROVENANCE)
+    return found.select(*by, *columns, "condition_key", "n_rules", "is_candidate", "status", "confidence", "fee_evidence", *_PROVENANCE)
 
 
 #: Counters by the status of rules, and of entries that are left over; what both have is added up.

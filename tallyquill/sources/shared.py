@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     return own
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The same rows as `cut` keeps them, as a Parquet table: by columns and compressed, a small part of a checkpoint's bytes."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffled(df: DataFrame) -> DataFrame:
     """The same rows, for a join of rows as many as the data's: by a shuffle, never by a broadcast.
 
@@ -39,6 +49,13 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def dealt(df: DataFrame, by: str) -> DataFrame:
+    """The same rows, those of equal `by` in one partition: what is dealt so is joined, summed and numbered by `by` and more without another shuffle."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # else a join by more keys deals both sides anew
+    return df.repartition(int(conf.get("spark.sql.shuffle.partitions")), by)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The same rows, dealt over all of a shuffle's partitions before work that is long for a row and its few bytes.
 

@@ -149,3 +149,17 @@ def test_items_carry_numbers_in_place_of_keys_and_paths(spark, monkeypatch):
     ((by, schema),) = seen
     assert [schema[c].dataType.simpleString() for c in by] == ["string", "int"]
     assert [f.dataType.simpleString() for f in schema["place"].dataType] == ["int", "string", "string", "int"]
+
+
+def test_items_are_not_shuffled(spark):
+    """What rules are told of is many times their rows: it's put together where the rules lie."""
+    plan = QUERIES["a03_a05_rule_provenance"](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate")] and plan.count("Exchange") == 3
+
+
+def test_identities_beyond_a_task_have_the_same_rules(spark, monkeypatch):
+    told = lambda: sorted(map(str, QUERIES["a03_a05_rule_provenance"](spark, str(SF)).collect()))
+    own = told()
+    monkeypatch.setattr(containment, "GROUP", 20)
+    monkeypatch.setattr(containment, "PATHS", 5)
+    assert told() == own
