@@ -188,6 +188,51 @@ def test_every_training_document_counts_in_the_model(spark, monkeypatch):
     assert all(t == own for t in turns) and max(map(len, seen)) < len(own)
 
 
+def test_each_round_counts_all_training_documents(spark, monkeypatch):
+    """The model is that of plain Baum-Welch over all training documents, round by round."""
+    monkeypatch.setattr(lm, "LEAST", 4)
+    monkeypatch.setattr(lm, "CELLS", 300)
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(r.choice(["a", "b", "c", "d", f"w{i}"], int(r.integers(0, 90))))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, v, model = lm.fit(docs)
+    own = docs.where("crc32(cast(doc_id as string)) % 10 <> 0").toArrow().column("text")
+    (w,) = tokens.words(own.combine_chunks())
+    packed = lm._by_position(w, lm._looked_up(w, v)[1], v.n_symbols - 1)
+    want = lm.first_model(v.n_symbols)
+    for _ in range(lm.ROUNDS):
+        sums = lm._zero(want)
+        lm.expectations(want, packed, sums)
+        want = lm.maximised(sums)
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(model, name), getattr(want, name), rtol=1e-6, atol=0)
+
+
+def test_words_are_looked_up_by_their_leading_bits(monkeypatch):
+    """Words at the ends, in one place, and unknown ones; prefixes are those of the words' bytes."""
+    monkeypatch.setattr(lm, "BITS", 3)
+    (w,) = tokens.words(pa.array([" ".join(f"w{i}" for i in range(200)) + " x", None, "y é"]))
+    known = np.sort(w.hashes[::2])
+    n = len(known)
+    v = lm.Vocabulary(known, np.ones(n), np.arange(n), np.zeros(n, dtype=np.int64), n, n, 1, np.ones(lm.CLASSES), np.ones(lm.CLASSES))
+    at, symbols, kinds = lm._looked_up(w, v)
+    assert at.tolist() == [int(np.searchsorted(known, h)) if h in set(known) else -1 for h in w.hashes]
+    assert (symbols == np.where(at >= 0, at, lm.SYMBOLS + lm.classes(w))).all()
+    short = tokens._window_sums(tokens._BYTE_VALUE[w.data], tokens._CHAR_POWERS, w.starts, np.minimum(w.starts + 2, w.ends))
+    assert (tokens.prefixes(w, 2) == tokens.mix(short + np.uint64(2 << 32))).all()
+
+
+def test_long_texts_neither_vanish_nor_overflow():
+    """Recursions that are scaled now and then count what those scaled at each position do."""
+    r = np.random.default_rng(6)
+    model = lm.Model(r.dirichlet(np.ones(3)), r.dirichlet(np.ones(3), 3), np.full((3, 50), 1e-11) + r.dirichlet(np.full(50, 0.05), 3))
+    counts = np.array([5000, 0, 17, 1])
+    packed = lm._packed(counts, r.integers(0, 49, counts.sum()), 49)
+    sums = lm._zero(model)
+    assert lm.expectations(model, packed, sums) == pytest.approx(lm.forward(model, packed).sum())
+    assert sums.start.sum() == pytest.approx(4) and sums.move.sum() == pytest.approx(counts.sum()) and sums.emit.sum() == pytest.approx(counts.sum() + 4)
+
+
 @pytest.mark.parametrize("percent", [80, 90, 100])
 def test_sets_too_far_apart_in_size_share_no_cell(percent):
     """Sizes that may link share a name of a shingle, at the limit as well; of those far apart none does."""
