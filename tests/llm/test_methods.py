@@ -208,6 +208,21 @@ def test_each_round_counts_all_training_documents(spark, monkeypatch):
         assert np.allclose(getattr(model, name), getattr(want, name), rtol=1e-6, atol=0)
 
 
+@pytest.mark.parametrize("flush", [2_000_000, 30, 3])
+def test_words_are_counted_piece_by_piece(monkeypatch, flush):
+    monkeypatch.setattr(lm, "FLUSH", flush)
+    monkeypatch.setattr(lm, "PIECE", 40)
+    texts = [" ".join(f"w{i * k % 11}" for i in range(k)) for k in range(40)]
+    found = list(lm._word_counts(pa.table({"text": texts}).to_batches(7)))
+    (w,) = tokens.words(pa.array(texts))
+    sums: dict[int, int] = {}
+    for word, _, n in (row for b in found for row in zip(*(c.to_pylist() for c in b.columns))):
+        sums[word] = sums.get(word, 0) + n
+    words, n = np.unique(w.hashes.view(np.int64), return_counts=True)
+    assert sums == dict(zip(words.tolist(), n.tolist())) | {int(np.array([lm._END]).view(np.int64)[0]): 40} and (len(found) > 1) == (flush == 3)
+    assert list(lm._word_counts(iter([]))) == []
+
+
 def test_words_are_looked_up_by_their_leading_bits(monkeypatch):
     """Words at the ends, in one place, and unknown ones; prefixes are those of the words' bytes."""
     monkeypatch.setattr(lm, "BITS", 3)
